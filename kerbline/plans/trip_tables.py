@@ -17,6 +17,7 @@ from kerbline.functions import measures as M
 from kerbline.functions import roles
 from kerbline.functions.expressions import payment_label, table_order
 from kerbline.operators import metrics, trips
+from kerbline.session import settle
 
 DAY = "day"
 HOUR = "hour"
@@ -118,14 +119,10 @@ def by_payment(rolled: DataFrame) -> DataFrame:
 
 
 def all_tables(raw: DataFrame, zones: DataFrame | None, year: int | None) -> dict[str, DataFrame]:
-    """Every metric table that the schema allows.
-
-    The rolled-up rows are cached, so that writing all tables scans the trips once; call `.unpersist()` on
-    `all_tables(...)["rollup"]` afterwards. A lost block is recomputed from the trips.
-    """
+    """Every metric table that the schema allows, over rolled-up rows that are written once to the shared folder."""
     analysed = trips.in_year(trips.prepare(raw), year)
-    rolled = rollup(analysed, [HOUR, PLACE, PAYMENT]).persist()
-    tables = {"rollup": rolled, "summary": summary(rolled, zones), "hourly": hourly(rolled)}
+    rolled = settle(rollup(analysed, [HOUR, PLACE, PAYMENT]), "trip-rollup")
+    tables = {"summary": summary(rolled, zones), "hourly": hourly(rolled)}
     if zones is not None and _PLACE_KEY in rolled.columns:
         tables["borough_summary"] = by_borough(rolled, zones)
         tables["zone_summary"] = by_zone(rolled, zones)

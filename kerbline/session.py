@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are compared and bucketed in UTC everywhere; a local zone is a display matter.
 # ANSI mode stays on, so every parse that may fail is written with a try_ function.
@@ -75,3 +75,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: computed once, short lineage, safe from lost executors."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
