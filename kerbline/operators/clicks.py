@@ -1,7 +1,7 @@
 """Clickstream: parsing, windowed metrics, session funnel, alerts.
 
-Nothing here asks whether a frame is a stream. A stream needs a watermark and approximate distinct counts; a bounded
-frame may count exactly (`exact=True`).
+Nothing here asks whether a frame is a stream. Distinct counts are approximate by default, as a stream in update mode
+needs; `exact=True` counts in two levels, for bounded frames and for streams in append mode.
 """
 
 from __future__ import annotations
@@ -68,8 +68,11 @@ def rejects(envelope: DataFrame) -> DataFrame:
 # --- windows --------------------------------------------------------------------------------------------------------
 
 
-def _bounds(window: str = "window") -> list[Column]:
-    return [F.col(f"{window}.start").alias("window_start"), F.col(f"{window}.end").alias("window_end")]
+FUNNEL_COUNTS = ("total_sessions", "total_users", *[f"{stage}_sessions" for stage in FUNNEL_STAGES])
+
+
+def _bounds() -> list[Column]:
+    return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
 
 def _window(shape: Windowing) -> Column:
@@ -112,8 +115,7 @@ def funnel(events: DataFrame, shape: Windowing = Windowing(), *, exact: bool = F
             ],
         )
     )
-    counts = ("total_sessions", "total_users", *[f"{stage}_sessions" for stage in FUNNEL_STAGES])
-    return with_rates(counted.select(*_bounds(), *counts))
+    return with_rates(counted.select(*_bounds(), *FUNNEL_COUNTS))
 
 
 def with_rates(counts: DataFrame) -> DataFrame:
@@ -137,27 +139,29 @@ def _per_member(events: DataFrame, shape: Windowing, extra: tuple[str, ...], *ag
 
     The first level of exact distinct counting: members are unique afterwards, so the second level only counts rows.
     It combines on the map side; a window or session that holds a large share of the events is no heavier to shuffle.
+    On a stream the two levels are two stateful steps, which Spark allows in append mode.
     """
-    shaped = events.select(_window(shape).alias("window"), "session_id", "user_id", "event_type")
-    flat = shaped.select(*_bounds(), "session_id", "user_id", "event_type")
-    keys = ["window_start", "window_end", *extra]
+    shaped = events.withWatermark("event_timestamp", shape.watermark).select(
+        _window(shape).alias("window"), "session_id", "user_id", "event_type"
+    )
+    keys = ["window", *extra]
     by = [[*keys, "session_id"], [*keys, "user_id"]]
-    rolled_up = F.grouping("user_id") == 1
     return (
-        flat.groupingSets(by, *keys, "session_id", "user_id")
-        .agg(F.when(rolled_up, "session").otherwise("user").alias("_who"), *aggregates)
+        shaped.groupingSets(by, *keys, "session_id", "user_id")
+        .agg((F.grouping("user_id") == 1).alias("_by_session"), *aggregates)
         .withColumn("_known", F.coalesce("session_id", "user_id").isNotNull())
     )
 
 
 def _exact_event_metrics(events: DataFrame, shape: Windowing) -> DataFrame:
     members = _per_member(events, shape, ("event_type",), F.count(F.lit(1)).alias("_events"))
-    session, user = F.col("_who") == "session", F.col("_who") == "user"
-    return members.groupBy("window_start", "window_end", "event_type").agg(
+    session = F.col("_by_session")
+    counted = members.groupBy("window", "event_type").agg(
         F.sum(F.when(session, F.col("_events"))).alias("event_count"),
-        F.count_if(user & F.col("_known")).alias("unique_users"),
+        F.count_if(~session & F.col("_known")).alias("unique_users"),
         F.count_if(session & F.col("_known")).alias("unique_sessions"),
     )
+    return counted.select(*_bounds(), "event_type", "event_count", "unique_users", "unique_sessions")
 
 
 def _exact_stage_counts(events: DataFrame, shape: Windowing) -> DataFrame:
@@ -165,13 +169,13 @@ def _exact_stage_counts(events: DataFrame, shape: Windowing) -> DataFrame:
         F.max(F.coalesce(F.col("event_type") == stage, F.lit(False))).alias(f"_{stage}") for stage in FUNNEL_STAGES
     ]
     members = _per_member(events, shape, (), *reached)
-    session = (F.col("_who") == "session") & F.col("_known")
-    user = (F.col("_who") == "user") & F.col("_known")
-    return members.groupBy("window_start", "window_end").agg(
+    session = F.col("_by_session") & F.col("_known")
+    counted = members.groupBy("window").agg(
         F.count_if(session).alias("total_sessions"),
-        F.count_if(user).alias("total_users"),
+        F.count_if(~F.col("_by_session") & F.col("_known")).alias("total_users"),
         *[F.count_if(session & F.col(f"_{stage}")).alias(f"{stage}_sessions") for stage in FUNNEL_STAGES],
     )
+    return counted.select(*_bounds(), *FUNNEL_COUNTS)
 
 
 # --- alerts ---------------------------------------------------------------------------------------------------------

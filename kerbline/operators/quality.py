@@ -288,8 +288,10 @@ def issue_rows(flagged: DataFrame) -> DataFrame:
 
 
 def worst_issue_rows(flagged: DataFrame, count: int) -> DataFrame:
-    """The rows with most issues first, oldest first among equals."""
-    return issue_rows(flagged).orderBy(F.desc("dq_issue_count"), F.asc("pickup_ts")).limit(count)
+    """The rows with most issues first, oldest first among equals; the other columns settle what is left."""
+    rows = issue_rows(flagged)
+    rest = [F.asc(c) for c in rows.columns if c not in ("pickup_ts", "dq_issue_count")]
+    return rows.orderBy(F.desc("dq_issue_count"), F.asc("pickup_ts"), *rest).limit(count)
 
 
 # --- clickstream ----------------------------------------------------------------------------------------------------

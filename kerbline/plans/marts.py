@@ -9,22 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions.expressions import label_order
-
-# Shape of a stream run's report document; every field may be missing.
-REPORT_SCHEMA = """
-    config struct<query_name: string, page_view_sessions: bigint>,
-    scenario_summary struct<generated_event_count: bigint, generated_session_count: bigint,
-        generated_user_count: bigint, event_type_counts: map<string, bigint>>,
-    timing struct<publish_seconds: double, processing_seconds: double, end_to_end_seconds: double,
-        events_per_second: double, sessions_per_second: double>,
-    event_metrics array<struct<window_start: string, window_end: string, event_type: string, event_count: bigint>>,
-    funnel_metrics array<struct<window_start: string, window_end: string, total_sessions: bigint,
-        total_users: bigint>>,
-    query_progress array<struct<query_name: string, processed_rows_per_second: double,
-        trigger_execution_ms: double>>,
-    anomaly_alerts array<struct<alert_count: bigint, severity: string>>
-"""
-
+from kerbline.sources.reports import EVENT_ROWS_TYPE
 
 def _per_second(amount: Column, seconds: Column) -> Column:
     return F.when(seconds > 0, F.round(amount / seconds, 4))
@@ -138,10 +123,7 @@ def _counts_by_type() -> Column:
         now = F.create_map(kind, F.coalesce(counts[kind], zero) + count)
         return F.when(kind.isNull(), counts).otherwise(F.map_concat(others, now))
 
-    return F.aggregate(F.coalesce("event_metrics", F.array().cast(_EVENT_ROWS)), empty, added)
-
-
-_EVENT_ROWS = "array<struct<window_start: string, window_end: string, event_type: string, event_count: bigint>>"
+    return F.aggregate(F.coalesce("event_metrics", F.array().cast(EVENT_ROWS_TYPE)), empty, added)
 
 
 def complete_reports(reports: DataFrame) -> DataFrame:

@@ -13,12 +13,11 @@ from kerbline.operators import baseline, clicks
 from kerbline.operators.clicks import AlertLimits, Windowing
 from kerbline.streaming import jobs
 
-_COUNTS = ("total_sessions", "total_users", *[f"{stage}_sessions" for stage in clicks.FUNNEL_STAGES])
 _RATES = ("page_to_product_rate", "product_to_cart_rate", "cart_to_purchase_rate", "page_to_purchase_rate")
 
 FUNNEL_SCHEMA = T.StructType(
     [T.StructField(c, T.TimestampType()) for c in jobs.WINDOW_KEY]
-    + [T.StructField(c, T.LongType()) for c in _COUNTS]
+    + [T.StructField(c, T.LongType()) for c in clicks.FUNNEL_COUNTS]
     + [T.StructField(c, T.DoubleType()) for c in _RATES]
 )
 SCORED_SCHEMA = T.StructType(
