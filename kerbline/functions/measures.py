@@ -33,6 +33,15 @@ class Measure:
         aggregate = {"sum": F.sum, "min": F.min, "max": F.max}[self.kind]
         return {f"_{self.kind}_{self.column}": aggregate(self.column)}
 
+    def finished(self) -> Column:
+        """The measure of a single row of the finer table, when that is the wanted grain already."""
+        if self.kind == "count":
+            return F.col("_rows").alias(self.name)
+        if self.kind == "avg":
+            total, seen = F.col(f"_sum_{self.column}"), F.col(f"_n_{self.column}")
+            return F.when(seen > 0, total / seen).alias(self.name)
+        return F.col(f"_{self.kind}_{self.column}").alias(self.name)
+
     def merged(self) -> Column:
         """The same measure over rows of a finer table."""
         if self.kind == "count":

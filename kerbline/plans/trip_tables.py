@@ -2,15 +2,15 @@
 
 The trips are grouped once, by several small keys at the same time (grouping sets), into partial counts and sums. The
 partial aggregation runs next to the scan, so what is shuffled is bounded by keys per task and not by trips. Places are
-grouped by their id: the zone dimension then joins one row per id instead of every trip, whatever its size. Each metric
-table merges the partial rows of its grain.
+grouped by their id: the zone dimension then joins one row per id instead of every trip, whatever its size. Hour and
+payment tables are the rolled-up rows themselves; borough, zone and summary merge them further.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions import measures as M
@@ -63,9 +63,17 @@ def _at(rolled: DataFrame, grain: str) -> DataFrame:
     return rolled.where(F.col("_grain") == grain)
 
 
-def _merged(rolled: DataFrame, wanted: Sequence[M.Measure]) -> list:
-    present = set(rolled.columns)
-    return [m.merged() for m in wanted if set(m.partials()) <= present]
+def _present(rolled: DataFrame, wanted: Sequence[M.Measure]) -> list[M.Measure]:
+    columns = set(rolled.columns)
+    return [m for m in wanted if set(m.partials()) <= columns]
+
+
+def _merged(rolled: DataFrame, wanted: Sequence[M.Measure]) -> list[Column]:
+    return [m.merged() for m in _present(rolled, wanted)]
+
+
+def _finished(rolled: DataFrame, wanted: Sequence[M.Measure]) -> list[Column]:
+    return [m.finished() for m in _present(rolled, wanted)]
 
 
 def _places(rolled: DataFrame, zones: DataFrame) -> DataFrame:
@@ -92,7 +100,7 @@ def summary(rolled: DataFrame, zones: DataFrame | None = None, *, days: str = HO
 
 
 def hourly(rolled: DataFrame) -> DataFrame:
-    table = _at(rolled, HOUR).groupBy("pickup_date", "pickup_hour").agg(*_merged(rolled, M.HOURLY))
+    table = _at(rolled, HOUR).select("pickup_date", "pickup_hour", *_finished(rolled, M.HOURLY))
     return table.orderBy("pickup_date", "pickup_hour")
 
 
@@ -108,13 +116,10 @@ def by_zone(rolled: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def by_payment(rolled: DataFrame) -> DataFrame:
-    table = (
-        _at(rolled, PAYMENT)
-        .groupBy("payment_type")
-        .agg(*_merged(rolled, M.PAYMENT))
-        .withColumn("payment_type_label", payment_label(F.col("payment_type")))
+    label = payment_label(F.col("payment_type")).alias("payment_type_label")
+    table = metrics.with_tip_share(
+        _at(rolled, PAYMENT).select("payment_type", label, *_finished(rolled, M.PAYMENT))
     )
-    table = metrics.with_tip_share(table)
     return table.orderBy(*table_order(table, "payment_type", "trip_count"))
 
 
