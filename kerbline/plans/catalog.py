@@ -141,16 +141,17 @@ def trip_suite(spark, sf_dir):
         "zone_summary": F.concat_ws("/", "pickup_borough", "pickup_zone", "pickup_service_zone"),
         "payment_tip_summary": F.concat_ws("/", F.col("payment_type").cast("string"), "payment_type_label"),
     }
+    measures = ("sum_total_amount", "avg_passenger_count", "avg_trip_distance", "avg_tip_pct", "tip_to_fare_pct")
     parts = [
         built[name].select(
             F.lit(name).alias("table_name"),
             key.alias("row_key"),
             F.col("row_count" if name == "summary" else "trip_count").alias("trips"),
-            "sum_total_amount",
+            *[m for m in measures if m in built[name].columns],
         )
         for name, key in keys.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 @query

@@ -304,15 +304,21 @@ ORACLE: dict[str, str] = {
   CASE WHEN sum(fare_amount) > 0 THEN round(sum(tip_amount) / sum(fare_amount) * 100.0, 4) END AS tip_to_fare_pct
 FROM yearly GROUP BY 1, 2""",
     "trip_suite": _TRIPS
-    + """SELECT 'summary' AS table_name, '' AS row_key, count(*) AS trips,
-  round(sum(total_amount), 2) AS sum_total_amount FROM yearly
-UNION ALL SELECT 'hourly', strftime(pickup_ts, '%Y-%m-%d %H'), count(*), round(sum(total_amount), 2)
-  FROM yearly GROUP BY 2
-UNION ALL SELECT 'borough_summary', pickup_borough, count(*), round(sum(total_amount), 2) FROM yearly GROUP BY 2
-UNION ALL SELECT 'zone_summary', concat_ws('/', pickup_borough, pickup_zone, pickup_service_zone), count(*),
-  round(sum(total_amount), 2) FROM yearly GROUP BY 2
-UNION ALL SELECT 'payment_tip_summary', payment_type || '/' || payment_type_label, count(*),
-  round(sum(total_amount), 2) FROM yearly GROUP BY 2""",
+    + """, parts AS (
+  SELECT 'summary' AS table_name, '' AS row_key, * FROM yearly
+  UNION ALL SELECT 'hourly', strftime(pickup_ts, '%Y-%m-%d %H'), * FROM yearly
+  UNION ALL SELECT 'borough_summary', pickup_borough, * FROM yearly
+  UNION ALL SELECT 'zone_summary', concat_ws('/', pickup_borough, pickup_zone, pickup_service_zone), * FROM yearly
+  UNION ALL SELECT 'payment_tip_summary', payment_type || '/' || payment_type_label, * FROM yearly
+)
+SELECT table_name, row_key, count(*) AS trips, round(sum(total_amount), 2) AS sum_total_amount,
+  CASE WHEN table_name = 'summary' THEN round(avg(passenger_count), 4) END AS avg_passenger_count,
+  CASE WHEN table_name IN ('summary', 'borough_summary', 'zone_summary') THEN round(avg(trip_distance), 4) END
+    AS avg_trip_distance,
+  CASE WHEN table_name <> 'hourly' THEN round(avg(tip_pct), 4) END AS avg_tip_pct,
+  CASE WHEN table_name = 'payment_tip_summary' AND sum(fare_amount) > 0
+    THEN round(sum(tip_amount) / sum(fare_amount) * 100.0, 4) END AS tip_to_fare_pct
+FROM parts GROUP BY table_name, row_key""",
     "top10_zones": _TRIPS
     + f"""SELECT pickup_borough, pickup_zone, pickup_service_zone, {_PLACE} FROM yearly GROUP BY 1, 2, 3
 ORDER BY sum(total_amount) DESC LIMIT 10""",

@@ -31,7 +31,8 @@ _KEYS = {
     PLACE: (_PLACE_KEY,),
     PAYMENT: ("payment_type",),
 }
-_MEASURES = {DAY: M.SUMMARY, HOUR: M.HOURLY, PLACE: M.PLACE, PAYMENT: M.PAYMENT}
+# The summary is built from days or hours, so those carry its measures.
+_MEASURES = {DAY: M.SUMMARY, HOUR: (*M.HOURLY, *M.SUMMARY), PLACE: M.PLACE, PAYMENT: M.PAYMENT}
 
 
 def _grain_ids(sets: Sequence[Sequence[str]], keys: Sequence[str]) -> list[int]:

@@ -18,7 +18,7 @@ def spark():
         "tests",
         "local[8]",
         conf={
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
