@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import roles
 from kerbline.functions.expressions import blank, percent
+from kerbline.operators.lookup import heaviest, left_by_shuffle
 from kerbline.sources.events import REQUIRED_FIELDS
 
 DUPLICATE = "duplicate_taxi_record"
@@ -147,28 +148,20 @@ def mark_duplicates(df: DataFrame) -> DataFrame:
 
     Counting the signatures combines on the map side, so a signature held by a large share of the rows costs one
     counter per task, where a window over the signature would gather all its rows in one task. Only the signatures
-    that repeat are joined back; AQE broadcasts them when they are few and splits a hot signature's rows when not.
-    Rows with an incomplete signature match nothing; they are spread by a hash of the whole row.
+    that repeat are joined back, the most frequent of them by broadcast. Incomplete signatures match nothing.
     """
     keys = _signature(df)
     if not keys:
         return df
-    complete = reduce(and_, [column.isNotNull() for column in keys.values()])
-    spread = F.when(complete, F.xxhash64(*keys.values())).otherwise(F.xxhash64(*[F.col(c) for c in df.columns]))
-    keyed = df.withColumns({**keys, "_spread": spread})
-    on = ["_spread", *keys]
+    keyed = df.withColumns(keys)
     repeated = (
         keyed.where(_complete(list(keys)))
-        .groupBy(*on)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
     )
-    return (
-        keyed.join(repeated, on, "left")
-        .withColumn(f"dq_{DUPLICATE}", F.col("_copies").isNotNull())
-        .drop("_copies", *on)
-        .select(*df.columns, f"dq_{DUPLICATE}")
-    )
+    marked = left_by_shuffle(keyed, repeated, list(keys), heaviest(repeated, "_copies"))
+    return marked.select(*df.columns, F.col("_copies").isNotNull().alias(f"dq_{DUPLICATE}"))
 
 
 def duplicate_signatures(df: DataFrame) -> DataFrame:

@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import roles
 from kerbline.functions.expressions import event_time, payment_label, percent, ratio
+from kerbline.operators.lookup import BROADCAST_ROWS, fits_broadcast, left_lookup
 
 NUMERIC = ("passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")
 PLACE_ATTRIBUTES = {"Borough": "borough", "Zone": "zone", "service_zone": "service_zone"}
 UNKNOWN_PLACE = "Unknown"
 
-# A lookup side with at most this many rows (tens of MB as a hash table) is sent to every executor.
-BROADCAST_ROWS = 200_000
-
 
 def prepare(df: DataFrame, *, keep_undated: bool = False) -> DataFrame:
     """Typed trip columns plus pickup date and hour, payment label and tip shares.
@@ -47,20 +45,15 @@ def in_year(df: DataFrame, year: int | None) -> DataFrame:
     return df.where((F.col("pickup_ts") >= start) & (F.col("pickup_ts") < end))
 
 
-def fits_broadcast(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure the dimension, reading at most one row past the bound."""
-    return dimension.limit(max_rows + 1).count() <= max_rows
-
-
 def attach_zones(df: DataFrame, zones: DataFrame | None, *, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Pickup and dropoff place names; places the dimension lacks are 'Unknown'.
 
     The dimension is unique by key, so no row is multiplied. It is broadcast after its size was measured; a larger one
-    is joined by shuffle, where AQE splits the partition of a location that holds a large share of the trips.
+    is joined by shuffle, with the locations that hold a large share of the trips handled apart.
     """
     if zones is None:
         return df
-    side = F.broadcast(zones) if fits_broadcast(zones, max_broadcast_rows) else zones
+    small = fits_broadcast(zones, max_broadcast_rows)
     named = df
     filled: list[str] = []
     for end, candidates in (("pickup", roles.PICKUP_PLACE), ("dropoff", roles.DROPOFF_PLACE)):
@@ -68,7 +61,7 @@ def attach_zones(df: DataFrame, zones: DataFrame | None, *, max_broadcast_rows:
         if key is None:
             continue
         names = {attribute: f"{end}_{suffix}" for attribute, suffix in PLACE_ATTRIBUTES.items()}
-        lookup = side.select(F.col("LocationID").alias(key), *[F.col(a).alias(n) for a, n in names.items()])
-        named = named.join(lookup, key, "left")
+        lookup = zones.select(F.col("LocationID").alias(key), *[F.col(a).alias(n) for a, n in names.items()])
+        named = left_lookup(named, lookup, key, small=small)
         filled += names.values()
     return named.fillna(UNKNOWN_PLACE, subset=filled) if filled else named

@@ -90,14 +90,22 @@ def _places(rolled: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def summary(rolled: DataFrame, zones: DataFrame | None = None, *, days: str = HOUR) -> DataFrame:
-    """The one-row summary from the `days` grain (DAY or HOUR), and the borough count from the PLACE grain."""
-    table = _at(rolled, days).agg(
-        *_merged(rolled, M.SUMMARY), F.countDistinct("pickup_date").alias("active_days")
-    )
+    """The one-row summary from the `days` grain (DAY or HOUR), and the borough count from the PLACE grain.
+
+    Both grains go through one aggregate, so that rolled-up rows which are not stored are computed once.
+    """
+    own = F.col("_grain") == days
+    partials = [c for m in _present(rolled, M.SUMMARY) for c in m.partials()]
+    carried = {c: F.when(own, F.col(c)) for c in dict.fromkeys(partials)}
+    measures = [*_merged(rolled, M.SUMMARY), F.countDistinct("pickup_date").alias("active_days")]
     if zones is None or _PLACE_KEY not in rolled.columns:
-        return table
-    boroughs = _places(rolled, zones).agg(F.countDistinct("pickup_borough"))
-    return table.withColumn("active_pickup_boroughs", boroughs.scalar())
+        return rolled.where(own).agg(*measures)
+    both = rolled.where(own | (F.col("_grain") == PLACE)).withColumns(carried)
+    places = zones.select(F.col("LocationID").alias(_PLACE_KEY), "Borough")
+    borough = F.when(F.col("_grain") == PLACE, F.coalesce("Borough", F.lit(trips.UNKNOWN_PLACE)))
+    return both.join(places, _PLACE_KEY, "left").agg(
+        *measures, F.countDistinct(borough).alias("active_pickup_boroughs")
+    )
 
 
 def hourly(rolled: DataFrame) -> DataFrame:

@@ -119,25 +119,38 @@ def progress(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFram
 # Update mode emits a window again whenever it changes. Every micro-batch writes what it emitted under its own batch
 # id, by overwriting, so a batch that is run again after a failure replaces its own rows. Readers take the last batch
 # of each window. Rows also carry the day of their window, for pruning.
+#
+# Batches are kept in generations. The first batch of a generation writes every window (one small row each), so the
+# running query reads one generation, however long it runs, and older ones can be removed.
 
 WINDOW_KEY = ("window_start", "window_end")
+GENERATION_BATCHES = 500
+
+
+def opens_generation(batch_id: int) -> bool:
+    return batch_id % GENERATION_BATCHES == 0
 
 
 def save_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     dated = rows.withColumn("window_day", F.to_date("window_start"))
-    dated.write.mode("overwrite").partitionBy("window_day").parquet(f"{path}/batch_id={batch_id}")
+    target = f"{path}/generation={batch_id // GENERATION_BATCHES}/batch_id={batch_id}"
+    dated.write.mode("overwrite").partitionBy("window_day").parquet(target)
 
 
 def stored(spark: SparkSession, path: str, schema: T.StructType, *, before_batch: int | None = None) -> DataFrame:
-    """All saved rows with their batch id; an empty frame before the first batch."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("window_day", T.DateType())])
+    """Saved rows with their batch id: all of them, or what a batch has to know of the ones before it. An empty frame
+    before the first batch."""
+    places = [T.StructField("batch_id", T.LongType()), T.StructField("window_day", T.DateType())]
+    source = path if before_batch is None else f"{path}/generation={max(before_batch - 1, 0) // GENERATION_BATCHES}"
+    full = T.StructType([*schema.fields, T.StructField("generation", T.LongType()), *places])
     try:
-        rows = spark.read.schema(full).parquet(path)
+        rows = spark.read.schema(full).option("basePath", path).parquet(source)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.createDataFrame([], full)
-    return rows if before_batch is None else rows.where(F.col("batch_id") < before_batch)
+    kept = rows if before_batch is None else rows.where(F.col("batch_id") < before_batch)
+    return kept.drop("generation")
 
 
 def latest(rows: DataFrame, key: Iterable[str] = WINDOW_KEY) -> DataFrame:

@@ -50,20 +50,24 @@ def scored_batches(
         fresh = batch.persist()
         try:
             first = fresh.agg(F.min("window_start").alias("first")).head()["first"]
-            if first is None:
+            if first is None and not jobs.opens_generation(batch_id):
                 return
             known = jobs.latest(jobs.stored(spark, path, SCORED_SCHEMA, before_batch=batch_id))
-            kept = known.join(fresh.select(*jobs.WINDOW_KEY), list(jobs.WINDOW_KEY), "left_anti")
-            rows = kept.select(*FUNNEL_SCHEMA.names).unionByName(fresh.select(*FUNNEL_SCHEMA.names))
-            earlier = rows.where(F.col("window_start") < first).orderBy(F.desc("window_start")).limit(lookback)
-            affected = rows.where(F.col("window_start") >= first)
-            scored = baseline.rolling_baseline(
-                earlier.unionByName(affected),
-                lookback=lookback,
-                min_windows=min_windows,
-                floor=limits.z_stddev_floor,
-            )
-            jobs.save_batch(scored.where(F.col("window_start") >= first), path, batch_id)
+            unchanged = known if first is None else known.where(F.col("window_start") < first)
+            result = unchanged if jobs.opens_generation(batch_id) else unchanged.limit(0)
+            if first is not None:
+                kept = known.join(fresh.select(*jobs.WINDOW_KEY), list(jobs.WINDOW_KEY), "left_anti")
+                rows = kept.select(*FUNNEL_SCHEMA.names).unionByName(fresh.select(*FUNNEL_SCHEMA.names))
+                earlier = rows.where(F.col("window_start") < first).orderBy(F.desc("window_start")).limit(lookback)
+                affected = rows.where(F.col("window_start") >= first)
+                scored = baseline.rolling_baseline(
+                    earlier.unionByName(affected),
+                    lookback=lookback,
+                    min_windows=min_windows,
+                    floor=limits.z_stddev_floor,
+                )
+                result = result.unionByName(scored.where(F.col("window_start") >= first))
+            jobs.save_batch(result, path, batch_id)
         finally:
             fresh.unpersist()
 

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kerbline.functions import expressions as X
-from kerbline.operators import baseline, clicks, metrics, quality, trips
+from kerbline.operators import baseline, clicks, lookup, metrics, quality, trips
 from kerbline.operators.clicks import Windowing
 from kerbline.plans import trip_tables
 from kerbline.sources import standins
@@ -142,6 +142,31 @@ def test_a_third_of_all_rows_are_copies_of_one(spark, hot):
     assert quality.duplicate_signatures(prepared).count() == (1 if expected else 0)
 
 
+def test_hot_location_with_a_dimension_too_large_to_broadcast(spark, monkeypatch):
+    """A third of the trips start at one place and a third at none; the shuffle join gives what the broadcast gives."""
+    monkeypatch.setattr(lookup, "HOT_ROWS", 100)
+    monkeypatch.setattr(lookup, "HOT_KEYS", 2)
+    place = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 500).cast("long")
+    raw = spark.range(3000).select(
+        F.lit("2023-01-01 00:00:00").alias("pickup_datetime"),
+        place.alias("PULocationID"),
+        (F.col("id") % 50).alias("DOLocationID"),
+        F.col("id").alias("fare_amount"),
+    )
+    zones = spark.range(0, 500, 2).select(
+        F.col("id").alias("LocationID"),
+        *[F.concat(F.lit(c[0]), F.col("id").cast("string")).alias(c) for c in ("Borough", "Zone", "service_zone")],
+    ).unionByName(spark.createDataFrame([(7, "hot", "hot", None)], ZONE))
+    prepared = trips.prepare(raw)
+    near = trips.attach_zones(prepared, zones)
+    far = trips.attach_zones(prepared, zones, max_broadcast_rows=10)
+    assert far.columns == [c for c in far.columns if c in near.columns]
+    far = far.select(*near.columns)
+    assert far.count() == 3000
+    assert near.exceptAll(far).count() == 0
+    assert near.where("pickup_borough = 'hot'").count() >= 1000
+
+
 def test_nearly_equal_amounts_are_the_same_trip(spark):
     at = datetime(2023, 1, 1)
     rows = [(1, at, at, 1, 1, 1.0, 0.1 + 0.2, 5.0, 1.0, 6.0, 1), (1, at, at, 1, 1, 1.0, 0.3, 5.0, 1.0, 6.0, 1)]

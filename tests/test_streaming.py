@@ -157,6 +157,22 @@ def test_rerun_of_a_batch_replaces_its_rows(spark):
     assert [(r["total_sessions"], r["baseline_window_count"]) for r in kept] == [(5, 0), (9, 1)]
 
 
+def test_generations_carry_the_state(spark, monkeypatch):
+    """With two batches per generation, only the last generation is needed to continue; an empty batch opens one."""
+    monkeypatch.setattr(jobs, "GENERATION_BATCHES", 2)
+    path = shared_dir(spark, "generations")
+    write = pipeline.scored_batches(path)
+    empty = spark.createDataFrame([], pipeline.FUNNEL_SCHEMA)
+    for batch_id in range(6):
+        at = START + timedelta(hours=batch_id)
+        row = (at, at + timedelta(hours=1), batch_id + 1, 1, 1, 1, 1, 1, 1.0, 1.0, 1.0, 1.0)
+        write(empty if batch_id == 4 else spark.createDataFrame([row], pipeline.FUNNEL_SCHEMA), batch_id)
+    last = spark.read.parquet(f"{path}/generation=2")
+    assert last.select("window_start").distinct().count() == 5
+    kept = pipeline.scored_windows(spark, path).orderBy("window_start").collect()
+    assert [(r["total_sessions"], r["baseline_window_count"]) for r in kept] == [(1, 0), (2, 1), (3, 2), (4, 3), (6, 4)]
+
+
 def test_alert_that_no_longer_holds_disappears(spark):
     path = shared_dir(spark, "retract")
     write = pipeline.scored_batches(path)
