@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import roles
 from kerbline.functions.expressions import blank, percent
-from kerbline.operators.lookup import heaviest, left_by_shuffle
+from kerbline.operators.lookup import BROADCAST_ROWS, fits_broadcast, heaviest, left_by_shuffle
+from kerbline.session import settle
 from kerbline.sources.events import REQUIRED_FIELDS
 
 DUPLICATE = "duplicate_taxi_record"
@@ -143,24 +144,25 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(key).isNotNull() for key in keys])
 
 
-def mark_duplicates(df: DataFrame) -> DataFrame:
+def mark_duplicates(df: DataFrame, *, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add `dq_duplicate_taxi_record`: the row's whole signature occurs more than once.
 
     Counting the signatures combines on the map side, so a signature held by a large share of the rows costs one
-    counter per task, where a window over the signature would gather all its rows in one task. Only the signatures
-    that repeat are joined back, the most frequent of them by broadcast. Incomplete signatures match nothing.
+    counter per task, where a window over the signature would gather all its rows in one task. The signatures that
+    repeat are written to the shared folder when this is called. If they are few, they are broadcast and the rows
+    are not shuffled at all; else they are joined by shuffle, the most frequent of them apart. Incomplete signatures
+    match nothing.
     """
     keys = _signature(df)
     if not keys:
         return df
     keyed = df.withColumns(keys)
-    repeated = (
-        keyed.where(_complete(list(keys)))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .where(F.col("_copies") > 1)
-    )
-    marked = left_by_shuffle(keyed, repeated, list(keys), heaviest(repeated, "_copies"))
+    counted = keyed.where(_complete(list(keys))).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = settle(counted.where(F.col("_copies") > 1), "repeated-signatures")
+    if fits_broadcast(repeated, max_broadcast_rows):
+        marked = keyed.join(F.broadcast(repeated), list(keys), "left")
+    else:
+        marked = left_by_shuffle(keyed, repeated, list(keys), heaviest(repeated, "_copies"))
     return marked.select(*df.columns, F.col("_copies").isNotNull().alias(f"dq_{DUPLICATE}"))
 
 

@@ -137,6 +137,9 @@ def test_a_third_of_all_rows_are_copies_of_one(spark, hot):
     prepared = trips.prepare(raw, keep_undated=True)
     expected = copies if hot == "complete" else 0
     assert quality.flag(prepared).where("dq_duplicate_taxi_record").count() == expected
+    shuffled = quality.mark_duplicates(prepared, max_broadcast_rows=0)
+    assert shuffled.count() == copies + others
+    assert shuffled.where("dq_duplicate_taxi_record").count() == expected
     summary = quality.summary(prepared).head()
     assert (summary["total_rows"], summary["duplicate_taxi_record_rows"]) == (copies + others, expected)
     assert quality.duplicate_signatures(prepared).count() == (1 if expected else 0)
@@ -167,6 +170,16 @@ def test_hot_location_with_a_dimension_too_large_to_broadcast(spark, monkeypatch
     assert near.where("pickup_borough = 'hot'").count() >= 1000
 
 
+def test_duplicates_by_shuffle_equal_those_by_broadcast(spark, sf_dir, monkeypatch):
+    prepared = trips.prepare(standins.trips(spark, sf_dir), keep_undated=True)
+    monkeypatch.setattr(lookup, "HOT_ROWS", 2)
+    monkeypatch.setattr(lookup, "HOT_KEYS", 10)
+    near, far = quality.mark_duplicates(prepared), quality.mark_duplicates(prepared, max_broadcast_rows=5)
+    assert near.where("dq_duplicate_taxi_record").count() > 20
+    assert near.count() == far.count()
+    assert near.exceptAll(far).count() == 0
+
+
 def test_nearly_equal_amounts_are_the_same_trip(spark):
     at = datetime(2023, 1, 1)
     rows = [(1, at, at, 1, 1, 1.0, 0.1 + 0.2, 5.0, 1.0, 6.0, 1), (1, at, at, 1, 1, 1.0, 0.3, 5.0, 1.0, 6.0, 1)]
