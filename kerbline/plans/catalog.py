@@ -23,7 +23,7 @@ from kerbline.streaming import jobs, pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOURS = Windowing("1 hour", "1 hour", "10 minutes")
-DAYS = Windowing("1 day", "1 day", "10 minutes")
+HALF_DAYS = Windowing("12 hours", "12 hours", "10 minutes")
 SLIDING = Windowing("1 hour", "15 minutes", "10 minutes")
 LIMITS = quality.Limits(pickup_year=standins.TRIP_YEAR)
 AS_OF = datetime(1998, 6, 1)
@@ -365,8 +365,9 @@ def zscore_alerts(spark, sf_dir):
 
 @query
 def zscore_alerts_latest(spark, sf_dir):
-    """ST8: the last day's alert, scored against the days before it."""
-    return baseline.latest_z_alert(baseline.rolling_baseline(settle(_funnel(spark, sf_dir, DAYS), "funnel")))
+    """ST8: the alert of the last half day against the twelve before it, at a sensitive threshold."""
+    scored = baseline.rolling_baseline(settle(_funnel(spark, sf_dir, HALF_DAYS), "funnel"))
+    return baseline.latest_z_alert(scored, clicks.AlertLimits(z_threshold=0.8))
 
 
 @query

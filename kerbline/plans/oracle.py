@@ -129,7 +129,7 @@ def _windows(length: str, slide_minutes: int, copies: int) -> str:
 
 
 _HOURS = _windows("1 hour", 60, 1)
-_DAYS = _windows("1 day", 1440, 1)
+_HALF_DAYS = _windows("12 hours", 720, 1)
 _SLIDING = _windows("1 hour", 15, 4)
 
 _METRICS = """metrics AS (
@@ -193,11 +193,16 @@ def _alerts(source: str, spike: str, drop: str) -> str:
 
 _FIXED = ("total_sessions >= 20", "total_sessions > 0 AND total_sessions <= 2")
 _FIXED_ALERTS = _alerts("funnel", *_FIXED)
-_Z_ALERTS = _alerts(
-    "scored",
-    f"CASE WHEN traffic_z_score IS NOT NULL THEN traffic_z_score >= 2 ELSE {_FIXED[0]} END",
-    f"CASE WHEN traffic_z_score IS NOT NULL THEN traffic_z_score <= -2 ELSE {_FIXED[1]} END",
-)
+
+
+def _z_alerts(threshold: float) -> str:
+    return _alerts(
+        "scored",
+        f"CASE WHEN traffic_z_score IS NOT NULL THEN traffic_z_score >= {threshold} ELSE {_FIXED[0]} END",
+        f"CASE WHEN traffic_z_score IS NOT NULL THEN traffic_z_score <= -{threshold} ELSE {_FIXED[1]} END",
+    )
+
+
 _CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"
 
 _WINDOW = f"{_ts('window_start')}, {_ts('window_end')}"
@@ -399,9 +404,9 @@ UNION ALL SELECT 'add_to_cart', add_to_cart_sessions FROM last
 UNION ALL SELECT 'purchase', purchase_sessions FROM last""",
     "traffic_zscore": _with(_CLICKS, _HOURS, _FUNNEL, _BASELINE)
     + f"SELECT {_ts('window_start')}, total_sessions, {_Z_COLUMNS} FROM scored",
-    "zscore_alerts": _with(_CLICKS, _HOURS, _FUNNEL, _BASELINE, _Z_ALERTS)
+    "zscore_alerts": _with(_CLICKS, _HOURS, _FUNNEL, _BASELINE, _z_alerts(2))
     + f"SELECT {_ALERT_COLUMNS}, {_Z_COLUMNS}, 'zscore_vs_recent_hour' AS anomaly_model FROM alerts",
-    "zscore_alerts_latest": _with(_CLICKS, _DAYS, _FUNNEL, _BASELINE, _Z_ALERTS)
+    "zscore_alerts_latest": _with(_CLICKS, _HALF_DAYS, _FUNNEL, _BASELINE, _z_alerts(0.8))
     + f"""SELECT {_ALERT_COLUMNS}, {_Z_COLUMNS}, 'zscore_vs_recent_hour' AS anomaly_model FROM alerts
 WHERE alerts.window_end = (SELECT max(window_end) FROM funnel)""",
     "traffic_baseline": _with(_CLICKS, _HOURS, _FUNNEL)
