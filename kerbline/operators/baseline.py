@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kerbline.functions.expressions import finite, z_score
 from kerbline.operators.clicks import ALERT_COLUMNS, AlertLimits, latest_window, raise_alerts
 
+# The recent past a window is compared with, and the name of that model.
 LOOKBACK_WINDOWS = 12
 MIN_WINDOWS = 2
 MODEL = "zscore_vs_recent_hour"

@@ -306,7 +306,9 @@ def negative_values(fields: Sequence[str] = EVENT_AMOUNTS) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, value: value < 0)
 
 
-def event_report(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, amounts: Sequence[str] = ()) -> DataFrame:
+def event_report(
+    df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, amounts: Sequence[str] = EVENT_AMOUNTS
+) -> DataFrame:
     """Records, records with missing fields, records with a negative amount. Works on streams too."""
     negative = _any([F.col(c).try_cast("double") < 0 for c in amounts if c in df.columns])
     return df.agg(

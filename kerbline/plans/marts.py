@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 from kerbline.functions.expressions import label_order
 from kerbline.sources.reports import EVENT_ROWS_TYPE
 
+# How the comparison table names its two kinds of work.
+BATCH_WORKLOAD = "bounded NYC Taxi aggregation"
+STREAM_WORKLOAD = "clickstream event burst"
+UNNAMED_STREAM = "streaming_demo"
+BATCH_UNIT = "rows/s"
+STREAM_UNIT = "events/s"
+
+
 def _per_second(amount: Column, seconds: Column) -> Column:
     return F.when(seconds > 0, F.round(amount / seconds, 4))
 
@@ -186,19 +194,19 @@ def pipeline_comparison(primary_profiles: DataFrame, streams: DataFrame) -> Data
     batch = primary_profiles.select(
         F.lit("batch").alias("pipeline"),
         F.concat_ws(" / ", "engine", "row_limit_label").alias("variant"),
-        F.lit("bounded NYC Taxi aggregation").alias("workload"),
+        F.lit(BATCH_WORKLOAD).alias("workload"),
         F.col("time_to_first_result_seconds").alias("latency_seconds"),
         F.col("rows_per_second").alias("throughput"),
-        F.lit("rows/s").alias("throughput_unit"),
+        F.lit(BATCH_UNIT).alias("throughput_unit"),
         F.col("row_count").alias("record_count"),
     )
     stream = streams.select(
         F.lit("streaming").alias("pipeline"),
-        F.coalesce("query_name", F.lit("streaming_demo")).alias("variant"),
-        F.lit("clickstream event burst").alias("workload"),
+        F.coalesce("query_name", F.lit(UNNAMED_STREAM)).alias("variant"),
+        F.lit(STREAM_WORKLOAD).alias("workload"),
         F.col("end_to_end_seconds").alias("latency_seconds"),
         F.col("events_per_second").alias("throughput"),
-        F.lit("events/s").alias("throughput_unit"),
+        F.lit(STREAM_UNIT).alias("throughput_unit"),
         F.col("generated_event_count").alias("record_count"),
     )
     return batch.unionByName(stream)

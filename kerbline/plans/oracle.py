@@ -344,10 +344,10 @@ UNION ALL SELECT 'min_pickup_ts', a FROM one UNION ALL SELECT 'max_pickup_ts', z
   round(total_amount, 8) AS total_amount
 FROM (SELECT * FROM yearly ORDER BY yearly.pickup_ts, PULocationID, DOLocationID, yearly.fare_amount LIMIT 500) AS p""",
     "dq_summary": _QUALITY
-    + "SELECT count(*) AS total_rows, count_if(dq_issue_count > 0) AS issue_rows, "
-    + ", ".join(f"count_if(dq_{name}) AS {name}_rows" for name in _RULES)
-    + """, count_if(dq_issue_count = 0) AS clean_rows,
-  round(count_if(dq_issue_count > 0) / count(*) * 100.0, 4) AS issue_rate_pct FROM flagged""",
+    + "SELECT count(*) AS total_rows, count(*) FILTER (WHERE dq_issue_count > 0) AS issue_rows, "
+    + ", ".join(f"count(*) FILTER (WHERE dq_{name}) AS {name}_rows" for name in _RULES)
+    + """, count(*) FILTER (WHERE dq_issue_count = 0) AS clean_rows,
+  round(count(*) FILTER (WHERE dq_issue_count > 0) / count(*) * 100.0, 4) AS issue_rate_pct FROM flagged""",
     "dq_issue_histogram": _QUALITY
     + """SELECT issue, count(*) AS "rows" FROM (SELECT unnest(string_split(dq_issue_names, ',')) AS issue
   FROM flagged WHERE dq_issue_count > 0) GROUP BY 1""",
@@ -363,7 +363,7 @@ FROM (SELECT * FROM yearly ORDER BY yearly.pickup_ts, PULocationID, DOLocationID
   round(fare_amount, 8) AS fare_amount, round(total_amount, 8) AS total_amount, copies
 FROM (SELECT {_SIGNATURE}, count(*) AS copies FROM trips WHERE {_COMPLETE} GROUP BY ALL HAVING count(*) > 1)""",
     "dq_future_ts": _with(_RAW)
-    + """SELECT count(*) AS total_rows, count_if(pickup_ts > TIMESTAMP '1998-06-01') AS no_future_trip_datetime_rows
+    + """SELECT count(*) AS total_rows, count(*) FILTER (WHERE pickup_ts > TIMESTAMP '1998-06-01') AS no_future_trip_datetime_rows
 FROM trips""",
     "event_json_roundtrip": _with(_CLICKS)
     + f"""SELECT event_id, user_id, session_id, event_type, page, product_id, {_ts("event_timestamp")},
@@ -373,8 +373,8 @@ FROM trips""",
   CASE WHEN CAST(event_id AS BIGINT) % 101 <> 0 THEN page END AS page_of_readable_json
 FROM clicks WHERE CAST(event_id AS BIGINT) % 101 = 0 OR CAST(event_id AS BIGINT) % 103 = 0""",
     "click_dq_report": _with(_CLICKS)
-    + """SELECT count(*) AS total_records, count_if(page IS NULL) AS missing_required_rows,
-  count_if(total_amount < 0) AS negative_value_rows FROM clicks""",
+    + """SELECT count(*) AS total_records, count(*) FILTER (WHERE page IS NULL) AS missing_required_rows,
+  count(*) FILTER (WHERE total_amount < 0) AS negative_value_rows FROM clicks""",
     "click_dq_missing_fields": _with(_CLICKS)
     + """SELECT CASE WHEN page IS NULL THEN 'page' ELSE '' END AS missing_fields, count(*) AS "rows"
 FROM clicks GROUP BY 1""",
@@ -457,7 +457,7 @@ UNION ALL SELECT 2, count(*), 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o
     "zorder_content": """SELECT count(*) AS input_rows, count(*) AS output_rows, true AS rows_match,
   true AS content_match FROM lineitem""",
     "dataset_profile": """SELECT 'yellow' AS dataset_variant, 'tpep_pickup_datetime' AS pickup_timestamp_column,
-  count(*) + count_if(l_orderkey % 97 = 0) AS total_rows, true AS has_files FROM lineitem""",
+  count(*) + count(*) FILTER (WHERE l_orderkey % 97 = 0) AS total_rows, true AS has_files FROM lineitem""",
     "role_recommendation": """SELECT * FROM (VALUES
   (0, 'pickup_timestamp', 'tpep_pickup_datetime', 'timestamp'),
   (1, 'dropoff_timestamp', 'tpep_dropoff_datetime', 'timestamp'),
@@ -485,8 +485,8 @@ WHERE engine = 'pyspark' AND row_limit_label = 'full'""",
     + """SELECT variant, latency_seconds FROM compared WHERE pipeline = 'batch' ORDER BY latency_seconds LIMIT 1""",
     "timing_summary": f"""WITH runs AS (
   SELECT d, count(*) AS event_count, count(DISTINCT user_id) AS session_count,
-    CASE WHEN extract(day FROM d) % 7 <> 0 THEN count_if(event_type = 'view') / 1000 END AS p,
-    count_if(event_type = 'click') / 100 AS q
+    CASE WHEN extract(day FROM d) % 7 <> 0 THEN count(*) FILTER (WHERE event_type = 'view') / 1000 END AS p,
+    count(*) FILTER (WHERE event_type = 'click') / 100 AS q
   FROM (SELECT *, CAST(ts AS DATE) AS d FROM events) GROUP BY d
 ), timed AS (SELECT *, round(p + q, 4) AS e FROM runs)
 SELECT {_day("d", "run_day")}, event_count, session_count, round(p, 4) AS publish_seconds,
