@@ -73,7 +73,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "4g"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -282,9 +282,8 @@ def issue_rows(flagged: DataFrame) -> DataFrame:
     return flagged.where("dq_has_issue").select(*[c for c in ISSUE_COLUMNS if c in flagged.columns])
 
 
-def worst_issue_rows(flagged: DataFrame, count: int) -> DataFrame:
-    """The rows with most issues first, oldest first among equals; the other columns settle what is left."""
-    rows = issue_rows(flagged)
+def worst_first(rows: DataFrame, count: int) -> DataFrame:
+    """The issue rows with most issues, oldest first among equals; the other columns settle what is left."""
     rest = [F.asc(c) for c in rows.columns if c not in ("pickup_ts", "dq_issue_count")]
     return rows.orderBy(F.desc("dq_issue_count"), F.asc("pickup_ts"), *rest).limit(count)
 

@@ -212,7 +212,7 @@ def dq_issue_rows(spark, sf_dir):
 @row_query
 def dq_worst_rows(spark, sf_dir):
     """The rows with most issues."""
-    return quality.worst_issue_rows(quality.flag(_checked(spark, sf_dir), LIMITS), 200)
+    return quality.worst_first(quality.issue_rows(quality.flag(_checked(spark, sf_dir), LIMITS)), 200)
 
 
 @query
@@ -394,20 +394,20 @@ def _to_files(df: DataFrame, name: str) -> DataFrame:
 @query
 def stream_window_append(spark, sf_dir):
     """ST2 ST3 ST9 ST11 ST14 ST15 K8: windows the watermark has closed."""
-    closed = _to_files(clicks.event_metrics(_stream(spark, sf_dir), HOURS), "events")
+    closed = _to_files(clicks.event_metrics(_stream(spark, sf_dir), HOURS), "window_append")
     return closed.select("window_start", "window_end", "event_type", "event_count")
 
 
 @query
 def stream_funnel_append(spark, sf_dir):
     """ST4 with exact counts, in two stateful steps."""
-    return _to_files(clicks.funnel(_stream(spark, sf_dir), HOURS, exact=True), "funnel")
+    return _to_files(clicks.funnel(_stream(spark, sf_dir), HOURS, exact=True), "funnel_append")
 
 
 @query
 def stream_alerts(spark, sf_dir):
     """ST5 over the closed windows of the exact stream funnel."""
-    return clicks.alerts(_to_files(clicks.funnel(_stream(spark, sf_dir), HOURS, exact=True), "funnel"))
+    return clicks.alerts(_to_files(clicks.funnel(_stream(spark, sf_dir), HOURS, exact=True), "alert_funnel"))
 
 
 @query
@@ -438,7 +438,7 @@ def stream_progress(spark, sf_dir):
     """ST12 A17: input rows and number of batches per query."""
     base = shared_dir(spark, "progress")
     started = jobs.start(
-        clicks.event_metrics(_stream(spark, sf_dir), HOURS), "events", sink="parquet", output=base, checkpoints=base
+        clicks.event_metrics(_stream(spark, sf_dir), HOURS), "watched", sink="parquet", output=base, checkpoints=base
     )
     jobs.drain([started])
     return jobs.progress(spark, [started]).groupBy("query_name").agg(F.sum("num_input_rows").alias("input_rows"))
@@ -598,16 +598,23 @@ def dataset_profile(spark, sf_dir):
     return profile.select("dataset_variant", "pickup_timestamp_column", "total_rows", (F.col("file_count") > 0).alias("has_files"))
 
 
+def _with_rows(described: DataFrame, data: DataFrame) -> DataFrame:
+    """A description of a dataset's columns next to its number of rows, as the inspection report has them."""
+    return described.withColumn("total_rows", data.agg(F.count(F.lit(1))).scalar())
+
+
 @query
 def role_recommendation(spark, sf_dir):
     """P17."""
-    return tables.recommended_columns(standins.trips(spark, sf_dir))
+    raw = standins.trips(spark, sf_dir)
+    return _with_rows(tables.recommended_columns(raw), raw)
 
 
 @query
 def schema_table(spark, sf_dir):
     """P18."""
-    return tables.schema_rows(standins.table(spark, sf_dir, "orders")).drop("nullable")
+    orders = standins.table(spark, sf_dir, "orders")
+    return _with_rows(tables.schema_rows(orders).drop("nullable"), orders)
 
 
 # --- marts ----------------------------------------------------------------------------------------------------------

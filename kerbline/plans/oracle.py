@@ -422,7 +422,7 @@ WHERE alerts.window_end = (SELECT max(window_end) FROM funnel)""",
 WHERE event_id % 101 = 0 OR event_id % 103 = 0""",
     "stream_first_delivery": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts("ts", "event_timestamp")}
 FROM events""",
-    "stream_progress": "SELECT 'events' AS query_name, count(*) AS input_rows FROM events",
+    "stream_progress": "SELECT 'watched' AS query_name, count(*) AS input_rows FROM events",
     "layout_pruned_query": f"""SELECT layout, '1997-03' AS ship_month, 'A' AS l_returnflag, count(*) AS matched_rows,
   round(sum(l_extendedprice), 2) AS sum_total_amount
 FROM lineitem, {_LAYOUTS} WHERE strftime(l_shipdate, '%Y-%m') = '1997-03' AND l_returnflag = 'A' GROUP BY layout""",
@@ -458,7 +458,8 @@ UNION ALL SELECT 2, count(*), 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o
   true AS content_match FROM lineitem""",
     "dataset_profile": """SELECT 'yellow' AS dataset_variant, 'tpep_pickup_datetime' AS pickup_timestamp_column,
   count(*) + count(*) FILTER (WHERE l_orderkey % 97 = 0) AS total_rows, true AS has_files FROM lineitem""",
-    "role_recommendation": """SELECT * FROM (VALUES
+    "role_recommendation": """SELECT *, (SELECT count(*) + count(*) FILTER (WHERE l_orderkey % 97 = 0) FROM lineitem)
+  AS total_rows FROM (VALUES
   (0, 'pickup_timestamp', 'tpep_pickup_datetime', 'timestamp'),
   (1, 'dropoff_timestamp', 'tpep_dropoff_datetime', 'timestamp'),
   (2, 'pickup_zone', 'PULocationID', 'bigint'), (3, 'dropoff_zone', 'DOLocationID', 'bigint'),
@@ -466,7 +467,7 @@ UNION ALL SELECT 2, count(*), 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o
   (6, 'payment_type', 'payment_type', 'bigint'), (7, 'fare_amount', 'fare_amount', 'double'),
   (8, 'tip_amount', 'tip_amount', 'double'), (9, 'total_amount', 'total_amount', 'double')
 ) AS t("position", role, "column", type)""",
-    "schema_table": """SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'),
+    "schema_table": """SELECT *, (SELECT count(*) FROM orders) AS total_rows FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'),
   (2, 'o_orderstatus', 'string'), (3, 'o_totalprice', 'double'), (4, 'o_orderdate', 'timestamp_ntz'),
   (5, 'o_orderpriority', 'string')) AS t("position", name, type)""",
     "variant_pivot_ratio": _with(_RESULTS)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from kerbline import shared_dir
 from kerbline.functions.expressions import row_count_label
-from kerbline.operators import layout, metrics, trips, versions
-from kerbline.plans import marts, trip_tables
+from kerbline.operators import layout, metrics, quality, trips, versions
+from kerbline.plans import batch, marts, trip_tables
 from kerbline.sources import sinks, standins, tables
 from kerbline.sources.reports import REPORT_SCHEMA
 
@@ -107,9 +107,29 @@ def test_outputs(spark, sf_dir, fmt, capsys):
     assert len(sinks.head(outputs["hourly"], 3)) == 3
 
 
-def test_issue_rows_go_where_told(spark, sf_dir):
-    from kerbline.operators import quality
+def test_batch_job(spark, sf_dir, capsys):
+    base = shared_dir(spark, "job")
+    standins.trips(spark, sf_dir).write.parquet(f"{base}/in")
+    standins.zones(spark, sf_dir).write.option("header", True).csv(f"{base}/zones")
+    limits = quality.Limits(pickup_year=1997)
+    built = batch.run(
+        spark, f"{base}/in", f"{base}/zones", f"{base}/out", limits=limits, issues_path=f"{base}/issues", show_rows=2
+    )
+    assert set(built) == {
+        "summary", "hourly", "borough_summary", "zone_summary", "payment_tip_summary", "quality_summary",
+        "quality_issue_rows",
+    }
+    for name in set(built) - {"quality_issue_rows"}:
+        assert spark.read.parquet(f"{base}/out/{name}").count() == built[name].count()
+    counts = spark.read.parquet(f"{base}/out/quality_summary").head()
+    assert spark.read.parquet(f"{base}/issues").count() == counts["issue_rows"]
+    assert counts["missing_pickup_timestamp_rows"] > 0
+    assert "zone_summary" in capsys.readouterr().out
+    placeless = batch.build(tables.read_trips(spark, f"{base}/in"), None, limits)
+    assert set(built) - set(placeless) == {"borough_summary", "zone_summary"}
 
+
+def test_issue_rows_go_where_told(spark, sf_dir):
     base, other = shared_dir(spark, "issues"), shared_dir(spark, "other")
     rows = quality.issue_rows(quality.flag(trips.prepare(standins.trips(spark, sf_dir)), quality.Limits(1997)))
     sinks.write_issue_rows(rows, base)
