@@ -67,11 +67,13 @@ def start_batches(
 
 
 def drain(queries: Iterable[StreamingQuery]) -> None:
-    """Wait until every query has ended; when one fails, stop the others and raise."""
+    """Wait until every query has ended; when one fails, stop the others and raise. Each is looked at in turn, so a
+    failure is seen even while another query runs on."""
     running = list(queries)
+    waiting = running
     try:
-        for query in running:
-            query.awaitTermination()
+        while waiting:
+            waiting = [query for query in waiting if not query.awaitTermination(1)]
     finally:
         stop_all(running)
 

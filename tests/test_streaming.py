@@ -105,6 +105,27 @@ def test_memory_sink_keeps_every_refinement(spark):
     assert {r["query_name"] for r in progress.collect()} == {name}
 
 
+def test_console_sink(spark):
+    stream = E.envelope_stream(spark, write_batches(spark, [[record(1, 0)]]))
+    shown = jobs.start(clicks.parse(stream), "shown", sink="console", checkpoints=shared_dir(spark, "cp"), mode="append")
+    jobs.drain([shown])
+    assert shown.exception() is None
+
+
+def test_failure_stops_the_other_queries(spark):
+    stream = E.envelope_stream(spark, write_batches(spark, [[record(1, 0)]]))
+    base = shared_dir(spark, "failing")
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no room left")
+
+    endless = jobs.start_batches(stream, "endless", lambda b, i: None, checkpoints=base, every_seconds=1, mode="append")
+    broken = jobs.start_batches(stream, "broken", fail, checkpoints=base, mode="append")
+    with pytest.raises(Exception, match="no room left"):
+        jobs.drain([endless, broken])
+    assert not endless.isActive
+
+
 def test_unknown_sink(spark):
     stream = E.envelope_stream(spark, write_batches(spark, [[record(1, 0)]]))
     with pytest.raises(ValueError, match="unknown sink"):
