@@ -189,11 +189,14 @@ def flag(df: DataFrame, limits: Limits = Limits(), *, duplicates: bool = True) -
     names += [FUTURE] if FUTURE in conditions else []
 
     flagged = marked.withColumns({f"dq_{name}": condition for name, condition in conditions.items()})
-    issues = F.array_compact(F.array(*[F.when(F.col(f"dq_{name}"), F.lit(name)) for name in names]))
-    return (
-        flagged.withColumn("dq_issue_names", issues)
-        .withColumn("dq_issue_count", F.size("dq_issue_names"))
-        .withColumn("dq_has_issue", F.col("dq_issue_count") > 0)
+    found = [F.coalesce(F.col(f"dq_{name}"), F.lit(False)) for name in names]
+    # Count and any-issue come from the flags themselves: a filter on them needs no array.
+    return flagged.withColumns(
+        {
+            "dq_issue_names": F.array_compact(F.array(*[F.when(f, F.lit(n)) for f, n in zip(found, names, strict=True)])),
+            "dq_issue_count": reduce(lambda a, b: a + b, [f.cast("int") for f in found]),
+            "dq_has_issue": reduce(or_, found),
+        }
     )
 
 

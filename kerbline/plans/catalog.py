@@ -595,7 +595,8 @@ def _trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dataset_profile(spark, sf_dir):
     """Variant, time column and rows of a trip dataset."""
     profile = tables.dataset_profile(_trip_files(spark, sf_dir))
-    return profile.select("dataset_variant", "pickup_timestamp_column", "total_rows", (F.col("file_count") > 0).alias("has_files"))
+    has_files = (F.col("file_count") > 0).alias("has_files")
+    return profile.select("dataset_variant", "pickup_timestamp_column", "total_rows", has_files)
 
 
 def _with_rows(described: DataFrame, data: DataFrame) -> DataFrame:

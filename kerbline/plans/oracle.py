@@ -363,7 +363,8 @@ FROM (SELECT * FROM yearly ORDER BY yearly.pickup_ts, PULocationID, DOLocationID
   round(fare_amount, 8) AS fare_amount, round(total_amount, 8) AS total_amount, copies
 FROM (SELECT {_SIGNATURE}, count(*) AS copies FROM trips WHERE {_COMPLETE} GROUP BY ALL HAVING count(*) > 1)""",
     "dq_future_ts": _with(_RAW)
-    + """SELECT count(*) AS total_rows, count(*) FILTER (WHERE pickup_ts > TIMESTAMP '1998-06-01') AS no_future_trip_datetime_rows
+    + """SELECT count(*) AS total_rows,
+  count(*) FILTER (WHERE pickup_ts > TIMESTAMP '1998-06-01') AS no_future_trip_datetime_rows
 FROM trips""",
     "event_json_roundtrip": _with(_CLICKS)
     + f"""SELECT event_id, user_id, session_id, event_type, page, product_id, {_ts("event_timestamp")},
@@ -467,7 +468,8 @@ UNION ALL SELECT 2, count(*), 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o
   (6, 'payment_type', 'payment_type', 'bigint'), (7, 'fare_amount', 'fare_amount', 'double'),
   (8, 'tip_amount', 'tip_amount', 'double'), (9, 'total_amount', 'total_amount', 'double')
 ) AS t("position", role, "column", type)""",
-    "schema_table": """SELECT *, (SELECT count(*) FROM orders) AS total_rows FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'),
+    "schema_table": """SELECT *, (SELECT count(*) FROM orders) AS total_rows
+FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'),
   (2, 'o_orderstatus', 'string'), (3, 'o_totalprice', 'double'), (4, 'o_orderdate', 'timestamp_ntz'),
   (5, 'o_orderpriority', 'string')) AS t("position", name, type)""",
     "variant_pivot_ratio": _with(_RESULTS)
