@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 import os
+import re
 import sys
 import tempfile
 import uuid
@@ -28,6 +29,9 @@ DELTA_CONF = {
 }
 
 
+_own_folders: dict[str, str] = {}
+
+
 def delta_available() -> bool:
     return importlib.util.find_spec("delta") is not None
 
@@ -66,14 +70,17 @@ def build_session(
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's `spark.checkpoint.dir`, visible to every executor.
 
-    Only a local-mode session that names no such folder gets one of its own.
+    Only a one-process local session that names no such folder gets one of its own, kept per application: the setting
+    itself can't be changed once a session runs.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _own_folders:
+            _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+        root = _own_folders[context.applicationId]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
