@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbline.llm import exact_dedup, sharding, url_rules
+from kerbline.llm import exact_dedup, imatch, language, near_dedup, packing, sharding, url_rules
 from kerbline.llm.common import table
+from kerbline.llm.tokens import tokenizer
 
 #: The rules that the URL query judges by.
 SITE_RULES = (
@@ -26,6 +29,23 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles are similar at 0.85 or more."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 2048 tokens."""
+    ids = tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), ids, capacity=2048, end_id=1))
+
+
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of all documents and of their edited texts."""
+    found = imatch.fingerprint_with_edits(table(spark, sf_dir, "documents"))
+    return found.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed("edited", "edited_sha256")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of texts that are equal but for white space, and the row of each that stays."""
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
@@ -36,10 +56,22 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a network that learned from the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    network = language.fit(docs.select("doc_id", "text", "lang"))
+    known = docs.select("doc_id", "text", (language.fold() == 2).alias("held_out"))
+    return language.predict(spark, known, network).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_near_dedup": op2_near_dedup,
+    "op3_packing": op3_packing,
+    "op4_imatch": op4_imatch,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_sharding": op8_sharding,
+    "op10_language": op10_language,
 }
 
 
@@ -64,6 +96,27 @@ ORACLE: dict[str, str] = {
         )
         SELECT page_id, host, path, CASE {_RULE} END AS rule, CASE {_VERDICT} ELSE 'allow' END AS verdict
         FROM parts""",
+    "op2_near_dedup": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(
+                string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[\\x20\\x09-\\x0D]+'),
+                lambda w: w <> '') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+            FROM split
+        ), one AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+        ), links AS (
+            SELECT a.doc_id AS u, b.doc_id AS v FROM one a JOIN one b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS node, doc_id AS root FROM documents
+            UNION
+            SELECT links.v, reach.root FROM reach JOIN links ON links.u = reach.node WHERE reach.root < links.v
+        ), least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+        SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, sets.doc_id = component_id AS kept
+        FROM sets JOIN least ON least.node = sets.doc_id""".replace("{upper}", _UPPER).replace("{lower}", _LOWER),
     "op5_exact_dedup": """
         WITH norm AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
