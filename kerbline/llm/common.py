@@ -10,7 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbline.session import settle
@@ -65,6 +65,33 @@ def broadcast_if_small(settled: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(settled) if settled.count() * row_bytes <= BROADCAST_BYTES else settled
 
 
+def dealt_in_order(df: DataFrame, group: str, *order: str) -> DataFrame:
+    """The rows, written in ranges of group and order, with the number of their range as `_part`.
+
+    Ranges split a group however large it is; what goes on from range to range is carried by one row per group and range.
+    """
+    return settle(df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()), "ordered")
+
+
+def carried(dealt: DataFrame, group: str, one: Column, all_: Callable[[Column], Column]) -> DataFrame:
+    """group, _part and `_before`: what aggregate `one` of the earlier ranges of a group comes to by aggregate `all_`."""
+    parts = dealt.groupBy(group, "_part").agg(one.alias("_one"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    found = parts.select(group, "_part", all_(F.col("_one")).over(earlier).alias("_before"))
+    return broadcast_if_small(settle(found, "carried"), 64)
+
+
+def row_numbers(df: DataFrame, group: str, *order: str) -> DataFrame:
+    """The rows with `_number`, gapless from 0 within each group (not null) in the given order; no task gets a whole group."""
+    dealt = dealt_in_order(df, group, *order)
+    inside = Window.partitionBy(group, "_part").orderBy(*order)
+    met = dealt.withColumn("_number", F.row_number().over(inside)).join(
+        carried(dealt, group, F.count("*"), F.sum), [group, "_part"]
+    )
+    number = F.col("_number") + F.coalesce("_before", F.lit(0)) - 1
+    return met.withColumn("_number", number.cast("long")).drop("_part", "_before")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; null counts as empty."""
     if column.null_count:
@@ -89,8 +116,11 @@ __all__ = [
     "BROADCAST_BYTES",
     "SPACES",
     "broadcast_if_small",
+    "carried",
+    "dealt_in_order",
     "lower_ascii",
     "map_arrow",
+    "row_numbers",
     "settle",
     "ship",
     "slices",

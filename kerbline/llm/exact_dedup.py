@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbline.llm.common import SPACES, broadcast_if_small, settle
@@ -99,3 +99,27 @@ def duplicates(docs: DataFrame) -> DataFrame:
         (alone | (F.col("row") == F.col("keep_row"))).alias("kept"),
         "text_sha256",
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, that stay: one of each group of equal texts, chosen as in `duplicates`.
+
+    Rows are known by doc_id (null or not) and the digest of their normalised text; of repeated rows one stays.
+    """
+    known = ["doc_id", "text_sha256"]
+    found = duplicates(docs).groupBy(*known).agg(F.count("*").alias("rows"), F.max("kept").alias("stays"))
+    some = settle(found.filter("NOT stays OR rows > 1"), "radix-gone")
+    gone = broadcast_if_small(some.filter("NOT stays").select(*(F.col(c).alias(f"_{c}") for c in known)), 96)
+    again = broadcast_if_small(some.filter("stays").select(*(F.col(c).alias(f"_{c}") for c in known)), 96)
+    rows = docs.withColumn("_digest", F.sha2(normalised(F.col("text")), 256))
+
+    def of(names: DataFrame) -> F.Column:
+        return rows["doc_id"].cast("long").eqNullSafe(names["_doc_id"]) & (rows["_digest"] == names["_text_sha256"])
+
+    left = rows.join(gone, of(gone), "left_anti")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    best = Window.partitionBy("doc_id", "_digest").orderBy(F.char_length("text").desc_nulls_last())
+    repeated = rows.join(again, of(again), "left_semi").withColumn("_nth", F.row_number().over(best)).filter("_nth = 1")
+    single = left.join(again, of(again), "left_anti")
+    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))

@@ -288,3 +288,13 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -> Dat
     return met.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
     )
+
+
+def deduplicated(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, all columns, that stay: of each component the document with the smallest doc_id.
+
+    Rows without a doc_id can't be named by a component; they stay, as do rows that share a doc_id with one that stays.
+    """
+    found = near_duplicates(docs, size=size, percent=percent).filter("NOT kept AND doc_id IS NOT NULL")
+    gone = broadcast_if_small(settle(found.select(F.col("doc_id").alias("_gone")).distinct(), "near-gone"), 16)
+    return docs.join(gone, F.col("doc_id").cast("long") == gone["_gone"], "left_anti")

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import exact_dedup, imatch, language, near_dedup, packing, sharding, url_rules
+from kerbline.llm import exact_dedup, imatch, language, near_dedup, packing, quotes, sharding, token_files, url_rules
 from kerbline.llm.common import table
 from kerbline.llm.tokens import tokenizer
+from kerbline.session import shared_dir
 
 #: The rules that the URL query judges by.
 SITE_RULES = (
@@ -51,6 +52,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order, without quotes."""
+    return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, written to files of coded blocks and read back."""
+    ids = tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    path = shared_dir(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), ids, path, end_id=0)
+    found = token_files.read(spark.read.parquet(path))
+    count = (F.octet_length("ids") / 4).cast("long")
+    return found.select("doc_id", "start", count.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of near equal bytes."""
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
@@ -70,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_imatch": op4_imatch,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quotes": op6_quotes,
+    "op7_token_files": op7_token_files,
     "op8_sharding": op8_sharding,
     "op10_language": op10_language,
 }

@@ -13,7 +13,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import settle
+from kerbline.llm.common import carried, dealt_in_order, row_numbers, settle
 
 PROBES = 63
 #: Blocks of the running sums whose bounds the driver holds, whatever the number of groups.
@@ -37,15 +37,12 @@ def running_groups(sized: DataFrame) -> DataFrame:
     Sums run within range-split parts; one number per part is summed across them.
     """
     groups = sized.groupBy("digest").agg(F.min("doc_id").alias("first"), F.sum("size").alias("bytes"))
-    parts = settle(
-        groups.repartitionByRange("first", "digest").select("*", F.spark_partition_id().alias("part")), "shard-groups"
+    dealt = dealt_in_order(groups.withColumn("all", F.lit(0)), "all", "first", "digest")
+    inside = Window.partitionBy("all", "_part").orderBy("first", "digest").rowsBetween(Window.unboundedPreceding, 0)
+    summed = dealt.withColumn("upto", F.sum("bytes").over(inside)).join(
+        carried(dealt, "all", F.sum("bytes"), F.sum), ["all", "_part"]
     )
-    totals = parts.groupBy("part").agg(F.sum("bytes").alias("all"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("part").orderBy("first", "digest").rowsBetween(Window.unboundedPreceding, 0)
-    summed = parts.withColumn("upto", F.sum("bytes").over(inside)).join(F.broadcast(offsets), "part")
-    upto = F.col("start") + F.col("upto")
+    upto = F.coalesce("_before", F.lit(0)) + F.col("upto")
     return settle(summed.select("digest", (upto - F.col("bytes")).alias("before"), upto.alias("upto")), "shard-sums")
 
 
@@ -76,9 +73,10 @@ class _Sums:
             else:
                 asked[limit] = self.blocks[at][1]
         if asked:
-            ask = self.spark.createDataFrame(list(asked.items()), "limit long, block long")
+            rows = ", ".join(f"({limit}L, {block}L)" for limit, block in asked.items())
+            ask = self.spark.sql(f"SELECT * FROM VALUES {rows} AS asked(`limit`, block)")
             near = self.ends.filter(F.col("block").isin(sorted(set(asked.values()))))
-            rows = near.join(F.broadcast(ask), "block").filter("upto <= limit").groupBy("limit").agg(F.max("upto")).collect()
+            rows = near.join(F.broadcast(ask), "block").filter(F.col("upto") <= F.col("limit")).groupBy("limit").agg(F.max("upto")).collect()
             found |= {row[0]: row[1] for row in rows}
         return [found[limit] for limit in limits]
 
@@ -117,20 +115,12 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     ends = cuts(_Sums(groups), shards)
     number = sum(((F.col("before") >= end).cast("int") for end in ends), F.lit(0))
     placed = sized.join(groups.select("digest", number.alias("shard")), "digest").drop("digest")
-    ordered = settle(
-        placed.repartitionByRange("shard", "doc_id").select("*", F.spark_partition_id().alias("part")), "shard-rows"
-    )
-    counts = ordered.groupBy("shard", "part").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
-    slot = F.col("start") + F.row_number().over(inside) - 1
-    return ordered.join(F.broadcast(offsets), ["shard", "part"]).select(
+    return row_numbers(placed, "shard", "doc_id", "text_crc32", "size").select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
         F.col("shard").cast("int").alias("shard"),
-        slot.cast("long").alias("slot"),
+        F.col("_number").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )

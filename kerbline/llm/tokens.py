@@ -1,12 +1,14 @@
 """Ids of whole texts by a tokenizer file of the `tokenizers` library, at the speed of a dictionary.
 
 The byte-level pre-tokenizer never joins a character with white space after it. So a text may be cut where white space
-begins, each distinct stretch is encoded once by the library, and the text's ids are the stretches' ids in order.
+begins, each distinct stretch is encoded once by the library, and the text's ids are the stretches' ids in order. For the
+same reason new stretches may be encoded as one long text; the bytes that each id stands for tell whose it is.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -18,6 +20,8 @@ from pyspark.sql import SparkSession
 #: Stretches that a worker remembers; then it starts anew. About 200 bytes each.
 REMEMBERED = 500_000
 SLICE_BYTES = 4 << 20
+#: Bytes of new stretches that the library gets as one text.
+RUN_BYTES = 1 << 16
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
@@ -49,6 +53,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        kind = json.loads(tokenizer)
+        before = kind.get("pre_tokenizer") or {}
+        if kind.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+            raise ValueError("texts can be cut for a byte-level tokenizer without normalizer and prefix only")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]  # a character for each byte
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes[number] = len(token.content.encode())
         self._forget()
 
     def _forget(self) -> None:
@@ -62,17 +75,42 @@ class Encoder:
     def _room(array: np.ndarray, size: int) -> np.ndarray:
         return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The stretches in another order, all their ids, and how many each has."""
+        texts = [s.decode() for s in new]
+        # White space at an end would meet that of the next stretch.
+        fits = [t[0].isspace() and t[0] < "\x1c" or t[0] == " " for t in texts]
+        fits = [ok and not t[-1].isspace() for ok, t in zip(fits, texts)]
+        joined = [s for s, ok in zip(new, fits) if ok]
+        single = [s for s, ok in zip(new, fits) if not ok]
+        ids = self._ids([s.decode() for s in single])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        if joined:
+            ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+            cuts = [0, *np.unique(np.searchsorted(ends, np.arange(RUN_BYTES, ends[-1] + RUN_BYTES, RUN_BYTES)) + 1).tolist()]
+            cuts = [c for c in cuts if c < len(joined)] + [len(joined)]
+            more = self._ids([b"".join(joined[a:b]).decode() for a, b in zip(cuts, cuts[1:])])
+            ids += more
+            upto = np.cumsum(self.bytes[np.concatenate(more)])
+            last = np.searchsorted(upto, ends)
+            if not np.array_equal(upto[last], ends):
+                raise ValueError("ids of joined stretches do not end where the stretches do")
+            sizes = np.concatenate([sizes, np.diff(last, prepend=-1)])
+        return single + joined, np.concatenate(ids), sizes
+
     def _numbers(self, distinct: list[bytes]) -> np.ndarray:
         new = [s for s in distinct if s not in self.known]
         if len(self.known) + len(new) > REMEMBERED and self.known:
             self._forget()
             new = distinct
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)]
-            first, sizes = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
-            ends = self.used + np.cumsum(sizes)
+            new, ids, sizes = self._encoded(new)
+            first, ends = len(self.known), self.used + np.cumsum(sizes)
             self.flat = self._room(self.flat, int(ends[-1]))
-            self.flat[self.used : ends[-1]] = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+            self.flat[self.used : ends[-1]] = ids
             self.starts, self.sizes = self._room(self.starts, first + len(new)), self._room(self.sizes, first + len(new))
             self.starts[first : first + len(new)], self.sizes[first : first + len(new)] = ends - sizes, sizes
             self.known |= zip(new, range(first, first + len(new)))
