@@ -1,9 +1,48 @@
-"""Placeholder until the stages' operators are all there."""
+"""From raw documents to packed training windows: language, exact and near duplicates, packing."""
+
+from __future__ import annotations
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kerbline.llm import exact_dedup, language, near_dedup, packing
+from kerbline.llm.common import settle, table
+from kerbline.llm.tokens import tokenizer
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told. The network is trained on the labelled rows of `docs`; where lang is null,
+    the prediction is filled in. Null text, and text without a letter, is rejected, and nothing else."""
+    judged = language.predict(spark, docs, language.fit(docs)).filter(F.col("lang_pred") != language.UNDETERMINED)
+    return judged.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose texts are equal but for white space: the longest, then the smallest doc_id."""
+    return exact_dedup.deduplicated(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component linked by sets of 5-word shingles at a similarity of 0.8 or more."""
+    return near_dedup.deduplicated(docs, size=5, percent=80)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in windows of 2048 tokens, with their ids and checksums."""
+    ids = tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pack(docs, ids, capacity=2048, end_id=1)
+    return pieces.withColumns({"length": (F.octet_length("ids") / 4).cast("long"), "ids_crc32": F.crc32("ids")})
+
+
+STAGES = [("language", language_id), ("exact_dedup", exact), ("near_dedup", near), ("packing", packed)]
 
-STAGES = []
+#: Training, candidate search and tokenisation have no SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
