@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from kerbline.llm.common import broadcast_if_small, settle
 
 
+def _state(edges: DataFrame) -> tuple:
+    """What tells one set of edges from another."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and component (the smallest node reached) of every node that a link a, b touches.
 
@@ -16,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
     minimum is taken next to the scan and joined back from a written table, where Spark can split a large key.
     """
     edges = settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "star-edges")
-    state = None
+    state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
@@ -30,9 +35,8 @@ def components(links: DataFrame) -> DataFrame:
             low.select("u", F.col("low").alias("v"))
         )
         edges = settle(small.filter("u > v").distinct(), "star-edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        before, state = state, _state(edges)
+        if state == before:
             break
-        state = now
     tops = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return settle(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops), "star-labels")

@@ -271,12 +271,15 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -> Dat
 
     pairs = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = settle(_confirmed(_allowed(pairs, nodes, percent), sets, percent), "near-links")
+    labels = components(links)
     for every in (False, True):
-        labels = components(links)
         pairs = settle(_across(members, labels, nodes, percent, every), "near-pairs")
-        if not pairs.isEmpty():
-            links = links.unionByName(settle(_confirmed(pairs, sets, percent), "near-links"))
-    labels = components(links)
+        if pairs.isEmpty():
+            break
+        more = settle(_confirmed(pairs, sets, percent), "near-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
     named = nodes.select("node", "set_key", "first_id").join(labels, "node")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     linked = named.join(settle(least, "near-least"), "component").select("set_key", "component_id")

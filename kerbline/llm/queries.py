@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import exact_dedup, imatch, language, near_dedup, packing, quotes, sharding, token_files, url_rules
+from kerbline.llm import exact_dedup, imatch, language, near_dedup, packing, quotes, sharding, token_files, url_rules, wfst
 from kerbline.llm.common import table
 from kerbline.llm.tokens import tokenizer
 from kerbline.session import shared_dir
@@ -72,6 +72,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op9_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all documents, and the texts that they decode to."""
+    model = wfst.piece_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    found = wfst.decode_ids(wfst.encode_texts(table(spark, sf_dir, "documents"), model), model)
+    count = (F.octet_length("ids") / 4).cast("long")
+    decoded = F.sha2("text", 256).alias("decoded_sha256")
+    return found.select("doc_id", count.alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), decoded)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by a network that learned from the folds that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -89,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quotes": op6_quotes,
     "op7_token_files": op7_token_files,
     "op8_sharding": op8_sharding,
+    "op9_wfst": op9_wfst,
     "op10_language": op10_language,
 }
 

@@ -46,22 +46,10 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.union1d(cut[~odd], starts)
 
 
-class Encoder:
-    """Ids of texts; one per worker and tokenizer."""
+class StretchEncoder:
+    """Ids of texts by way of their distinct stretches, which are remembered. Subclasses say where texts are cut, and encode."""
 
-    def __init__(self, tokenizer: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer)
-        kind = json.loads(tokenizer)
-        before = kind.get("pre_tokenizer") or {}
-        if kind.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
-            raise ValueError("texts can be cut for a byte-level tokenizer without normalizer and prefix only")
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
-        self.bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]  # a character for each byte
-        for number, token in self.tokenizer.get_added_tokens_decoder().items():
-            self.bytes[number] = len(token.content.encode())
+    def __init__(self) -> None:
         self._forget()
 
     def _forget(self) -> None:
@@ -71,43 +59,25 @@ class Encoder:
         self.sizes = np.zeros(1 << 12, np.int64)
         self.used = 0
 
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where stretches begin; every text that is not empty begins one."""
+        raise NotImplementedError
+
+    def encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The stretches in any order, all their ids in that order, and how many each has."""
+        raise NotImplementedError
+
     @staticmethod
     def _room(array: np.ndarray, size: int) -> np.ndarray:
         return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """The stretches in another order, all their ids, and how many each has."""
-        texts = [s.decode() for s in new]
-        # White space at an end would meet that of the next stretch.
-        fits = [t[0].isspace() and t[0] < "\x1c" or t[0] == " " for t in texts]
-        fits = [ok and not t[-1].isspace() for ok, t in zip(fits, texts)]
-        joined = [s for s, ok in zip(new, fits) if ok]
-        single = [s for s, ok in zip(new, fits) if not ok]
-        ids = self._ids([s.decode() for s in single])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        if joined:
-            ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
-            cuts = [0, *np.unique(np.searchsorted(ends, np.arange(RUN_BYTES, ends[-1] + RUN_BYTES, RUN_BYTES)) + 1).tolist()]
-            cuts = [c for c in cuts if c < len(joined)] + [len(joined)]
-            more = self._ids([b"".join(joined[a:b]).decode() for a, b in zip(cuts, cuts[1:])])
-            ids += more
-            upto = np.cumsum(self.bytes[np.concatenate(more)])
-            last = np.searchsorted(upto, ends)
-            if not np.array_equal(upto[last], ends):
-                raise ValueError("ids of joined stretches do not end where the stretches do")
-            sizes = np.concatenate([sizes, np.diff(last, prepend=-1)])
-        return single + joined, np.concatenate(ids), sizes
-
     def _numbers(self, distinct: list[bytes]) -> np.ndarray:
         new = [s for s in distinct if s not in self.known]
         if len(self.known) + len(new) > REMEMBERED and self.known:
             self._forget()
             new = distinct
         if new:
-            new, ids, sizes = self._encoded(new)
+            new, ids, sizes = self.encoded(new)
             first, ends = len(self.known), self.used + np.cumsum(sizes)
             self.flat = self._room(self.flat, int(ends[-1]))
             self.flat[self.used : ends[-1]] = ids
@@ -120,7 +90,7 @@ class Encoder:
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin and end."""
         data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-        cuts = stretches(data, offsets)
+        cuts = self.cuts(data, offsets)
         if not len(cuts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         edges = np.append(cuts, len(data))
@@ -135,6 +105,54 @@ class Encoder:
         return self.flat[source], np.concatenate([[0], ends])[np.searchsorted(cuts, offsets)]
 
 
+class Encoder(StretchEncoder):
+    """Ids by the `tokenizers` library; one per worker and tokenizer."""
+
+    def __init__(self, tokenizer: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_str(tokenizer)
+        kind = json.loads(tokenizer)
+        before = kind.get("pre_tokenizer") or {}
+        if kind.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+            raise ValueError("texts can be cut for a byte-level tokenizer without normalizer and prefix only")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]  # a character for each byte
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes[number] = len(token.content.encode())
+
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return stretches(data, offsets)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The stretches in another order, all their ids, and how many each has."""
+        texts = [s.decode() for s in new]
+        # White space at an end would meet that of the next stretch.
+        fits = [t[0].isspace() and t[0] < "\x1c" or t[0] == " " for t in texts]
+        fits = [ok and not t[-1].isspace() for ok, t in zip(fits, texts)]
+        joined = [s for s, ok in zip(new, fits) if ok]
+        single = [s for s, ok in zip(new, fits) if not ok]
+        ids = self._ids([s.decode() for s in single])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        if joined:
+            ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+            cuts = [0, *np.unique(np.searchsorted(ends, np.arange(RUN_BYTES, ends[-1] + RUN_BYTES, RUN_BYTES)) + 1).tolist()]
+            cuts = [c for c in cuts if c < len(joined)] + [len(joined)]
+            more = self._ids([b"".join(joined[a:b]).decode() for a, b in zip(cuts, cuts[1:])])
+            ids += more
+            upto = np.cumsum(self.bytes[np.concatenate(more)])
+            last = np.searchsorted(upto, ends)
+            if not np.array_equal(upto[last], ends):
+                raise ValueError("ids of joined stretches do not end where the stretches do")
+            sizes = np.concatenate([sizes, np.diff(last, prepend=-1)])
+        return single + joined, np.concatenate(ids), sizes
+
+
 @dataclass(frozen=True)
 class Tokenizer:
     """A tokenizer file's content, sent to every executor once; the file is read on the driver only."""
