@@ -78,16 +78,6 @@ def label_order(label: Column) -> list[Column]:
     ]
 
 
-def table_order(df: DataFrame, *names: str) -> list[Column]:
-    """Report order: sums, averages and counts fall, other columns rise, absent ones are skipped."""
-
-    def direction(name: str) -> Column:
-        measure = name.startswith(("sum_", "avg_")) or name.endswith("_count")
-        return F.desc(name) if measure else F.asc(name)
-
-    return [direction(name) for name in names if name in df.columns]
-
-
 def row_digest(df: DataFrame) -> Column:
     """Order-free checksum of a frame: sum of row hashes, in decimals because a long sum overflows."""
     return F.sum(F.xxhash64(*[F.col(name) for name in sorted(df.columns)]).cast("decimal(20,0)"))

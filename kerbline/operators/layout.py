@@ -95,35 +95,45 @@ def rebalanced(df: DataFrame) -> DataFrame:
 # --- z-order --------------------------------------------------------------------------------------------------------
 
 
-def _image(df: DataFrame, name: str) -> Column:
-    """A number that sorts like the column: quantiles and comparisons need one type."""
-    kind = df.schema[name].dataType
-    column = F.col(name)
-    if isinstance(kind, T.StringType):
-        prefix = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
-    return column.cast("double")
+# Sampled values per bucket from which bounds are taken.
+SAMPLE_PER_BUCKET = 64
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
-    """Position on the z-curve over quantile buckets of the columns, `bits` bits each.
+def z_bits(files: int, columns: int) -> int:
+    """Bits per column that tell four times as many cells apart as there are files."""
+    return max(1, math.ceil((math.log2(max(1, files)) + 2) / columns))
+
 
-    The bucket bounds are one aggregate over the table (a sketch of bounded size per task); they only decide where
-    rows are placed, never what is stored. Rows without a value go to the first bucket.
+def _bounds(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list]:
+    """Evenly spaced values of each column, in Spark's own order of its type.
+
+    They come from a sample of bounded size that reads the named columns only, as range partitioning samples; they decide
+    where rows are placed, never what is stored.
     """
-    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = df.agg(*[F.percentile_approx(_image(df, c), steps).alias(c) for c in columns]).head()
+    buckets = 1 << bits
+    share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, df.count()))
+    sampled = df.select(*columns).where(F.rand(17) < share)
+    found = sampled.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in columns]).head()
+
+    def spread(values: list) -> list:
+        picked = [values[k * len(values) // buckets] for k in range(1, buckets)] if values else []
+        return list(dict.fromkeys(picked))
+
+    return {c: spread(found[c]) for c in columns}
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
+    """Position on the z-curve over buckets of the columns, `bits` bits each. Rows without a value go to the first bucket."""
+    bounds = _bounds(df, columns, bits)
 
     def bucket(name: str) -> Column:
-        image = _image(df, name)
-        above = [F.coalesce(image >= F.lit(b), F.lit(False)).cast("int") for b in sorted(set(bounds[name] or []))]
-        return reduce(lambda a, b: a + b, above, F.lit(0))
+        if not bounds[name]:
+            return F.lit(0)
+        kind = df.schema[name].dataType
+        edges = F.array(*[F.lit(bound).cast(kind) for bound in bounds[name]])
+        return F.size(F.filter(edges, lambda edge: edge <= F.col(name)))
 
-    buckets = [bucket(name) for name in columns]
+    buckets = [bucket(name).cast("bigint") for name in columns]
     pieces = [
         F.shiftleft(F.shiftright(b, bit).bitwiseAND(F.lit(1)), bit * len(columns) + place)
         for bit in range(bits)
@@ -132,15 +142,22 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), pieces)
 
 
-def z_clustered(df: DataFrame, columns: Sequence[str], files: int, *, bits: int = 4) -> DataFrame:
-    """Rows of a file-backed frame in `files` ranges of the z-curve.
+def z_clustered(df: DataFrame, columns: Sequence[str], files: int, *, bits: int | None = None) -> DataFrame:
+    """Rows of a file-backed frame in `files` ranges of the z-curve, sorted by it and by the columns within a file.
 
-    The row's position in its source file breaks ties, so rows that share one z-value (a common value, or many copies
-    of a row) are cut into several ranges. The position is the same when a task is run again.
+    A single column needs no curve: its own order is cut. The row's position in its source file breaks ties, so rows that
+    share one place (a common value, or many copies of a row) are cut into several ranges. The position is the same when
+    a task is run again.
     """
     spot = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    placed = df.withColumns({"_z": z_value(df, columns, bits), "_spot": spot})
-    return placed.repartitionByRange(files, "_z", "_spot").sortWithinPartitions("_z").drop("_z", "_spot")
+    if len(columns) == 1:
+        placed = df.withColumn("_spot", spot)
+        ranged = placed.repartitionByRange(files, *columns, "_spot")
+        return ranged.sortWithinPartitions(*columns, "_spot").drop("_spot")
+    z = z_value(df, columns, z_bits(files, len(columns)) if bits is None else bits)
+    placed = df.withColumns({"_z": z, "_spot": spot})
+    ranged = placed.repartitionByRange(files, "_z", "_spot")
+    return ranged.sortWithinPartitions("_z", *columns, "_spot").drop("_z", "_spot")
 
 
 def file_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:

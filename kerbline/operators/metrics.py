@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions import measures as M
-from kerbline.functions.expressions import percent, table_order
+from kerbline.functions.expressions import percent
 
 BOROUGH_KEYS = ("pickup_borough",)
 ZONE_KEYS = ("pickup_borough", "pickup_zone")
@@ -45,14 +45,14 @@ def by_borough(df: DataFrame) -> DataFrame | None:
     if not set(BOROUGH_KEYS) <= set(df.columns):
         return None
     table = _grouped(df, BOROUGH_KEYS, M.PLACE)
-    return table.orderBy(*table_order(table, "sum_total_amount", "trip_count"))
+    return table.orderBy(*[F.desc(c) for c in ("sum_total_amount", "trip_count") if c in table.columns])
 
 
 def by_zone(df: DataFrame) -> DataFrame | None:
     if not set(ZONE_KEYS) <= set(df.columns):
         return None
     table = _grouped(df, zone_keys(df.columns), M.PLACE)
-    return table.orderBy(*table_order(table, "sum_total_amount", "trip_count"))
+    return table.orderBy(*[F.desc(c) for c in ("sum_total_amount", "trip_count") if c in table.columns])
 
 
 def by_payment(df: DataFrame) -> DataFrame | None:
@@ -60,7 +60,7 @@ def by_payment(df: DataFrame) -> DataFrame | None:
         return None
     keys = [c for c in ("payment_type", "payment_type_label") if c in df.columns]
     table = with_tip_share(_grouped(df, keys, M.PAYMENT))
-    return table.orderBy(*table_order(table, "payment_type", "trip_count"))
+    return table.orderBy(F.asc("payment_type"), F.desc("trip_count"))
 
 
 def top(df: DataFrame, measure: str, count: int = 10) -> DataFrame:

@@ -331,5 +331,8 @@ def repeated_ids(df: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 def first_delivery(stream: DataFrame, key: str = "event_id", *, time: str = "event_timestamp", within: str) -> DataFrame:
-    """A stream without redeliveries that arrive within the given delay of each other."""
-    return stream.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
+    """A stream without redeliveries that arrive within the given delay of each other. An event without an id is no copy
+    of any other, as in `repeated_ids`."""
+    marked = stream.withWatermark(time, within)
+    named = marked.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return named.unionByName(marked.where(F.col(key).isNull()))

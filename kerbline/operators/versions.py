@@ -9,6 +9,7 @@ concurrent writers, is the connector's business (sources.delta).
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -26,7 +27,7 @@ from kerbline.sources.tables import schema_rows
 
 COMMIT_SCHEMA = (
     "version long, committed_at timestamp, operation string, replaces boolean, num_rows long,"
-    " partition_by array<string>, schema_json string"
+    " partition_by array<string>, schema_json string, folder string"
 )
 DEFAULT_CLUSTER_COLUMNS = ("event_date", "channel")
 
@@ -36,7 +37,7 @@ class Snapshot:
     """What a version consists of."""
 
     version: int
-    parts: tuple[int, ...]
+    folders: tuple[str, ...]
     schema: T.StructType
     partition_by: tuple[str, ...]
 
@@ -65,7 +66,7 @@ def _snapshot(rows: Sequence[Row], version: int | None) -> Snapshot | None:
     start = max(row["version"] for row in seen if row["replaces"])
     return Snapshot(
         version=wanted,
-        parts=tuple(row["version"] for row in seen if row["version"] >= start),
+        folders=tuple(row["folder"] for row in seen if row["version"] >= start),
         schema=T.StructType.fromJson(json.loads(seen[-1]["schema_json"])),
         partition_by=tuple(seen[-1]["partition_by"]),
     )
@@ -93,7 +94,8 @@ def commit(
 ) -> int:
     """Write the next version and return its number. `arranged` keeps the frame's own partitions as files.
 
-    The row count in the commit is what the files hold, taken from their footers.
+    Every write has a folder of its own, and a version that is there already is refused: of two writers that start from
+    one version the later fails and destroys nothing. The row count in the commit is what the files hold, taken from their footers.
     """
     spark = df.sparkSession
     rows = _commit_rows(spark, base)
@@ -110,7 +112,8 @@ def commit(
             raise ValueError("new columns need evolve=True")
 
     version = current.version + 1 if current else 0
-    path = f"{base}/data/version={version}"
+    folder = f"version={version}/write={uuid.uuid4().hex}"
+    path = f"{base}/data/{folder}"
     if arranged:
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*folders) if folders else writer).parquet(path)
@@ -126,8 +129,10 @@ def commit(
         written,
         list(folders),
         schema.json(),
+        folder,
     )
-    spark.createDataFrame([entry], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/commits")
+    one = spark.createDataFrame([entry], COMMIT_SCHEMA).coalesce(1)
+    one.write.mode("error").parquet(f"{base}/commits/commit={version}")
     return version
 
 
@@ -139,8 +144,9 @@ def as_of(spark: SparkSession, base: str, version: int | None = None) -> DataFra
     snapshot = _snapshot(_commit_rows(spark, base), version)
     if snapshot is None:
         raise ValueError(f"no versioned table at {base}")
-    with_part = T.StructType([*snapshot.schema.fields, T.StructField("version", T.LongType())])
-    paths = [f"{base}/data/version={part}" for part in snapshot.parts]
+    places = [T.StructField("version", T.LongType()), T.StructField("write", T.StringType())]
+    with_part = T.StructType([*snapshot.schema.fields, *places])
+    paths = [f"{base}/data/{folder}" for folder in snapshot.folders]
     read = spark.read.schema(with_part).option("basePath", f"{base}/data").parquet(*paths)
     return read.select(*snapshot.schema.names)
 

@@ -23,6 +23,7 @@ from kerbline.streaming import jobs, pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOURS = Windowing("1 hour", "1 hour", "10 minutes")
+QUARTERS = Windowing("15 minutes", "15 minutes", "10 minutes")
 HALF_DAYS = Windowing("12 hours", "12 hours", "10 minutes")
 SLIDING = Windowing("1 hour", "15 minutes", "10 minutes")
 LIMITS = quality.Limits(pickup_year=standins.TRIP_YEAR)
@@ -73,8 +74,13 @@ def _shown(build: Query, digits: int) -> Query:
 # --- trips ----------------------------------------------------------------------------------------------------------
 
 
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trip with a pickup time."""
+    return trips.prepare(standins.trips(spark, sf_dir))
+
+
 def _year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.in_year(trips.prepare(standins.trips(spark, sf_dir)), standins.TRIP_YEAR)
+    return trips.in_year(_dated(spark, sf_dir), standins.TRIP_YEAR)
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +89,7 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rolled = trip_tables.rollup(_year(spark, sf_dir), [trip_tables.PLACE])
+    rolled = trip_tables.rollup(_dated(spark, sf_dir), [trip_tables.PLACE])
     return trip_tables.by_zone(rolled, standins.zones(spark, sf_dir))
 
 
@@ -101,20 +107,20 @@ def trips_enriched(spark, sf_dir):
 @query
 def trip_summary(spark, sf_dir):
     """A1 from partial rows per day and per place."""
-    rolled = trip_tables.rollup(_year(spark, sf_dir), [trip_tables.DAY, trip_tables.PLACE])
+    rolled = trip_tables.rollup(_dated(spark, sf_dir), [trip_tables.DAY, trip_tables.PLACE])
     return trip_tables.summary(rolled, standins.zones(spark, sf_dir), days=trip_tables.DAY)
 
 
 @query
 def trips_hourly(spark, sf_dir):
     """A2."""
-    return metrics.hourly(_year(spark, sf_dir))
+    return metrics.hourly(_dated(spark, sf_dir))
 
 
 @query
 def trips_by_borough(spark, sf_dir):
     """A3: trips are grouped by place id before the zones join."""
-    rolled = trip_tables.rollup(_year(spark, sf_dir), [trip_tables.PLACE])
+    rolled = trip_tables.rollup(_dated(spark, sf_dir), [trip_tables.PLACE])
     return trip_tables.by_borough(rolled, standins.zones(spark, sf_dir))
 
 
@@ -127,7 +133,7 @@ def trips_by_zone(spark, sf_dir):
 @query
 def payment_tip_summary(spark, sf_dir):
     """A5."""
-    return metrics.by_payment(_year(spark, sf_dir))
+    return metrics.by_payment(_dated(spark, sf_dir))
 
 
 @query
@@ -163,20 +169,20 @@ def top10_zones(spark, sf_dir):
 @query
 def top_payment_tip_share(spark, sf_dir):
     """O7 on the payment table."""
-    shares = metrics.top(metrics.by_payment(_year(spark, sf_dir)), "tip_to_fare_pct", 10)
+    shares = metrics.top(metrics.by_payment(_dated(spark, sf_dir)), "tip_to_fare_pct", 10)
     return shares.select("payment_type_label", "payment_type", "tip_to_fare_pct")
 
 
 @query
 def hourly_series(spark, sf_dir):
     """O10."""
-    return metrics.hour_series(metrics.hourly(_year(spark, sf_dir))).select("hour_bucket", "trip_count")
+    return metrics.hour_series(metrics.hourly(_dated(spark, sf_dir))).select("hour_bucket", "trip_count")
 
 
 @query
 def summary_transpose(spark, sf_dir):
     """M9."""
-    shown = metrics.summary(_year(spark, sf_dir)).select("row_count", "active_days", "min_pickup_ts", "max_pickup_ts")
+    shown = metrics.summary(_dated(spark, sf_dir)).select("row_count", "active_days", "min_pickup_ts", "max_pickup_ts")
     return marts.transposed(shown)
 
 
@@ -184,7 +190,7 @@ def summary_transpose(spark, sf_dir):
 def first_trips(spark, sf_dir):
     """A row limit that picks the same rows every time."""
     key = ("pickup_ts", "PULocationID", "DOLocationID", "fare_amount")
-    chosen = tables.first_rows(_year(spark, sf_dir), 500, key)
+    chosen = tables.first_rows(_dated(spark, sf_dir), 500, key)
     return chosen.select(*key, "total_amount")
 
 
@@ -357,6 +363,13 @@ def traffic_zscore(spark, sf_dir):
     )
 
 
+@query
+def traffic_zscore_recent(spark, sf_dir):
+    """W3 ST7 by time: event counts per type against the six hours before, on series with gaps."""
+    counts = settle(_metrics(spark, sf_dir, QUARTERS).select("window_start", "event_type", "event_count"), "event-metrics")
+    return baseline.recent_baseline(counts, seconds=6 * 3600, value="event_count", series=["event_type"])
+
+
 @query
 def zscore_alerts(spark, sf_dir):
     """ST7 for every window."""
@@ -437,11 +450,12 @@ def stream_first_delivery(spark, sf_dir):
 def stream_progress(spark, sf_dir):
     """ST12 A17: input rows and number of batches per query."""
     base = shared_dir(spark, "progress")
+    log = jobs.ProgressLog(spark, f"{base}/updates", ["watched"])
     started = jobs.start(
         clicks.event_metrics(_stream(spark, sf_dir), HOURS), "watched", sink="parquet", output=base, checkpoints=base
     )
     jobs.drain([started])
-    return jobs.progress(spark, [started]).groupBy("query_name").agg(F.sum("num_input_rows").alias("input_rows"))
+    return log.close().groupBy("query_name").agg(F.sum("num_input_rows").alias("input_rows"))
 
 
 # --- layouts and versions -------------------------------------------------------------------------------------------
@@ -565,11 +579,14 @@ def compact_files(spark, sf_dir):
 
 @query
 def zorder_files_touched(spark, sf_dir):
-    """V6: files a point predicate has to open after clustering by both columns."""
+    """V6: a point predicate on a date as text, a channel or a number leaves out files after clustering by all three."""
     base = shared_dir(spark, "clustered")
-    versions.commit(standins.table(spark, sf_dir, "lineitem"), base)
-    versions.cluster(spark, base, ["l_partkey", "l_suppkey"], files=32)
-    return layout.files_touched(versions.as_of(spark, base), {"l_partkey": 50, "l_suppkey": 50})
+    items = standins.table(spark, sf_dir, "lineitem")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd").alias("event_date")
+    versions.commit(items.select(day, F.col("l_linenumber").cast("string").alias("channel"), "l_partkey"), base)
+    versions.cluster(spark, base, ["event_date", "channel", "l_partkey"], files=64)
+    touched = layout.files_touched(versions.as_of(spark, base), {"event_date": "1997-03-05", "channel": "3", "l_partkey": 50})
+    return touched.select("column", (F.col("touched") < F.col("files")).alias("leaves_out_files"))
 
 
 @query
@@ -693,9 +710,9 @@ def stream_profile(spark, sf_dir):
 def readiness(spark, sf_dir):
     """M12."""
     sections = {
-        "Batch summary": metrics.summary(_year(spark, sf_dir)),
+        "Batch summary": metrics.summary(_dated(spark, sf_dir)),
         "Streaming demo": _funnel(spark, sf_dir),
-        "No such year": trips.in_year(trips.prepare(standins.trips(spark, sf_dir)), 1901),
+        "No such year": trips.in_year(_dated(spark, sf_dir), 1901),
         "Not built": None,
     }
     return marts.readiness(sections)
@@ -705,5 +722,5 @@ def readiness(spark, sf_dir):
 def kpi_headline(spark, sf_dir):
     """M13."""
     events = _clicks(spark, sf_dir)
-    summary = metrics.summary(_year(spark, sf_dir))
+    summary = metrics.summary(_dated(spark, sf_dir))
     return marts.headline(summary, clicks.event_totals(events), clicks.alerts(_funnel(spark, sf_dir)))

@@ -27,16 +27,20 @@ def _per_second(amount: Column, seconds: Column) -> Column:
 
 
 def engine_ratio(results: DataFrame, base: str = "pandas", other: str = "pyspark") -> DataFrame:
-    """Seconds of two engines per workload size and their ratio; null where an engine has no run or no time."""
+    """Seconds of two engines per workload size and their ratio; null where an engine has no run or no time.
+
+    Of several runs the last by `position` counts; without that column the slowest.
+    """
+    order = "position" if "position" in results.columns else "duration_seconds"
     wide = (
         results.groupBy("row_limit_label")
         .pivot("engine", [base, other])
-        .agg(F.max("duration_seconds"))
+        .agg(F.max_by("duration_seconds", F.struct(order, "duration_seconds")))
         .withColumnsRenamed({"row_limit_label": "row_limit", base: f"{base}_seconds", other: f"{other}_seconds"})
     )
     base_seconds, other_seconds = F.col(f"{base}_seconds"), F.col(f"{other}_seconds")
     ratio = F.when(base_seconds > 0, F.round(other_seconds / base_seconds, 3))
-    return wide.withColumn("ratio", ratio).orderBy(*label_order(F.col("row_limit")))
+    return wide.withColumn(f"spark_vs_{base}_ratio", ratio).orderBy(*label_order(F.col("row_limit")))
 
 
 def throughput(results: DataFrame, startup_seconds: float | None = None, startup_engine: str = "pyspark") -> DataFrame:
@@ -58,7 +62,9 @@ def throughput(results: DataFrame, startup_seconds: float | None = None, startup
 def primary(profiles: DataFrame) -> DataFrame:
     """One profile per engine: the full run if there is one, else the largest. An aggregate, not a ranking window."""
     rank = F.struct(
-        (F.col("row_limit_label") == "full").alias("full"), F.coalesce("row_count", F.lit(0)).alias("rows")
+        (F.col("row_limit_label") == "full").alias("full"),
+        F.coalesce("row_count", F.lit(0)).alias("rows"),
+        F.col("row_limit_label").alias("label"),  # settles what is left
     )
     best = profiles.groupBy("engine").agg(F.max_by(F.struct(*profiles.columns), rank).alias("best"))
     return best.select("best.*").orderBy("engine")

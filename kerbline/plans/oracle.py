@@ -55,6 +55,8 @@ _NAMED = """named AS (
 
 _YEARLY = f"yearly AS (SELECT * FROM named WHERE extract(year FROM pickup_ts) = {YEAR})"
 _TRIPS = _with(_RAW, _ZONES, _NAMED, _YEARLY)
+_DATED = "dated AS (SELECT * FROM named WHERE pickup_ts IS NOT NULL)"
+_ALL_TRIPS = _with(_RAW, _ZONES, _NAMED, _DATED)
 
 _SIGNATURE = (
     "VendorID, pickup_ts, tpep_dropoff_datetime, PULocationID, DOLocationID, passenger_count, trip_distance,"
@@ -288,26 +290,26 @@ ORACLE: dict[str, str] = {
   pickup_zone, pickup_service_zone, dropoff_borough, dropoff_zone, dropoff_service_zone, payment_type_label,
   round(passenger_count, 8) AS passenger_count, round(trip_distance, 8) AS trip_distance,
   round(fare_amount, 8) AS fare_amount, round(tip_ratio, 8) AS tip_ratio, round(tip_pct, 8) AS tip_pct FROM yearly""",
-    "trip_summary": _TRIPS
+    "trip_summary": _ALL_TRIPS
     + f"""SELECT count(*) AS row_count, count(DISTINCT pickup_date) AS active_days,
   {_ts("min(pickup_ts)", "min_pickup_ts")}, {_ts("max(pickup_ts)", "max_pickup_ts")},
   round(avg(passenger_count), 4) AS avg_passenger_count, round(avg(trip_distance), 4) AS avg_trip_distance,
   count(DISTINCT pickup_borough) AS active_pickup_boroughs, round(avg(total_amount), 4) AS avg_total_amount,
   round(sum(total_amount), 2) AS sum_total_amount, round(sum(tip_amount), 2) AS sum_tip_amount,
-  round(avg(tip_pct), 4) AS avg_tip_pct FROM yearly""",
-    "trips_hourly": _TRIPS
+  round(avg(tip_pct), 4) AS avg_tip_pct FROM dated""",
+    "trips_hourly": _ALL_TRIPS
     + f"""SELECT {_day("pickup_date")}, pickup_hour, count(*) AS trip_count,
-  round(sum(total_amount), 2) AS sum_total_amount FROM yearly GROUP BY yearly.pickup_date, pickup_hour""",
-    "trips_by_borough": _TRIPS + f"SELECT pickup_borough, {_PLACE} FROM yearly GROUP BY 1",
-    "trips_by_zone": _TRIPS
-    + f"SELECT pickup_borough, pickup_zone, pickup_service_zone, {_PLACE} FROM yearly GROUP BY 1, 2, 3",
-    "payment_tip_summary": _TRIPS
+  round(sum(total_amount), 2) AS sum_total_amount FROM dated GROUP BY dated.pickup_date, pickup_hour""",
+    "trips_by_borough": _ALL_TRIPS + f"SELECT pickup_borough, {_PLACE} FROM dated GROUP BY 1",
+    "trips_by_zone": _ALL_TRIPS
+    + f"SELECT pickup_borough, pickup_zone, pickup_service_zone, {_PLACE} FROM dated GROUP BY 1, 2, 3",
+    "payment_tip_summary": _ALL_TRIPS
     + """SELECT payment_type, payment_type_label, count(*) AS trip_count, round(avg(fare_amount), 4) AS avg_fare_amount,
   round(sum(fare_amount), 2) AS sum_fare_amount, round(avg(tip_amount), 4) AS avg_tip_amount,
   round(sum(tip_amount), 2) AS sum_tip_amount, round(avg(tip_pct), 4) AS avg_tip_pct,
   round(sum(total_amount), 2) AS sum_total_amount,
   CASE WHEN sum(fare_amount) > 0 THEN round(sum(tip_amount) / sum(fare_amount) * 100.0, 4) END AS tip_to_fare_pct
-FROM yearly GROUP BY 1, 2""",
+FROM dated GROUP BY 1, 2""",
     "trip_suite": _TRIPS
     + """, parts AS (
   SELECT 'summary' AS table_name, '' AS row_key, * FROM yearly
@@ -324,25 +326,25 @@ SELECT table_name, row_key, count(*) AS trips, round(sum(total_amount), 2) AS su
   CASE WHEN table_name = 'payment_tip_summary' AND sum(fare_amount) > 0
     THEN round(sum(tip_amount) / sum(fare_amount) * 100.0, 4) END AS tip_to_fare_pct
 FROM parts GROUP BY table_name, row_key""",
-    "top10_zones": _TRIPS
-    + f"""SELECT pickup_borough, pickup_zone, pickup_service_zone, {_PLACE} FROM yearly GROUP BY 1, 2, 3
+    "top10_zones": _ALL_TRIPS
+    + f"""SELECT pickup_borough, pickup_zone, pickup_service_zone, {_PLACE} FROM dated GROUP BY 1, 2, 3
 ORDER BY sum(total_amount) DESC LIMIT 10""",
-    "top_payment_tip_share": _TRIPS
+    "top_payment_tip_share": _ALL_TRIPS
     + """SELECT payment_type_label, payment_type,
   CASE WHEN sum(fare_amount) > 0 THEN round(sum(tip_amount) / sum(fare_amount) * 100.0, 4) END AS tip_to_fare_pct
-FROM yearly GROUP BY 1, 2 ORDER BY 3 DESC NULLS LAST LIMIT 10""",
-    "hourly_series": _TRIPS
+FROM dated GROUP BY 1, 2 ORDER BY 3 DESC NULLS LAST LIMIT 10""",
+    "hourly_series": _ALL_TRIPS
     + f"SELECT {_ts('h', 'hour_bucket')}, trip_count FROM (SELECT date_trunc('hour', pickup_ts) AS h,"
-    " count(*) AS trip_count FROM yearly GROUP BY 1)",
-    "summary_transpose": _TRIPS
+    " count(*) AS trip_count FROM dated GROUP BY 1)",
+    "summary_transpose": _ALL_TRIPS
     + """, one AS (SELECT CAST(count(*) AS VARCHAR) AS n, CAST(count(DISTINCT pickup_date) AS VARCHAR) AS d,
-  strftime(min(pickup_ts), '%Y-%m-%d %H:%M:%S') AS a, strftime(max(pickup_ts), '%Y-%m-%d %H:%M:%S') AS z FROM yearly)
+  strftime(min(pickup_ts), '%Y-%m-%d %H:%M:%S') AS a, strftime(max(pickup_ts), '%Y-%m-%d %H:%M:%S') AS z FROM dated)
 SELECT 'row_count' AS metric, n AS "value" FROM one UNION ALL SELECT 'active_days', d FROM one
 UNION ALL SELECT 'min_pickup_ts', a FROM one UNION ALL SELECT 'max_pickup_ts', z FROM one""",
-    "first_trips": _TRIPS
+    "first_trips": _ALL_TRIPS
     + f"""SELECT {_ts("p.pickup_ts", "pickup_ts")}, PULocationID, DOLocationID, round(fare_amount, 8) AS fare_amount,
   round(total_amount, 8) AS total_amount
-FROM (SELECT * FROM yearly ORDER BY yearly.pickup_ts, PULocationID, DOLocationID, yearly.fare_amount LIMIT 500) AS p""",
+FROM (SELECT * FROM dated ORDER BY dated.pickup_ts, PULocationID, DOLocationID, dated.fare_amount LIMIT 500) AS p""",
     "dq_summary": _QUALITY
     + "SELECT count(*) AS total_rows, count(*) FILTER (WHERE dq_issue_count > 0) AS issue_rows, "
     + ", ".join(f"count(*) FILTER (WHERE dq_{name}) AS {name}_rows" for name in _RULES)
@@ -405,6 +407,14 @@ UNION ALL SELECT 'add_to_cart', add_to_cart_sessions FROM last
 UNION ALL SELECT 'purchase', purchase_sessions FROM last""",
     "traffic_zscore": _with(_CLICKS, _HOURS, _FUNNEL, _BASELINE)
     + f"SELECT {_ts('window_start')}, total_sessions, {_Z_COLUMNS} FROM scored",
+    "traffic_zscore_recent": _with(_CLICKS, _windows("15 minutes", 15, 1), _METRICS)
+    + f"""SELECT {_ts('window_start')}, event_type, event_count, n AS baseline_window_count,
+  CASE WHEN n >= 2 THEN m END AS baseline_session_mean, CASE WHEN n >= 2 THEN s END AS baseline_session_stddev,
+  CASE WHEN n >= 2 THEN round((event_count - m) / greatest(s, 0.1), 4) END AS traffic_z_score
+FROM (SELECT *, count(event_count) OVER w AS n, round(avg(event_count) OVER w, 4) AS m,
+    round(stddev_pop(event_count) OVER w, 4) AS s
+  FROM metrics WINDOW w AS (PARTITION BY event_type ORDER BY window_start
+    RANGE BETWEEN INTERVAL '6 hours' PRECEDING AND INTERVAL '1 microsecond' PRECEDING))""",
     "zscore_alerts": _with(_CLICKS, _HOURS, _FUNNEL, _BASELINE, _z_alerts(2))
     + f"SELECT {_ALERT_COLUMNS}, {_Z_COLUMNS}, 'zscore_vs_recent_hour' AS anomaly_model FROM alerts",
     "zscore_alerts_latest": _with(_CLICKS, _HALF_DAYS, _FUNNEL, _BASELINE, _z_alerts(0.8))
@@ -455,6 +465,8 @@ UNION ALL SELECT 2, count(*), 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o
     "migrate_reconcile": """SELECT count(*) AS input_rows, count(*) AS output_rows, true AS rows_match,
   true AS content_match, 0 AS version FROM orders""",
     "compact_files": "SELECT count(*) AS rows_after, true AS fewer_files, true AS content_match FROM orders",
+    "zorder_files_touched": """SELECT * FROM (VALUES ('event_date', true), ('channel', true), ('l_partkey', true))
+  AS t("column", leaves_out_files)""",
     "zorder_content": """SELECT count(*) AS input_rows, count(*) AS output_rows, true AS rows_match,
   true AS content_match FROM lineitem""",
     "dataset_profile": """SELECT 'yellow' AS dataset_variant, 'tpep_pickup_datetime' AS pickup_timestamp_column,
@@ -474,7 +486,7 @@ FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'),
   (5, 'o_orderpriority', 'string')) AS t("position", name, type)""",
     "variant_pivot_ratio": _with(_RESULTS)
     + """SELECT row_limit_label AS row_limit, a AS pandas_seconds, b AS pyspark_seconds,
-  CASE WHEN a > 0 THEN round(b / a, 3) END AS ratio
+  CASE WHEN a > 0 THEN round(b / a, 3) END AS spark_vs_pandas_ratio
 FROM (SELECT row_limit_label, max(duration_seconds) FILTER (engine = 'pandas') AS a,
   max(duration_seconds) FILTER (engine = 'pyspark') AS b FROM results GROUP BY 1)""",
     "throughput_profile": _with(_RESULTS) + "SELECT * FROM profiles",
@@ -506,9 +518,9 @@ SELECT {_day("d", "run_day")}, event_count, session_count, round(p, 4) AS publis
   observed_processed_rows_per_second, alert_count, severity FROM reports""",
     "readiness": """SELECT * FROM (VALUES ('Batch summary', 'ready'), ('Streaming demo', 'ready'),
   ('No such year', 'missing'), ('Not built', 'missing')) AS t(section, status)""",
-    "kpi_headline": _with(_RAW, _ZONES, _NAMED, _YEARLY, _CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS)
-    + """SELECT (SELECT count(*) FROM yearly) AS batch_rows,
-  (SELECT round(sum(total_amount), 4) FROM yearly) AS total_revenue,
+    "kpi_headline": _with(_RAW, _ZONES, _NAMED, _DATED, _CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS)
+    + """SELECT (SELECT count(*) FROM dated) AS batch_rows,
+  (SELECT round(sum(total_amount), 4) FROM dated) AS total_revenue,
   (SELECT count(*) FROM clicks) AS streaming_events,
   (SELECT CAST(coalesce(sum(alert_count), 0) AS BIGINT) FROM alerts) AS streaming_alerts""",
 }

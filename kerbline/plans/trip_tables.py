@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import measures as M
 from kerbline.functions import roles
-from kerbline.functions.expressions import payment_label, table_order
+from kerbline.functions.expressions import payment_label
 from kerbline.operators import metrics, trips
 from kerbline.session import settle
 
@@ -115,13 +115,13 @@ def hourly(rolled: DataFrame) -> DataFrame:
 
 def by_borough(rolled: DataFrame, zones: DataFrame) -> DataFrame:
     table = _places(rolled, zones).groupBy(*metrics.BOROUGH_KEYS).agg(*_merged(rolled, M.PLACE))
-    return table.orderBy(*table_order(table, "sum_total_amount", "trip_count"))
+    return table.orderBy(*[F.desc(c) for c in ("sum_total_amount", "trip_count") if c in table.columns])
 
 
 def by_zone(rolled: DataFrame, zones: DataFrame) -> DataFrame:
     named = _places(rolled, zones)
     table = named.groupBy(*metrics.zone_keys(named.columns)).agg(*_merged(rolled, M.PLACE))
-    return table.orderBy(*table_order(table, "sum_total_amount", "trip_count"))
+    return table.orderBy(*[F.desc(c) for c in ("sum_total_amount", "trip_count") if c in table.columns])
 
 
 def by_payment(rolled: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def by_payment(rolled: DataFrame) -> DataFrame:
     table = metrics.with_tip_share(
         _at(rolled, PAYMENT).select("payment_type", label, *_finished(rolled, M.PAYMENT))
     )
-    return table.orderBy(*table_order(table, "payment_type", "trip_count"))
+    return table.orderBy(F.asc("payment_type"), F.desc("trip_count"))
 
 
 def all_tables(raw: DataFrame, zones: DataFrame | None, year: int | None) -> dict[str, DataFrame]:

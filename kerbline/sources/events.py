@@ -15,13 +15,16 @@ EVENT_SCHEMA = T.StructType([T.StructField(name, T.StringType(), name not in REQ
 ENVELOPE_SCHEMA = "value binary, timestamp timestamp"
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, *, starting: str = "latest") -> DataFrame:
-    """One topic. Needs the Kafka connector on the classpath."""
+def kafka_stream(
+    spark: SparkSession, servers: str, topic: str, *, starting: str = "latest", fail_on_loss: bool = True
+) -> DataFrame:
+    """One topic. Needs the Kafka connector on the classpath. Records that the broker no longer has fail the query, unless
+    `fail_on_loss` is false: then they are passed over."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_loss).lower(),
     }
     return spark.readStream.format("kafka").options(**options).load()
 

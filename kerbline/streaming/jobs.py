@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+
+# Updates that a log holds before it writes them, and how long it waits for those on their way.
+PROGRESS_HELD, LISTENER_SECONDS = 100, 60.0
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -95,27 +99,67 @@ PROGRESS_SCHEMA = (
 )
 
 
-def progress(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """The recent progress Spark keeps per query (bounded by spark.sql.streaming.numRecentProgressUpdates)."""
+def _rounded(value: float | None) -> float | None:
+    return None if value is None or value != value or abs(value) == float("inf") else round(float(value), 4)
 
-    def number(value: float | None) -> float | None:
-        return None if value is None or value != value or abs(value) == float("inf") else round(float(value), 4)
 
+def progress(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
+    """The last update of each query. Earlier ones are not complete (Spark keeps some); a ProgressLog has them all."""
+    last = [(query.name, query.lastProgress) for query in queries if query.lastProgress]
     rows = [
         (
-            query.name,
+            name,
             p["batchId"],
             p["numInputRows"],
-            number(p.get("inputRowsPerSecond")),
-            number(p.get("processedRowsPerSecond")),
+            _rounded(p.get("inputRowsPerSecond")),
+            _rounded(p.get("processedRowsPerSecond")),
             p["durationMs"].get("triggerExecution"),
         )
-        for query in queries
-        for p in query.recentProgress
+        for name, p in last
     ]
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
+class ProgressLog(StreamingQueryListener):
+    """Every update of the named queries, kept in a table: `PROGRESS_HELD` updates wait in memory at most."""
+
+    def __init__(self, spark: SparkSession, path: str, names: Iterable[str]):
+        self.spark, self.path, self.names = spark, path, set(names)
+        self.rows: list[tuple] = []
+        self.ended = 0
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name in self.names:
+            speeds = (_rounded(p.inputRowsPerSecond), _rounded(p.processedRowsPerSecond))
+            self.rows.append((p.name, p.batchId, p.numInputRows, *speeds, p.durationMs.get("triggerExecution")))
+            if len(self.rows) >= PROGRESS_HELD:
+                self._flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended += 1
+
+    def _flush(self) -> None:
+        rows, self.rows = self.rows, []
+        self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def close(self) -> DataFrame:
+        """All updates of queries that have ended. Spark hands events over in order, so the last end comes last."""
+        until = time.monotonic() + LISTENER_SECONDS
+        while self.ended < len(self.names) and time.monotonic() < until:
+            time.sleep(0.05)
+        self.spark.streams.removeListener(self)
+        self._flush()
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+
+
 # --- window tables kept by micro-batches ----------------------------------------------------------------------------
 #
 # Update mode emits a window again whenever it changes. Every micro-batch writes what it emitted under its own batch
@@ -140,8 +184,8 @@ def save_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def stored(spark: SparkSession, path: str, schema: T.StructType, *, before_batch: int | None = None) -> DataFrame:
-    """Saved rows with their batch id: all of them, or what a batch has to know of the ones before it. An empty frame
-    before the first batch."""
+    """Saved rows with their batch id: those of the newest generation, or what a batch has to know of the ones before it.
+    An empty frame before the first batch."""
     places = [T.StructField("batch_id", T.LongType()), T.StructField("window_day", T.DateType())]
     source = path if before_batch is None else f"{path}/generation={max(before_batch - 1, 0) // GENERATION_BATCHES}"
     full = T.StructType([*schema.fields, T.StructField("generation", T.LongType()), *places])
@@ -151,8 +195,15 @@ def stored(spark: SparkSession, path: str, schema: T.StructType, *, before_batch
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.createDataFrame([], full)
-    kept = rows if before_batch is None else rows.where(F.col("batch_id") < before_batch)
-    return kept.drop("generation")
+    if before_batch is None:
+        return newest(rows)
+    return rows.where(F.col("batch_id") < before_batch).drop("generation")
+
+
+def newest(rows: DataFrame) -> DataFrame:
+    """Saved rows of the newest generation, which opens with every window. Older ones are not read, only listed."""
+    last = rows.agg(F.max("generation").alias("last")).head()["last"]
+    return rows.where(F.col("generation") == F.lit(last)).drop("generation")
 
 
 def latest(rows: DataFrame, key: Iterable[str] = WINDOW_KEY) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from kerbline.plans import catalog, oracle
 from tests.compare import differences, open_tables
 
-QUERIES, SQL = queries(), oracle_sql()
-WITHOUT_SQL = {"click_window_approx", "stream_funnel_update", "zorder_files_touched"}
+QUERIES, SQL = catalog.all_queries(), oracle.ORACLE
+WITHOUT_SQL = {"click_window_approx", "stream_funnel_update"}
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def duck(sf_dir):
 def test_only_known_queries_lack_sql():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_has_rows(spark):

@@ -247,8 +247,29 @@ def test_blocks_do_not_change_the_baseline(spark, block_rows):
 
 
 def test_lookback_longer_than_a_block(spark):
-    with pytest.raises(ValueError, match="lookback"):
-        baseline.rolling_baseline(spark.range(1), lookback=20, block_rows=10)
+    start = datetime(2026, 1, 1)
+    rows = [(start + timedelta(hours=i), i) for i in range(60)]
+    table = spark.createDataFrame(rows, "window_start timestamp, total_sessions long")
+    found = baseline.rolling_baseline(table, lookback=50, block_rows=10).orderBy("window_start").collect()
+    assert [r["baseline_window_count"] for r in found] == [min(i, 50) for i in range(60)]
+
+
+@pytest.mark.parametrize("by_time", [False, True])
+def test_baseline_keeps_rows_without_series_or_time(spark, by_time):
+    start = datetime(2026, 1, 1)
+    rows = [(s, start + timedelta(hours=h), h) for s in ("a", None) for h in (0, 1, 2, 30, 31)] + [("a", None, 9), (None, None, 9)]
+    table = spark.createDataFrame(rows, "page string, window_start timestamp, total_sessions long")
+    if by_time:
+        scored = baseline.recent_baseline(table, seconds=2 * 3600, series=["page"], block_seconds=3 * 3600)
+    else:
+        scored = baseline.rolling_baseline(table, series=["page"], lookback=2)
+    found = scored.collect()
+    assert len(found) == len(rows)
+    counts = [0, 1, 2, 0, 1] if by_time else [0, 1, 2, 2, 2]
+    for series in ("a", None):
+        own = sorted((r for r in found if r["page"] == series and r["window_start"]), key=lambda r: r["window_start"])
+        assert [r["baseline_window_count"] for r in own] == counts
+    assert all(r["traffic_z_score"] is None for r in found if r["window_start"] is None)
 
 
 @FEW
