@@ -144,20 +144,23 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(key).isNotNull() for key in keys])
 
 
-def mark_duplicates(df: DataFrame, *, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def mark_duplicates(
+    df: DataFrame, *, counted_on: DataFrame | None = None, max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Add `dq_duplicate_taxi_record`: the row's whole signature occurs more than once.
 
     Counting the signatures combines on the map side, so a signature held by a large share of the rows costs one
     counter per task, where a window over the signature would gather all its rows in one task. The signatures that
     repeat are written to the shared folder when this is called. If they are few, they are broadcast and the rows
     are not shuffled at all; else they are joined by shuffle, the most frequent of them apart. Incomplete signatures
-    match nothing.
+    match nothing. `counted_on` are the same trips before anything was joined to them: counting then carries no join.
     """
     keys = _signature(df)
     if not keys:
         return df
     keyed = df.withColumns(keys)
-    counted = keyed.where(_complete(list(keys))).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    trips = keyed if counted_on is None else counted_on.withColumns(_signature(counted_on))
+    counted = trips.where(_complete(list(keys))).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     repeated = settle(counted.where(F.col("_copies") > 1), "repeated-signatures")
     if fits_broadcast(repeated, max_broadcast_rows):
         marked = keyed.join(F.broadcast(repeated), list(keys), "left")
@@ -180,9 +183,11 @@ def duplicate_signatures(df: DataFrame) -> DataFrame:
     )
 
 
-def flag(df: DataFrame, limits: Limits = Limits(), *, duplicates: bool = True) -> DataFrame:
+def flag(
+    df: DataFrame, limits: Limits = Limits(), *, duplicates: bool = True, counted_on: DataFrame | None = None
+) -> DataFrame:
     """Add a `dq_` column per rule, the names of the issues found, their count, and whether there is any."""
-    marked = mark_duplicates(df) if duplicates else df
+    marked = mark_duplicates(df, counted_on=counted_on) if duplicates else df
     conditions = row_conditions(df.columns, limits)
     names = [name for name in conditions if name != FUTURE]
     names += [DUPLICATE] if f"dq_{DUPLICATE}" in marked.columns else []

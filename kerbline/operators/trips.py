@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -45,8 +46,14 @@ def in_year(df: DataFrame, year: int | None) -> DataFrame:
     return df.where((F.col("pickup_ts") >= start) & (F.col("pickup_ts") < end))
 
 
-def attach_zones(df: DataFrame, zones: DataFrame | None, *, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Pickup and dropoff place names; places the dimension lacks are 'Unknown'.
+def attach_zones(
+    df: DataFrame,
+    zones: DataFrame | None,
+    *,
+    ends: Sequence[str] = ("pickup", "dropoff"),
+    max_broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Place names of the wanted ends of a trip; places the dimension lacks are 'Unknown'.
 
     The dimension is unique by key, so no row is multiplied. It is broadcast after its size was measured; a larger one
     is joined by shuffle, with the locations that hold a large share of the trips handled apart.
@@ -58,7 +65,7 @@ def attach_zones(df: DataFrame, zones: DataFrame | None, *, max_broadcast_rows:
     filled: list[str] = []
     for end, candidates in (("pickup", roles.PICKUP_PLACE), ("dropoff", roles.DROPOFF_PLACE)):
         key = roles.pick(df.columns, candidates)
-        if key is None:
+        if key is None or end not in ends:
             continue
         names = {attribute: f"{end}_{suffix}" for attribute, suffix in PLACE_ATTRIBUTES.items()}
         lookup = zones.select(F.col("LocationID").alias(key), *[F.col(a).alias(n) for a, n in names.items()])

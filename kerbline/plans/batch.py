@@ -7,16 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbline.operators import quality, trips
 from kerbline.operators.quality import Limits
 from kerbline.plans import trip_tables
+from kerbline.session import settle
 from kerbline.sources import sinks, tables
 
 
 def build(raw: DataFrame, zones: DataFrame | None, limits: Limits = Limits()) -> dict[str, DataFrame]:
     """Every table the trips' columns allow, by name. Metrics see the trips of `limits.pickup_year`; quality sees all
     trips, also those without a pickup time."""
+    zones = settle(zones, "zones") if zones is not None else None
     outputs = trip_tables.all_tables(raw, zones, limits.pickup_year)
-    checked = trips.attach_zones(trips.prepare(raw, keep_undated=True), zones)
-    outputs["quality_summary"] = quality.summary(checked, limits)
-    outputs["quality_issue_rows"] = quality.issue_rows(quality.flag(checked, limits))
+    prepared = trips.prepare(raw, keep_undated=True)
+    # Rules know the pickup place only; signatures need no place at all.
+    outputs["quality_summary"] = quality.summary(trips.attach_zones(prepared, zones, ends=["pickup"]), limits)
+    flagged = quality.flag(trips.attach_zones(prepared, zones), limits, counted_on=prepared)
+    outputs["quality_issue_rows"] = quality.issue_rows(flagged)
     return outputs
 
 

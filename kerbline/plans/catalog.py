@@ -5,6 +5,7 @@ Results are shown in plain types (text for times and arrays, rounded doubles), s
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -15,9 +16,9 @@ from pyspark.sql import types as T
 
 from kerbline.operators import baseline, clicks, layout, metrics, quality, trips, versions
 from kerbline.operators.clicks import Windowing
-from kerbline.plans import marts, trip_tables
+from kerbline.plans import batch, marts, trip_tables
 from kerbline.session import settle, shared_dir
-from kerbline.sources import standins, tables
+from kerbline.sources import reports, standins, tables
 from kerbline.streaming import jobs, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,9 +84,19 @@ def _year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.in_year(_dated(spark, sf_dir), standins.TRIP_YEAR)
 
 
-def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    undated = trips.prepare(standins.trips(spark, sf_dir), keep_undated=True)
-    return trips.attach_zones(undated, standins.zones(spark, sf_dir))
+def _undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trips.prepare(standins.trips(spark, sf_dir), keep_undated=True)
+
+
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules know the pickup place only."""
+    zones = settle(standins.zones(spark, sf_dir), "zones")
+    return quality.summary(trips.attach_zones(_undated(spark, sf_dir), zones, ends=["pickup"]), LIMITS)
+
+
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared, zones = _undated(spark, sf_dir), settle(standins.zones(spark, sf_dir), "zones")
+    return quality.flag(trips.attach_zones(prepared, zones), LIMITS, counted_on=prepared)
 
 
 def _by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,31 +211,31 @@ def first_trips(spark, sf_dir):
 @query
 def dq_summary(spark, sf_dir):
     """DQ1-DQ9 A6 in one shuffle."""
-    return quality.summary(_checked(spark, sf_dir), LIMITS)
+    return _summary(spark, sf_dir)
 
 
 @query
 def dq_issue_histogram(spark, sf_dir):
     """A12."""
-    return quality.issue_histogram(quality.summary(_checked(spark, sf_dir), LIMITS))
+    return quality.issue_histogram(_summary(spark, sf_dir))
 
 
 @row_query
 def dq_issue_rows(spark, sf_dir):
     """DQ12 W1 P8: every row with an issue."""
-    return quality.issue_rows(quality.flag(_checked(spark, sf_dir), LIMITS))
+    return quality.issue_rows(_flagged(spark, sf_dir))
 
 
 @row_query
 def dq_worst_rows(spark, sf_dir):
     """The rows with most issues."""
-    return quality.worst_first(quality.issue_rows(quality.flag(_checked(spark, sf_dir), LIMITS)), 200)
+    return quality.worst_first(quality.issue_rows(_flagged(spark, sf_dir)), 200)
 
 
 @query
 def dq_issue_combinations(spark, sf_dir):
     """DQ12: which issues occur together."""
-    flagged = quality.flag(_checked(spark, sf_dir), LIMITS)
+    flagged = _flagged(spark, sf_dir)
     return flagged.groupBy("dq_issue_names", "dq_issue_count").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -237,8 +248,44 @@ def dq_duplicates(spark, sf_dir):
 @query
 def dq_future_ts(spark, sf_dir):
     """DQ13."""
-    undated = trips.prepare(standins.trips(spark, sf_dir), keep_undated=True)
-    return quality.summary(undated, quality.Limits(as_of=AS_OF)).select("total_rows", "no_future_trip_datetime_rows")
+    return quality.summary(_undated(spark, sf_dir), quality.Limits(as_of=AS_OF)).select("total_rows", "no_future_trip_datetime_rows")
+
+
+@query
+def batch_job(spark, sf_dir):
+    """The whole job from files to files, and what its seven outputs hold. Trips lie in two
+    folders; the zone CSV repeats some ids and has `N/A` as a name."""
+    base = shared_dir(spark, "batch-job")
+    taken = standins.trips(spark, sf_dir)
+    for folder, rest in (("early", 0), ("late", 1)):
+        taken.where(F.col("payment_type") % 2 == rest).write.parquet(f"{base}/trips/{folder}")
+    zones = standins.zones(spark, sf_dir).withColumn(
+        "Zone", F.when(F.col("LocationID") % 17 == 5, "N/A").otherwise(F.col("Zone"))
+    )
+    again = zones.where(F.col("LocationID") % 3 == 0)
+    zones.unionByName(again).write.option("header", True).csv(f"{base}/zones")
+    batch.run(spark, f"{base}/trips", f"{base}/zones", f"{base}/out", limits=LIMITS)
+    shown = {
+        "summary": ("row_count", "sum_total_amount"),
+        "hourly": ("trip_count", "sum_total_amount"),
+        "borough_summary": ("trip_count", "sum_total_amount"),
+        "zone_summary": ("trip_count", "sum_total_amount"),
+        "payment_tip_summary": ("trip_count", "sum_total_amount"),
+        "quality_summary": ("total_rows", None),
+        "quality_issue_rows": (None, "total_amount"),
+    }
+    parts = []
+    for name, (trips_, amount) in shown.items():
+        found = spark.read.parquet(f"{base}/out/{name}")
+        parts.append(
+            found.agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("table_rows"),
+                F.sum(F.col(trips_) if trips_ else F.lit(1)).alias("trips"),
+                F.sum(F.col(amount) if amount else F.lit(None).cast("double")).alias("sum_amount"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- clickstream ----------------------------------------------------------------------------------------------------
@@ -411,6 +458,42 @@ def stream_window_append(spark, sf_dir):
     return closed.select("window_start", "window_end", "event_type", "event_count")
 
 
+@query
+def stream_memory(spark, sf_dir):
+    """The same into a table in memory."""
+    name = f"window_memory_{uuid.uuid4().hex}"
+    closed = clicks.event_metrics(_stream(spark, sf_dir), HOURS)
+    checkpoints = shared_dir(spark, "memory")
+    jobs.drain([jobs.start(closed, name, sink="memory", checkpoints=checkpoints, mode="append")])
+    return jobs.memory_rows(spark, name).select("window_start", "window_end", "event_type", "event_count")
+
+
+LATE_FILES, FIRST_FILES = 6, 3
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """ST13 ST14: six files, a batch each; some events come two files late; the job stops after three files, and goes on
+    from its checkpoint."""
+    base = shared_dir(spark, "restart")
+    events = standins.table(spark, sf_dir, "events")
+    moment = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(moment), F.max(moment)).head()
+    own = F.floor((moment - first) / F.lit((last - first) // LATE_FILES + 1)).cast("int")
+    late = (F.col("event_id") % 37 == 0) & (F.col("_file") < LATE_FILES - 2)
+    placed = events.withColumn("_file", own)
+    placed = settle(placed.withColumn("_file", F.when(late, F.col("_file") + 2).otherwise(F.col("_file"))), "ordered")
+    source = f"{base}/source"
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    for files in (range(FIRST_FILES), range(FIRST_FILES, LATE_FILES)):
+        for k in files:
+            placed.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(source)
+        parsed = clicks.parse(standins.envelope(standins.click_columns(stream.parquet(source))))
+        counts = clicks.event_metrics(parsed, HOURS).select("window_start", "window_end", "event_type", "event_count")
+        jobs.drain([jobs.start(counts, "late", sink="parquet", output=base, checkpoints=f"{base}/checkpoints")])
+    return spark.read.schema(counts.schema).parquet(f"{base}/late")
+
+
 @query
 def stream_funnel_append(spark, sf_dir):
     """ST4 with exact counts, in two stateful steps."""
@@ -700,6 +783,15 @@ def report_backfill(spark, sf_dir):
     ).drop("event_type_counts")
 
 
+@query
+def report_json(spark, sf_dir):
+    """Reports written as one JSON document each, read again and profiled."""
+    base = shared_dir(spark, "reports")
+    written = _reports(spark, sf_dir).repartition("run_day").write.partitionBy("run_day")
+    written.option("maxRecordsPerFile", 1).json(base)
+    return marts.stream_profiles(marts.complete_reports(tables.read_reports(spark, base, reports.REPORT_SCHEMA)))
+
+
 @query
 def stream_profile(spark, sf_dir):
     """M4 A17."""

@@ -368,6 +368,23 @@ FROM (SELECT {_SIGNATURE}, count(*) AS copies FROM trips WHERE {_COMPLETE} GROUP
     + """SELECT count(*) AS total_rows,
   count(*) FILTER (WHERE pickup_ts > TIMESTAMP '1998-06-01') AS no_future_trip_datetime_rows
 FROM trips""",
+    "batch_job": _with(
+        _RAW,
+        _ZONES.replace("n_name AS zone", "CASE WHEN s_suppkey % 17 = 5 THEN 'N/A' ELSE n_name END AS zone"),
+        _NAMED,
+        _FLAGGED,
+        _YEARLY,
+    )
+    + """SELECT 'summary' AS table_name, CAST(1 AS BIGINT) AS table_rows, count(*) AS trips,
+  round(sum(total_amount), 2) AS sum_amount FROM yearly
+UNION ALL SELECT 'hourly', count(DISTINCT date_trunc('hour', pickup_ts)), count(*), round(sum(total_amount), 2) FROM yearly
+UNION ALL SELECT 'borough_summary', count(DISTINCT pickup_borough), count(*), round(sum(total_amount), 2) FROM yearly
+UNION ALL SELECT 'zone_summary', count(DISTINCT (pickup_borough, pickup_zone, pickup_service_zone)), count(*),
+  round(sum(total_amount), 2) FROM yearly
+UNION ALL SELECT 'payment_tip_summary', count(DISTINCT payment_type), count(*), round(sum(total_amount), 2) FROM yearly
+UNION ALL SELECT 'quality_summary', 1, count(*), NULL FROM flagged
+UNION ALL SELECT 'quality_issue_rows', count(*), count(*), round(sum(total_amount), 2) FROM flagged
+  WHERE dq_issue_count > 0""",
     "event_json_roundtrip": _with(_CLICKS)
     + f"""SELECT event_id, user_id, session_id, event_type, page, product_id, {_ts("event_timestamp")},
   {_ts("event_timestamp", "kafka_timestamp")} FROM clicks""",
@@ -425,6 +442,30 @@ WHERE alerts.window_end = (SELECT max(window_end) FROM funnel)""",
   round(stddev_pop(total_sessions), 4) AS stddev_total_sessions FROM funnel""",
     "stream_window_append": _with(_CLICKS, _HOURS, _METRICS)
     + f"SELECT {_WINDOW}, event_type, event_count FROM metrics WHERE metrics.{_CLOSED}",
+    "stream_memory": _with(_CLICKS, _HOURS, _METRICS)
+    + f"SELECT {_WINDOW}, event_type, event_count FROM metrics WHERE metrics.{_CLOSED}",
+    # A row is late if its window had ended by the watermark of the batch before; the stop adds a batch without data.
+    "stream_restart": _with(
+        """span AS (
+  SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 6 + 1 AS width FROM events
+), filed AS (SELECT events.*, CAST((epoch_us(ts) - lo) // width AS INTEGER) AS own FROM events, span
+), placed AS (
+  SELECT ts, event_type, time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start,
+    time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end,
+    CASE WHEN event_id % 37 = 0 AND own < 4 THEN own + 2 ELSE own END AS file
+  FROM filed
+), marks AS (
+  SELECT k, (SELECT max(ts) FROM placed WHERE file < k) - INTERVAL '10 minutes' AS mark FROM range(0, 7) AS r(k)
+), limits AS (
+  SELECT file, mark FROM (VALUES (0, 0), (1, 0), (2, 1), (3, 3), (4, 3), (5, 4)) AS t(file, k) JOIN marks USING (k)
+)"""
+    )
+    + f"""SELECT {_WINDOW}, CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view'
+    WHEN 'signup' THEN 'add_to_cart' ELSE event_type END AS event_type, count(*) AS event_count
+FROM placed JOIN limits USING (file)
+WHERE (mark IS NULL OR placed.window_end > mark)
+  AND placed.window_end <= (SELECT max(ts) FROM placed) - INTERVAL '10 minutes'
+GROUP BY placed.window_start, placed.window_end, placed.event_type""",
     "stream_funnel_append": _with(_CLICKS, _HOURS, _FUNNEL)
     + f"SELECT {_FUNNEL_COLUMNS} FROM funnel WHERE funnel.{_CLOSED}",
     "stream_alerts": _with(_CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS)
@@ -515,6 +556,10 @@ SELECT {_day("d", "run_day")}, event_count, session_count, round(p, 4) AS publis
     "stream_profile": _REPORTED
     + """SELECT query_name, generated_event_count, generated_session_count, CAST(NULL AS DOUBLE) AS publish_seconds,
   end_to_end_seconds AS processing_seconds, end_to_end_seconds, events_per_second, sessions_per_second,
+  observed_processed_rows_per_second, alert_count, severity FROM reports""",
+    "report_json": _REPORTED
+    + """SELECT query_name, generated_event_count, generated_session_count, CAST(NULL AS DOUBLE) AS publish_seconds,
+  end_to_end_seconds AS processing_seconds, end_to_end_seconds, events_per_second, sessions_per_second,
   observed_processed_rows_per_second, alert_count, severity FROM reports""",
     "readiness": """SELECT * FROM (VALUES ('Batch summary', 'ready'), ('Streaming demo', 'ready'),
   ('No such year', 'missing'), ('Not built', 'missing')) AS t(section, status)""",
