@@ -360,8 +360,21 @@ def click_window_sliding(spark, sf_dir):
 
 @query
 def click_window_approx(spark, sf_dir):
-    """ST3 as the stream computes it: approximate distinct counts."""
-    return clicks.event_metrics(_clicks(spark, sf_dir), HOURS)
+    """ST3 as the stream computes it: approximate distinct counts, held against the exact ones."""
+    found = clicks.event_metrics(_clicks(spark, sf_dir), HOURS)
+    found = found.withColumnsRenamed({f"approx_{c}": c for c in ("unique_users", "unique_sessions")})
+    keys = ["window_start", "window_end", "event_type"]
+    return _close_to(found, _metrics(spark, sf_dir), keys, ["event_count"], ["unique_users", "unique_sessions"])
+
+
+def _close_to(found: DataFrame, exact: DataFrame, keys: list[str], same: list[str], close: list[str]) -> DataFrame:
+    """Per row, whether approximate counts are within three standard errors (of 5 %) of the exact ones, or one off."""
+    truth = exact.select(*keys, *[F.col(c).alias(f"_{c}") for c in close])
+
+    def near(name: str) -> Column:
+        return F.abs(F.col(name) - F.col(f"_{name}")) <= F.greatest(F.lit(1.0), F.col(f"_{name}") * 0.15)
+
+    return found.join(truth, keys).select(*keys, *same, *[near(c).alias(f"{c}_close") for c in close])
 
 
 @query
@@ -508,11 +521,13 @@ def stream_alerts(spark, sf_dir):
 
 @query
 def stream_funnel_update(spark, sf_dir):
-    """ST10: the whole job in update mode; current windows with baseline, approximate counts."""
+    """ST10: the whole job in update mode; current windows, and approximate counts held against the exact ones."""
     outputs = pipeline.Outputs(shared_dir(spark, "clickstream"))
     source = standins.damaged(standins.click_stream(spark, sf_dir))
     jobs.drain(pipeline.start_all(source, outputs, shape=HOURS))
-    return pipeline.scored_windows(spark, outputs.windows)
+    exact = clicks.funnel(clicks.parse(standins.damaged(standins.clicks(spark, sf_dir))), HOURS, exact=True)
+    counts = ["total_sessions", "total_users", "page_view_sessions", "purchase_sessions"]
+    return _close_to(pipeline.scored_windows(spark, outputs.windows), exact, ["window_start", "window_end"], [], counts)
 
 
 @query

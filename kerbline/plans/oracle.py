@@ -405,6 +405,9 @@ FROM clicks WHERE total_amount < 0""",
 FROM events WHERE event_id % 89 = 0""",
     "click_window_metrics": _with(_CLICKS, _HOURS, _METRICS)
     + f"SELECT {_WINDOW}, event_type, event_count, unique_users, unique_sessions FROM metrics",
+    "click_window_approx": _with(_CLICKS, _HOURS, _METRICS)
+    + f"""SELECT {_WINDOW}, event_type, event_count, true AS unique_users_close, true AS unique_sessions_close
+FROM metrics""",
     "click_window_sliding": _with(_CLICKS, _SLIDING, _METRICS)
     + f"SELECT {_WINDOW}, event_type, event_count, unique_users, unique_sessions FROM metrics",
     "click_funnel": _with(_CLICKS, _HOURS, _FUNNEL) + f"SELECT {_FUNNEL_COLUMNS} FROM funnel",
@@ -470,6 +473,10 @@ GROUP BY placed.window_start, placed.window_end, placed.event_type""",
     + f"SELECT {_FUNNEL_COLUMNS} FROM funnel WHERE funnel.{_CLOSED}",
     "stream_alerts": _with(_CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS)
     + f"SELECT {_ALERT_COLUMNS} FROM alerts WHERE alerts.{_CLOSED}",
+    "stream_funnel_update": _with(_CLICKS, _HOURS)
+    + f"""SELECT DISTINCT {_WINDOW}, true AS total_sessions_close, true AS total_users_close,
+  true AS page_view_sessions_close, true AS purchase_sessions_close
+FROM windowed WHERE CAST(event_id AS BIGINT) % 101 <> 0 AND CAST(event_id AS BIGINT) % 103 <> 0""",
     "stream_rejects": f"""SELECT {_ts("ts", "kafka_timestamp")} FROM events
 WHERE event_id % 101 = 0 OR event_id % 103 = 0""",
     "stream_first_delivery": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts("ts", "event_timestamp")}

@@ -9,7 +9,7 @@ from kerbline.plans import catalog, oracle
 from tests.compare import differences, open_tables
 
 QUERIES, SQL = catalog.all_queries(), oracle.ORACLE
-WITHOUT_SQL = {"click_window_approx", "stream_funnel_update"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -31,8 +31,3 @@ def test_entry_has_rows(spark):
 def test_matches_sql(spark, duck, sf_dir, name):
     _, found = differences(spark, duck, QUERIES[name], SQL[name], sf_dir)
     assert not found
-
-
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
-def test_runs(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
