@@ -81,7 +81,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if context.applicationId not in _own_folders:
             _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-")
         root = _own_folders[context.applicationId]
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application has put below the shared folder. Its owner is the application: call this when the
+    frames that were settled are no longer read, at the latest before the session ends."""
+    folder = shared_dir(spark, "").rpartition("/")[0]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:

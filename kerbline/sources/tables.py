@@ -55,13 +55,13 @@ def first_rows(df: DataFrame, count: int | None, order_by: Sequence[str] = ()) -
     return (df.orderBy(*order_by) if order_by else df).limit(count)
 
 
-def preview(spark: SparkSession, path: str, columns: Sequence[str] = (), count: int | None = 20) -> DataFrame | None:
-    """Some columns of the first rows for display; None when nothing is there."""
+def preview(spark: SparkSession, path: str, columns: Sequence[str] = (), count: int | None = 20) -> DataFrame:
+    """Some columns of the first rows for display; a frame without rows when nothing is there."""
     try:
         found = spark.read.parquet(path)
     except AnalysisException as error:
         if _missing(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
+            return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
         raise
     return first_rows(found.select(*columns) if columns else found, count)
 

@@ -36,7 +36,8 @@ def test_zone_file(spark):
 def test_missing_paths(spark):
     nowhere = shared_dir(spark, "nowhere")
     assert tables.read_zones(spark, nowhere) is None
-    assert tables.preview(spark, nowhere) is None
+    assert tables.preview(spark, nowhere).collect() == []
+    assert tables.preview(spark, nowhere, ["pickup_ts", "fare_amount"]).columns == ["pickup_ts", "fare_amount"]
     with pytest.raises(AnalysisException):
         tables.read_trips(spark, nowhere)
 
@@ -254,16 +255,25 @@ def test_zorder_splits_a_hot_value(spark):
     assert max(sizes) < 4000
 
 
-def test_text_and_time_columns_sort_like_their_images(spark):
-    df = spark.createDataFrame(
-        [("", "2020-01-01"), ("a", "2021-05-01"), ("ab", "2021-05-02"), ("b", "2022-01-01"), ("é", "2023-01-01")],
-        "word string, day string",
-    ).withColumns({"day": F.to_date("day"), "at": F.col("day").cast("timestamp_ntz")})
-    images = df.select(*[layout._image(df, c) for c in ("word", "day", "at")]).collect()
-    for i in range(3):
-        values = [row[i] for row in images]
-        assert values == sorted(values)
-        assert len(set(values)) == 5
+def test_zorder_tells_long_common_starts_apart(spark):
+    """Text that differs only after 20 bytes, dates as text and as times, and a number, each by itself and together."""
+    base = shared_dir(spark, "text")
+    k = F.col("id")
+    rows = spark.range(4000).select(
+        F.format_string("a-common-start-of-20-%05d", k * 7919 % 4000).alias("word"),
+        F.date_format(F.timestamp_seconds(1_772_323_200 + k % 31 * 86_400), "yyyy-MM-dd").alias("event_date"),
+        F.timestamp_seconds(k * 104_729 % 4000).cast("timestamp_ntz").alias("at"),
+        (k * 31 % 4000).alias("number"),
+    )
+    versions.commit(rows, base)
+    wanted = {"word": "a-common-start-of-20-00500", "event_date": "2026-03-11", "number": 77}
+    for columns in (["word"], ["number"], ["event_date", "word"], ["word", "event_date", "number"]):
+        versions.cluster(spark, base, columns, files=16)
+        touched = layout.files_touched(versions.as_of(spark, base), {c: wanted[c] for c in columns}).collect()
+        most = {1: 1, 2: 8, 3: 10}[len(columns)]
+        assert all(row["files"] == 16 and row["touched"] <= most for row in touched), (columns, touched)
+    versions.cluster(spark, base, ["at", "number"], files=8)
+    assert versions.as_of(spark, base).count() == 4000
 
 
 def test_files_for():

@@ -95,14 +95,32 @@ def test_memory_sink_keeps_every_refinement(spark):
     batches = [[record(1, 0)], [record(2, 1)]]
     stream = clicks.parse(E.envelope_stream(spark, write_batches(spark, batches), files_per_batch=1))
     name = jobs.query_name("refine", "events")
+    log = jobs.ProgressLog(spark, shared_dir(spark, "updates"), [name])
     started = jobs.start(
         clicks.event_metrics(stream, HOURS), name, sink="memory", checkpoints=shared_dir(spark, "cp")
     )
     jobs.drain([started])
     assert [r["event_count"] for r in jobs.memory_rows(spark, name, "event_count").collect()] == [1, 2]
-    progress = jobs.progress(spark, [started])
-    assert progress.agg(F.sum("num_input_rows")).head()[0] == 2
-    assert {r["query_name"] for r in progress.collect()} == {name}
+    assert [r["query_name"] for r in jobs.progress(spark, [started]).collect()] == [name]
+    updates = log.close()
+    assert updates.agg(F.sum("num_input_rows")).head()[0] == 2
+    assert {r["query_name"] for r in updates.collect()} == {name}
+
+
+def test_all_updates_are_kept(spark, monkeypatch):
+    """More batches than Spark's own list of progress holds, written in several goes."""
+    monkeypatch.setattr(jobs, "PROGRESS_HELD", 40)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        batches = [[record(k, 0)] for k in range(12)]
+        stream = clicks.rejects(E.envelope_stream(spark, write_batches(spark, batches), files_per_batch=1))
+        name = jobs.query_name("many", "rejects")
+        log = jobs.ProgressLog(spark, shared_dir(spark, "updates"), [name])
+        jobs.drain([jobs.start(stream, name, sink="memory", checkpoints=shared_dir(spark, "cp"), mode="append")])
+        assert log.close().where("num_input_rows > 0").count() == 12
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
 
 
 def test_console_sink(spark):
