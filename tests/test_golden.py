@@ -244,7 +244,7 @@ def test_engine_ratio(spark):
     results = spark.createDataFrame(
         [
             ("pandas", "full", 1.5, 10, 0), ("pyspark", "full", 4.5, 10, 1), ("pandas", "100,000", 0.5, 5, 2),
-            ("pyspark", "20,000", 0.5, 5, 3), ("pandas", "20,000", 0.0, 5, 4),
+            ("pyspark", "20,000", 0.5, 5, 3), ("pandas", "20,000", 0.0, 5, 4), ("pandas", "full", 9.0, 10, -1),
         ],
         RESULT,
     )

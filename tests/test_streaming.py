@@ -229,6 +229,14 @@ def test_redelivery_is_dropped(spark):
     assert sorted(r["event_id"] for r in unique.collect()) == ["e1", "e2", "e3"]
 
 
+def test_events_without_an_id_are_no_copies(spark):
+    batches = [[record(1, 0)] * 2 + [record(2, 1)] * 3, [record(2, 2)] * 2]
+    stream = clicks.parse(E.envelope_stream(spark, write_batches(spark, batches), files_per_batch=1))
+    unnamed = stream.withColumn("event_id", F.when(F.col("event_id") != "e2", F.col("event_id")))
+    unique = run_parquet(quality.first_delivery(unnamed, within="1 hour"))
+    assert sorted(str(r["event_id"]) for r in unique.collect()) == ["None"] * 5 + ["e1"]
+
+
 def test_approximate_counts_are_close(spark, sf_dir):
     events = clicks.parse(standins.envelope(standins.clicks(spark, sf_dir)))
     day = Windowing("1 day", "1 day", "10 minutes")
