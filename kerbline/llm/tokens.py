@@ -1,8 +1,9 @@
 """Ids of whole texts by a tokenizer file of the `tokenizers` library, at the speed of a dictionary.
 
-The byte-level pre-tokenizer never joins a character with white space after it. So a text may be cut where white space
-begins, each distinct stretch is encoded once by the library, and the text's ids are the stretches' ids in order. For the
-same reason new stretches may be encoded as one long text; the bytes that each id stands for tell whose it is.
+The byte-level pre-tokenizer never joins a character with white space after it, nor a letter with what is none. So a text
+may be cut there, each distinct stretch is encoded once by the library, and the text's ids are the stretches' ids in
+order. For the same reason new stretches may be encoded as one long text; the bytes that each id stands for tell whose it
+is.
 """
 
 from __future__ import annotations
@@ -17,37 +18,52 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-#: Stretches that a worker remembers; then it starts anew. About 200 bytes each.
-REMEMBERED = 500_000
+#: Stretches that a worker remembers, about 200 bytes each; then it starts anew.
+REMEMBERED = 150_000
 SLICE_BYTES = 4 << 20
 #: Bytes of new stretches that the library gets as one text.
-RUN_BYTES = 1 << 16
+RUN_BYTES = 1 << 12
 
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Bytes as white space, other ASCII, letters, and parts of wider characters.
+_SPACE, _OTHER, _LETTER, _WIDE = range(4)
+_KIND = np.full(256, _WIDE, np.uint8)
+_KIND[:128] = _OTHER
+_KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
+_KIND[65:91] = _KIND[97:123] = _LETTER
 
 
-def stretches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def stretches(data: np.ndarray, offsets: np.ndarray, joins: np.ndarray) -> np.ndarray:
     """Where texts and, in them, stretches begin; `data` holds just the texts, `offsets` starts at 0.
 
-    A stretch begins at ASCII white space after something else. After a character that may be wider white space there is
-    no cut: the lead bytes C2, E1, E2 and E3 with the next byte of such characters, and the four separators 1C to 1F.
+    A stretch begins where a run of letters ends: the pre-tokenizer's letters never go on, and it does not look back. And
+    it begins at ASCII white space after something else, unless that may be wider white space: the lead bytes C2, E1, E2
+    and E3 with the next byte of such characters, and the four separators 1C to 1F. Letters are those of ASCII and, of two
+    bytes, C3 80 to C3 BF but for the signs at 97 and B7; after any other character only white space makes a cut. There is
+    no cut between a letter and a byte of `joins`: special tokens have them, which are found before all else.
     """
     if not len(data):
         return np.zeros(0, np.int64)
-    space = _SPACE[data]
-    cut = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    kind = _KIND[data]
+    cut = np.flatnonzero((kind[1:] < _LETTER) & (kind[:-1] > kind[1:])) + 1
     last = data[cut - 1]
     before = data[np.maximum(cut - 2, 0)]
     third = data[np.maximum(cut - 3, 0)]
-    odd = (last >= 0x1C) & (last <= 0x1F)
-    odd |= (before == 0xC2) & ((last == 0x85) | (last == 0xA0))
-    odd |= (last >= 0x80) & (third >= 0xE1) & (third <= 0xE3) & np.isin(before, [0x9A, 0x80, 0x81, 0xA0])
+    wide = last >= 0x80
+    letter = np.where(wide, (before == 0xC3) & (last != 0x97) & (last != 0xB7), kind[cut - 1] == _LETTER)
+    space = kind[cut] == _SPACE
+    odd = (before == 0xC2) & ((last == 0x85) | (last == 0xA0))
+    odd |= wide & (third >= 0xE1) & (third <= 0xE3) & np.isin(before, [0x9A, 0x80, 0x81, 0xA0])
+    odd |= (last >= 0x1C) & (last <= 0x1F)
     starts = offsets[:-1][np.diff(offsets) > 0]
-    return np.union1d(cut[~odd], starts)
+    begins = np.zeros(len(data), bool)
+    begins[cut[(letter & ~joins[data[cut]]) | (space & ~odd)]] = True
+    begins[starts] = True
+    return np.flatnonzero(begins)
 
 
 class StretchEncoder:
-    """Ids of texts by way of their distinct stretches, which are remembered. Subclasses say where texts are cut, and encode."""
+    """Ids of texts by way of their distinct stretches. Those that come twice in a call are remembered, so that the many that
+    come once in a corpus take no memory. Subclasses say where texts are cut, and encode."""
 
     def __init__(self) -> None:
         self._forget()
@@ -71,21 +87,30 @@ class StretchEncoder:
     def _room(array: np.ndarray, size: int) -> np.ndarray:
         return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
 
-    def _numbers(self, distinct: list[bytes]) -> np.ndarray:
-        new = [s for s in distinct if s not in self.known]
-        if len(self.known) + len(new) > REMEMBERED and self.known:
+    def _numbers(self, distinct: list[bytes], again: list[bool]) -> np.ndarray:
+        """Places of the stretches' ids. Places past the remembered ones hold for this call."""
+        new = [(s, more) for s, more in zip(distinct, again) if s not in self.known]
+        kept = [s for s, more in new if more]
+        if len(self.known) + len(kept) > REMEMBERED and self.known:
             self._forget()
-            new = distinct
-        if new:
-            new, ids, sizes = self.encoded(new)
-            first, ends = len(self.known), self.used + np.cumsum(sizes)
-            self.flat = self._room(self.flat, int(ends[-1]))
-            self.flat[self.used : ends[-1]] = ids
-            self.starts, self.sizes = self._room(self.starts, first + len(new)), self._room(self.sizes, first + len(new))
-            self.starts[first : first + len(new)], self.sizes[first : first + len(new)] = ends - sizes, sizes
-            self.known |= zip(new, range(first, first + len(new)))
-            self.used = int(ends[-1])
-        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            return self._numbers(distinct, again)
+        self.known |= self._placed(kept, len(self.known), self.used)
+        self.used = int(self.starts[len(self.known) - 1] + self.sizes[len(self.known) - 1]) if self.known else 0
+        passing = self._placed([s for s, more in new if not more], len(self.known), self.used)
+        known = self.known
+        return np.fromiter((known[s] if s in known else passing[s] for s in distinct), np.int64, len(distinct))
+
+    def _placed(self, new: list[bytes], first: int, used: int) -> dict[bytes, int]:
+        """Encode, and put the ids behind those that are there."""
+        if not new:
+            return {}
+        new, ids, sizes = self.encoded(new)
+        ends = used + np.cumsum(sizes)
+        self.flat = self._room(self.flat, int(ends[-1]))
+        self.flat[used : ends[-1]] = ids
+        self.starts, self.sizes = self._room(self.starts, first + len(new)), self._room(self.sizes, first + len(new))
+        self.starts[first : first + len(new)], self.sizes[first : first + len(new)] = ends - sizes, sizes
+        return dict(zip(new, range(first, first + len(new))))
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin and end."""
@@ -97,7 +122,9 @@ class StretchEncoder:
         parts = pa.Array.from_buffers(
             pa.large_binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        which = self._numbers(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
+        indices = parts.indices.to_numpy()
+        again = (np.bincount(indices, minlength=len(parts.dictionary)) > 1).tolist()
+        which = self._numbers(parts.dictionary.to_pylist(), again)[indices]
         sizes = self.sizes[which]
         ends = np.cumsum(sizes)
         source = np.repeat(self.starts[which] - (ends - sizes), sizes)
@@ -120,11 +147,17 @@ class Encoder(StretchEncoder):
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
         self.bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]  # a character for each byte
+        self.joins = np.zeros(256, bool)
         for number, token in self.tokenizer.get_added_tokens_decoder().items():
-            self.bytes[number] = len(token.content.encode())
+            content = np.frombuffer(token.content.encode(), np.uint8)
+            self.bytes[number] = len(content)
+            self.joins[content[1:][_KIND[content[:-1]] >= _LETTER]] = True
+        self.joins[97:123] = self.joins[65:91] = False  # between letters there is no cut anyway
+        if self.joins[[9, 10, 11, 12, 13, 32]].any():
+            raise ValueError("special tokens with white space can't be kept whole")
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return stretches(data, offsets)
+        return stretches(data, offsets, self.joins)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
