@@ -68,8 +68,8 @@ class _Model:
         mixed *= self.weight[:, None]
         mixed >>= 8
         mixed += self.alone
-        # Every symbol keeps a share: the bounds are drawn together to make room for one unit each.
-        self.bounds = mixed - (mixed * SYMBOLS >> PRECISION)
+        # Every symbol keeps a share: the bounds are drawn together by 16 units, and each symbol gets one back.
+        self.bounds = mixed - (mixed >> PRECISION - 4)
         self.bounds += _PLACE
 
     def ends(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,8 +80,8 @@ class _Model:
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The symbol whose bounds hold the value."""
-        below = np.packbits(self.bounds <= value[:, None], axis=1).view(np.uint16)[:, 0]
-        return np.bitwise_count(below).astype(np.int64) - 1
+        below = np.bitwise_count((self.bounds <= value[:, None]).view(np.uint64))
+        return (below[:, 0] + below[:, 1]).astype(np.int64) - 1
 
     def learn(self, named: np.ndarray, symbol: np.ndarray) -> None:
         """Take in the ids + 1 that came."""
@@ -206,7 +206,7 @@ def decode(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
             span.trim(live)
         model.look()
         unit = span.size >> _PRE
-        value = np.minimum((code - span.low) // unit, _U64(_TOTAL - 1)).astype(np.int32)
+        value = np.minimum((code - span.low) // unit, _U64(_TOTAL - 17 + SYMBOLS)).astype(np.int32)
         symbol = model.find(value)
         span.narrow(*model.ends(symbol), unit)
         raw = _RAW.take(symbol)
