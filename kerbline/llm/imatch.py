@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.llm.common import map_arrow, slices, utf8
-from kerbline.llm.shingles import mix, words
+from kerbline.llm.shingles import distinct, mix, words
 
 SLOT_BITS = 22
 #: Terms in more than this share of all documents, or in a single one, say nothing.
@@ -53,7 +53,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text"):
                 terms, edges = words(*utf8(part.column("text")))
                 owner = np.repeat(np.arange(part.num_rows), np.diff(edges)) << SLOT_BITS
-                slots = np.unique(owner | _slot(terms)) & ((1 << SLOT_BITS) - 1)
+                slots = distinct(owner | _slot(terms)) & ((1 << SLOT_BITS) - 1)
                 np.add.at(counts, slots, 1)
         found = np.flatnonzero(counts)
         for at in range(0, len(found), 1 << 16):
@@ -91,9 +91,9 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, keeps: np.ndarray) -> li
     out = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         own = terms[a:b]
-        kept = np.unique(own[inside[a:b]])
+        kept = distinct(own[inside[a:b]])
         if not len(kept):
-            kept = np.unique(own)
+            kept = distinct(own)
         spread = [mix(kept ^ seed) for seed in _SEEDS]
         hashes = []
         for place, field in _FIELDS:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from kerbline.llm.common import broadcast_if_small, map_arrow, settle, ship, slices, utf8
 from kerbline.llm.components import components
-from kerbline.llm.shingles import mix, shingles, words
+from kerbline.llm.shingles import distinct, mix, shingles, words
 
 #: MinHash samples of a band, and the chance that a link at the threshold shares no band.
 ROWS, MISS = 5, 1e-6
@@ -94,7 +94,7 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
     found, edges = shingles(*words(*utf8(batch.column("text"))), size)
     for row, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
         if a < b:
-            yield row, np.unique(found[a:b])
+            yield row, distinct(found[a:b])
 
 
 def _key(shingle_set: np.ndarray) -> bytes:

@@ -21,6 +21,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; for integers a sort is several times as fast as np.unique."""
+    ordered = np.sort(values)
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
+
+
 def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse; a long text makes them for itself, so that a worker keeps 32 MB at most."""
     global _powers

@@ -36,7 +36,7 @@ NEVER = float("inf")
 #: What an unknown character costs more than the worst piece in a unigram model.
 UNKNOWN_PENALTY = 10.0
 #: Transitions that a worker remembers.
-REMEMBERED_PAIRS = 2_000_000
+REMEMBERED_PAIRS = 500_000
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | float | bytes]]:
@@ -202,7 +202,10 @@ class PieceEncoder(StretchEncoder):
         cut = np.flatnonzero(space[1:] & ~space[:-1]) + 1
         before, third = data[np.maximum(cut - 2, 0)], data[np.maximum(cut - 3, 0)]
         mark = (data[cut - 1] == 0x81) & (before == 0x96) & (third == 0xE2)  # U+2581 itself is a space to the pieces
-        return np.union1d(cut[~mark], starts)
+        begins = np.zeros(len(data), bool)
+        begins[cut[~mark]] = True
+        begins[starts] = True
+        return np.flatnonzero(begins)
 
     def encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         found = [self.model.ids_of(s.decode().replace(" ", SPACE)) for s in new]
