@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -24,11 +25,18 @@ BROADCAST_BYTES = 16 << 20
 SLICE_BYTES = 1 << 20
 
 
+#: Rows of an Arrow batch where the session leaves Spark's default, which is meant for narrow rows: a row here is a text.
+BATCH_ROWS = 1000
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors, once per application, so that tasks can import them anywhere."""
+    """Send this package's sources to the executors, once per application, so that tasks can import them anywhere. Arrow
+    batches of the session get BATCH_ROWS rows, unless it sets another number than the default."""
+    if spark.conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -42,10 +50,22 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _give_back() -> None:
+    """Hand freed memory back to the system: a worker is kept for later tasks, which may need little."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: object) -> DataFrame:
-    """mapInArrow with this package at hand in the tasks."""
+    """mapInArrow with this package at hand in the tasks, which give back their memory at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        _give_back()
+
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

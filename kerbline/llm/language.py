@@ -23,7 +23,7 @@ from kerbline.llm.common import map_arrow, slices, utf8
 UNDETERMINED = "und"
 WINDOW, MARGIN = 384, 16
 #: Windows that move in step; more take more memory, fewer more time.
-LANES = 2048
+LANES = 1024
 HIDDEN = 12
 #: Bound of the training sample: rows per language, and windows of TRAIN_WINDOW bytes from them.
 SAMPLE_ROWS, SAMPLE_WINDOWS, TRAIN_WINDOW = 400, 800, 64

@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 
 #: Stretches that a worker remembers, about 200 bytes each; then it starts anew.
 REMEMBERED = 150_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of new stretches that the library gets as one text.
 RUN_BYTES = 1 << 12
 
