@@ -20,8 +20,8 @@ from kerbline.llm.common import map_arrow, slices, utf8
 from kerbline.llm.tokens import SLICE_BYTES, Tokenizer
 
 SCHEMA = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
-#: Rows of a batch that a task hands back.
-ROWS = 4096
+#: Rows of a batch that a task hands back; a full one holds 4 MB of ids.
+ROWS = 512
 _NEVER = np.int64(1) << 60
 
 #: doc_id, start, ids as little-endian uint32, doc_tokens

@@ -30,12 +30,12 @@ def distinct(values: np.ndarray) -> np.ndarray:
 
 
 def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; a long text makes them for itself, so that a worker keeps 32 MB at most."""
+    """Powers of the base and of its inverse; a longer text makes them for itself, so that a worker keeps 16 MB."""
     global _powers
     if len(_powers[0]) >= size:
         return _powers
     found = tuple(np.cumprod(np.r_[np.uint64(1), np.full(max(size, 1 << 20), b, np.uint64)]) for b in (_BASE, _INVERSE))
-    if size <= 1 << 21:
+    if size <= 1 << 20:
         _powers = found
     return found
 

@@ -9,7 +9,6 @@ is.
 from __future__ import annotations
 
 import hashlib
-import json
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -19,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 #: Stretches that a worker remembers, about 200 bytes each; then it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 SLICE_BYTES = 2 << 20
 #: Bytes of new stretches that the library gets as one text.
 RUN_BYTES = 1 << 12
@@ -137,12 +136,12 @@ class Encoder(StretchEncoder):
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        kind = json.loads(tokenizer)
-        before = kind.get("pre_tokenizer") or {}
-        if kind.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+        before = self.tokenizer.pre_tokenizer
+        if self.tokenizer.normalizer or not isinstance(before, ByteLevel) or before.add_prefix_space:
             raise ValueError("texts can be cut for a byte-level tokenizer without normalizer and prefix only")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
