@@ -9,6 +9,7 @@ is.
 from __future__ import annotations
 
 import hashlib
+import os
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -22,6 +23,8 @@ REMEMBERED = 100_000
 SLICE_BYTES = 2 << 20
 #: Bytes of new stretches that the library gets as one text.
 RUN_BYTES = 1 << 12
+#: Such texts that it gets at once.
+RUNS = 32
 
 #: Bytes as white space, other ASCII, letters, and parts of wider characters.
 _SPACE, _OTHER, _LETTER, _WIDE = range(4)
@@ -139,6 +142,8 @@ class Encoder(StretchEncoder):
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
+        # Spark gives a task its share of the cores; threads of the library would take others' and 100 MB.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer)
         before = self.tokenizer.pre_tokenizer
         if self.tokenizer.normalizer or not isinstance(before, ByteLevel) or before.add_prefix_space:
@@ -159,7 +164,12 @@ class Encoder(StretchEncoder):
         return stretches(data, offsets, self.joins)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of each text. The library's results are many times as large as the ids, so few are held at once."""
+        found = []
+        for at in range(0, len(texts), RUNS):
+            for one in self.tokenizer.encode_batch_fast(texts[at : at + RUNS], add_special_tokens=False):
+                found.append(np.array(one.ids, np.uint32))
+        return found
 
     def encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The stretches in another order, all their ids, and how many each has."""
