@@ -5,9 +5,9 @@ all terms; a document's distinct terms in it are sorted and hashed. The fingerpr
 keep shares from a half down to 1/1024, so that likeness falls by degrees: of two texts that differ in k terms, a lexicon
 with share p agrees with a chance of (1 - p)^k.
 
-Document frequencies cover the whole corpus. They are counted per slot, a 22-bit hash of the term, so the counts and the
-map of slots in the band have a size that the corpus does not change (4 million counts, 512 KB); terms that share a slot
-share its count.
+Document frequencies cover the whole corpus and are exact for each 64-bit hash of a term. A task sums up what it has read in
+a map of bounded size, so a term is shuffled once per task or map. The terms in the band go to the driver and to every
+executor as sorted hashes, 8 bytes each.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,12 @@ from pyspark.sql import functions as F
 from kerbline.llm.common import map_arrow, slices, utf8
 from kerbline.llm.shingles import distinct, mix, words
 
-SLOT_BITS = 22
+#: Frequencies are counted by so many leading bits of a term's hash: all of them.
+SLOT_BITS = 64
+#: Terms that a task holds counts of before it hands them on; 2^20 take 16 MB, and three times that while they are merged.
+HELD_TERMS = 1 << 20
+#: Leading bits of a term's hash by which counts are dealt: a row of the shuffle has a task's counts of one range.
+RANGE_BITS = 12
 #: Terms in more than this share of all documents, or in a single one, say nothing.
 MOST_SHARE, LEAST_DOCUMENTS = 0.2, 2
 #: Lexicons: for each power of two from 1 to POWERS, so many keep a share of 2^-power.
@@ -40,54 +46,116 @@ _SEEDS = mix(np.arange(1, EACH + 1, dtype=np.uint64))
 _FIELDS = [(np.uint64(p * (p - 1) // 2), np.uint64((1 << p) - 1)) for p in range(1, POWERS + 1)]
 
 
-def _slot(term: np.ndarray) -> np.ndarray:
-    return (term >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _summed(terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms in order, and the sum of each one's counts."""
+    order = np.argsort(terms)
+    terms = terms[order]
+    first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+    return terms[first], np.add.reduceat(counts[order], first)
+
+
+def _packed(terms: np.ndarray, counts: np.ndarray) -> bytes:
+    """Terms in order and their counts. The steps from term to term and the counts are parted into planes of equal bytes,
+    so that those that are zero take next to nothing in the shuffle."""
+    steps = np.diff(terms, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)
+    return np.concatenate([steps, counts.astype(np.uint32).view(np.uint8).reshape(-1, 4)], 1).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(raw, np.uint8).reshape(12, -1).T
+    steps, counts = (np.ascontiguousarray(part) for part in (rows[:, :8], rows[:, 8:]))
+    return np.cumsum(steps.view(np.uint64).ravel()), counts.view(np.uint32).ravel().astype(np.int64)
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
-    """slot and the number of documents with a term in it. Every task counts its documents before anything is shuffled."""
+    """term (its hash as a signed number) and the number of documents that have it. Every task counts its documents before
+    anything is shuffled."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int32)
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text"):
                 terms, edges = words(*utf8(part.column("text")))
-                owner = np.repeat(np.arange(part.num_rows), np.diff(edges)) << SLOT_BITS
-                slots = distinct(owner | _slot(terms)) & ((1 << SLOT_BITS) - 1)
-                np.add.at(counts, slots, 1)
-        found = np.flatnonzero(counts)
-        for at in range(0, len(found), 1 << 16):
-            some = found[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some].astype(np.int64))], names=["slot", "n"])
-
-    counted = map_arrow(docs.select("text"), run, "slot long, n long")
-    return counted.groupBy("slot").agg(F.sum("n").alias("documents"))
+                if not len(terms):
+                    continue
+                own = np.concatenate([distinct(terms[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()) if a < b])
+                own.sort()
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                held.append((own[first], np.diff(first, append=len(own))))
+                size += len(first)
+                if size > HELD_TERMS:
+                    held = [_summed(*map(np.concatenate, zip(*held)))]
+                    size = len(held[0][0])
+                    if size > HELD_TERMS // 2:
+                        yield from held
+                        held, size = [], 0
+        if held:
+            yield _summed(*map(np.concatenate, zip(*held)))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for terms, n in counts(batches):
+            place = (terms >> np.uint64(64 - RANGE_BITS)).astype(np.int32)
+            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            ends = np.append(first[1:], len(terms))
+            for at in range(0, len(first), 256):
+                own = range(at, min(at + 256, len(first)))
+                packed = [_packed(terms[first[k] : ends[k]], n[first[k] : ends[k]]) for k in own]
+                columns = [pa.array(place[first[at : at + 256]]), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["range", "packed"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("range", "packed"))))
+        for _, own in groupby(rows, key=lambda r: r[0]):
+            terms, n = _summed(*map(np.concatenate, zip(*(_unpacked(raw) for _, raw in own))))
+            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n)], names=["term", "documents"])
+
+    ranges = map_arrow(docs.select("text"), dealt, "range int, packed binary").repartition("range")
+    return map_arrow(ranges.sortWithinPartitions("range"), summed, "term long, documents long")
+
+
+class Band:
+    """Tells which terms are among the kept ones. A map of leading bits, eight times as many as terms, turns most others
+    away before they are searched."""
+
+    def __init__(self, kept: np.ndarray):
+        self.kept = kept
+        self.shift = np.uint64(64 - min(27, max(16, 8 * len(kept)).bit_length()))
+        self.near = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.near[kept >> self.shift] = True
+
+    def holds(self, terms: np.ndarray) -> np.ndarray:
+        found = self.near[terms >> self.shift]
+        at = np.flatnonzero(found)
+        if len(at):
+            own = terms[at]
+            place = np.searchsorted(self.kept, own)
+            found[at] = self.kept[np.minimum(place, len(self.kept) - 1)] == own
+        return found
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    """The slots in the band, a bit each, sent to every executor once."""
+    """The sorted hashes of the terms in the band, sent to every executor once."""
 
-    bits: Broadcast
+    terms: Broadcast
 
-    def keeps(self) -> np.ndarray:
-        return np.unpackbits(np.frombuffer(self.bits.value, np.uint8)).view(bool)
+    def band(self) -> Band:
+        return Band(np.frombuffer(self.terms.value, np.uint64))
 
 
 def lexicon(docs: DataFrame) -> Lexicon:
-    """Slots of terms that are neither too common nor found once; at most 2^22 slot numbers reach the driver."""
+    """Terms that are neither too common nor found once. Their hashes pass the driver."""
     spark = docs.sparkSession
     total = docs.count()
     kept = document_frequencies(docs).filter(F.col("documents").between(LEAST_DOCUMENTS, max(2, int(MOST_SHARE * total))))
-    bits = np.zeros(1 << SLOT_BITS, bool)
-    bits[kept.select("slot").toArrow().column("slot").to_numpy()] = True
-    return Lexicon(spark.sparkContext.broadcast(np.packbits(bits).tobytes()))
+    terms = np.sort(kept.select("term").toArrow().column("term").to_numpy().view(np.uint64))
+    return Lexicon(spark.sparkContext.broadcast(terms.tobytes()))
 
 
-def fingerprints(data: np.ndarray, offsets: np.ndarray, keeps: np.ndarray) -> list[list[str]]:
+def fingerprints(data: np.ndarray, offsets: np.ndarray, band: Band) -> list[list[str]]:
     """Per text the hash of each lexicon's distinct sorted terms. Of texts without a kept term all words count."""
     terms, edges = words(data, offsets)
-    inside = keeps[_slot(terms)]
+    inside = band.holds(terms)
     out = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         own = terms[a:b]
@@ -161,16 +229,16 @@ def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
     one by itself. Null text counts as empty. A text without words has a fingerprint of its own kind, equal to that of
     any other such text. Further columns are left out. An empty table gives no rows.
     """
-    band = lexicon(docs)
+    found = lexicon(docs)
     dealt = with_next(docs)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(partitions, "part").sortWithinPartitions("part", "extra", "key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keeps, last = band.keeps(), None
+        band, last = found.band(), None
         for batch in batches:
             for part in slices(batch, "text"):
-                prints = fingerprints(*utf8(part.column("text")), keeps)
+                prints = fingerprints(*utf8(part.column("text")), band)
                 rows = zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "extra")), prints)
                 edits, out = [], []
                 for row in rows:
@@ -180,7 +248,7 @@ def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
                         out.append((last[0], len(last[1]), last[3], likeness(last[3], row[3])))
                     last = row
                 edited = pa.array(edits, pa.string())
-                others = fingerprints(*utf8(edited), keeps)
+                others = fingerprints(*utf8(edited), band)
                 columns = [
                     pa.array([o[0] for o in out], pa.int64()),
                     pa.array([o[1] for o in out], pa.int64()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -73,3 +74,30 @@ def test_few_rows(documents):
 def test_likeness_tells_edits_from_strangers(spark, sf_dir):
     got = op4_imatch(spark, sf_dir).filter("n_chars > 400").agg({"near_edited": "avg", "near_next": "avg"}).first()
     assert got["avg(near_edited)"] > 0.15 and got["avg(near_next)"] < 0.1
+
+
+def sharing_words(bits):
+    """Two words whose hashes begin with the same bits."""
+    seen = {}
+    for k in range(1 << bits):
+        other = seen.setdefault(term(f"w{k}") >> (64 - bits), f"w{k}")
+        if other != f"w{k}":
+            return other, f"w{k}"
+
+
+def test_frequencies_by_word(documents, prose, monkeypatch):
+    texts = [prose(k, 200) for k in range(60)] + ["twice Twice", None, " ", "\u00fc"]
+    count = Counter(w for t in texts for w in set((t or "").lower().split()))
+    want = sorted((term(w), n) for w, n in count.items())
+    for held in (imatch.HELD_TERMS, 150):
+        monkeypatch.setattr(imatch, "HELD_TERMS", held)
+        got = imatch.document_frequencies(documents(list(enumerate(texts))).coalesce(2)).collect()
+        assert sorted((r.term % 2**64, r.documents) for r in got) == want
+
+
+def test_a_word_found_once_is_left_out_whatever_hashes_like_it(documents, prose):
+    left, right = sharing_words(22)
+    base = prose(1, 100)
+    rows = [(0, base), (1, f"{base} {left}"), (2, f"{right} {base}")] + [(k, prose(k, 20)) for k in range(3, 40)]
+    got = {r.doc_id: r.fingerprint for r in imatch.fingerprint_with_edits(documents(rows)).collect()}
+    assert got[0] == got[1] == got[2]
