@@ -13,8 +13,12 @@ from kerbline.llm.tokens import tokenizer
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told. The network is trained on the labelled rows of `docs`; where lang is null,
-    the prediction is filled in. Null text, and text without a letter, is rejected, and nothing else."""
-    judged = language.predict(spark, docs, language.fit(docs)).filter(F.col("lang_pred") != language.UNDETERMINED)
+    the prediction is filled in, or stays null if no row can be learned from. Null text, and text without a letter, is
+    rejected, and nothing else."""
+    known, network = docs.filter(F.col("text").rlike(r"\p{L}")), language.fit(docs)
+    if network is None:
+        return known
+    judged = language.predict(spark, known, network)
     return judged.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 

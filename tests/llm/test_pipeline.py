@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
 import corpus_pipeline
@@ -62,3 +64,22 @@ def test_near_stage_keeps_one_of_each_group(documents, prose, edited):
     base = prose(4, 120)
     docs = documents([(9, base), (3, edited(base, 1, "a")), (5, edited(base, 1, "b")), (1, prose(5, 50)), (None, None)])
     assert sorted(str(r.doc_id) for r in near_dedup.deduplicated(docs).collect()) == ["1", "3", "None"]
+
+
+@pytest.mark.parametrize("held_out", [False, True])
+def test_nothing_to_learn_from(spark, documents, prose, tmp_path, held_out):
+    """No label at all, or labels in the held-out fold only."""
+    ids = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 == 2][:20] if held_out else list(range(20))
+    rows = [(k, prose(k, 40)) for k in ids] + [(1000, None), (1001, "12 34")]
+    docs = documents(rows).drop("kept", "group")
+    if held_out:
+        docs = docs.withColumn("lang", F.when(F.col("doc_id") < 1000, "en"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    kept = corpus_pipeline.language_id(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.lang) for r in kept) == [(k, "en" if held_out else None) for k in ids]
+    assert {p.doc_id for p in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(ids)
+
+
+def test_a_language_of_the_name_of_undetermined_text(spark, documents, prose):
+    docs = documents([(k, prose(k, 40)) for k in range(20)], lang="und").drop("kept", "group")
+    assert corpus_pipeline.language_id(spark, docs, "").count() == 20
