@@ -98,7 +98,9 @@ def links(messages: DataFrame) -> DataFrame:
     """row, reply (turn in the same conversation) and source (conv and turn elsewhere) of the rows with a quote that is known.
 
     Of several quotes the outermost counts, then the latest turn. First messages are found by minima taken before the
-    shuffle, so a passage that a third of all messages hold is one row in the join.
+    shuffle, so a passage that a third of all messages hold is one row in the join. It has the origins in two conversations
+    (ranks are limited before the shuffle, too): the second is for the conversation that holds the first one, but not
+    before the quoting turn.
     """
     quotes = settle(
         messages.select("row", "conv", "at", F.explode("quotes").alias("q")).select(
@@ -109,12 +111,18 @@ def links(messages: DataFrame) -> DataFrame:
     wanted = broadcast_if_small(settle(quotes.select("key").distinct(), "quote-keys"), 32)
     held = messages.select("conv", "at", F.explode("own_keys").alias("key")).join(wanted, "key", "left_semi")
     firsts = settle(held.groupBy("key", "conv").agg(F.min("at").alias("first")), "quote-firsts")
-    every = settle(firsts.groupBy("key").agg(F.min(F.struct("conv", "first")).alias("source")), "quote-sources")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("conv"))
+    least = firsts.select("key", F.struct("conv", "first").alias("origin"), rank.alias("rank")).filter("rank <= 2")
+    nth = [F.min(F.when(F.col("rank") == k, F.col("origin"))).alias(name) for k, name in ((1, "source"), (2, "other"))]
+    every = settle(least.groupBy("key").agg(*nth), "quote-sources")
     met = quotes.join(broadcast_if_small(firsts, 48), ["key", "conv"], "left").join(
-        broadcast_if_small(every, 48), "key", "left"
+        broadcast_if_small(every, 64), "key", "left"
+    )
+    before = F.col("first") < F.col("at")
+    here = F.when(before, F.struct("level", (-F.col("first")).alias("late")))
+    apart = F.when(F.col("source.conv") != F.col("conv"), F.struct("level", "source")).when(
+        ~before & F.col("other").isNotNull(), F.struct("level", F.col("other").alias("source"))
     )
-    here = F.when(F.col("first") < F.col("at"), F.struct("level", (-F.col("first")).alias("late")))
-    apart = F.when(F.col("source.conv") != F.col("conv"), F.struct("level", "source"))
     return met.groupBy("row").agg(
         (-F.min(here)["late"]).alias("reply"), F.min(apart)["source"].alias("source")
     )

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
-from kerbline.llm.quotes import parse, passage_key, reply_ordered
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from kerbline.llm.quotes import links, parse, parsed, passage_key, reply_ordered
 
 SCHEMA = "conv_id long, turn long, role string, text string, position string"
 
@@ -85,3 +88,20 @@ def test_a_passage_that_all_have(spark):
     rows = [(c, t, "hello" if t == 0 else f"> hello\nfrom {c}") for c in range(200) for t in range(2)]
     got = run(spark, rows)
     assert len(got) == 400 and all(r.reply_to == 0 and r.source_conv in (None, 0) for r in got if r.turn == 1)
+
+
+def test_a_passage_that_the_least_conversation_has_too_late(spark):
+    rows = [(1, 0, "> thanks\n\nthanks"), (2, 0, "thanks"), (2, 1, "> thanks"), (3, 5, "Thanks"), (4, 0, "> alone\n\nalone")]
+    rows += [(1, 1, "> thanks\nlater")]
+    got = {(r.conv_id, r.turn): (r.source_conv, r.source_turn) for r in run(spark, rows)}
+    assert got[1, 0] == (2, 0) and got[2, 1] == (1, 0) and got[4, 0] == (None, None)
+    assert got[1, 1] == (None, None)  # its own conversation had it before
+
+
+def test_ranks_are_limited_before_the_shuffle(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "> a\n\na", "x"), (2, 0, "user", "a", "x")], SCHEMA)
+    firsts = spark.range(10).selectExpr("id % 3 AS key", "id AS conv")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("conv"))
+    plan = firsts.withColumn("rank", rank).filter("rank <= 2")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert links(parsed(rows)).filter("source.conv = 2").count() == 1
