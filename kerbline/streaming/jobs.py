@@ -126,11 +126,13 @@ class ProgressLog(StreamingQueryListener):
     def __init__(self, spark: SparkSession, path: str, names: Iterable[str]):
         self.spark, self.path, self.names = spark, path, set(names)
         self.rows: list[tuple] = []
-        self.ended = 0
+        self.started: dict[str, str] = {}  # run id to name
+        self.ended: set[str] = set()
         spark.streams.addListener(self)
 
     def onQueryStarted(self, event) -> None:
-        pass
+        if event.name in self.names:
+            self.started[str(event.runId)] = event.name
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -144,19 +146,29 @@ class ProgressLog(StreamingQueryListener):
                 self._flush()
 
     def onQueryTerminated(self, event) -> None:
-        self.ended += 1
+        if str(event.runId) in self.started:
+            self.ended.add(str(event.runId))
+
+    def _missing(self) -> list[str]:
+        """Named queries that were not started, or have a run that has not ended."""
+        started = dict(self.started)
+        running = {name for run, name in started.items() if run not in self.ended}
+        return sorted(running | self.names - set(started.values()))
 
     def _flush(self) -> None:
         rows, self.rows = self.rows, []
         self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def close(self) -> DataFrame:
-        """All updates of queries that have ended. Spark hands events over in order, so the last end comes last."""
+        """All updates of queries that have ended. Spark hands events over in order, so a query's end comes after its
+        updates. Raises if the end of a named query has not come in time; what has come is written all the same."""
         until = time.monotonic() + LISTENER_SECONDS
-        while self.ended < len(self.names) and time.monotonic() < until:
+        while (missing := self._missing()) and time.monotonic() < until:
             time.sleep(0.05)
         self.spark.streams.removeListener(self)
         self._flush()
+        if missing:
+            raise TimeoutError(f"no end of these queries was reported in {LISTENER_SECONDS} seconds: {missing}")
         return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,20 @@ def test_all_updates_are_kept(spark, monkeypatch):
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
 
 
+def test_only_the_ends_of_watched_queries_count(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "LISTENER_SECONDS", 3.0)
+    log = jobs.ProgressLog(spark, shared_dir(spark, "updates"), ["slow", "quick"])
+    run = {name: SimpleNamespace(name=name, runId=f"run-{name}") for name in ("slow", "quick", "stranger")}
+    for event in run.values():
+        log.onQueryStarted(event)
+    for name in ("quick", "stranger"):
+        log.onQueryTerminated(run[name])
+    with pytest.raises(TimeoutError, match="slow"):
+        log.close()
+    log.onQueryTerminated(run["slow"])
+    assert log.close().count() == 0
+
+
 def test_console_sink(spark):
     stream = E.envelope_stream(spark, write_batches(spark, [[record(1, 0)]]))
     shown = jobs.start(clicks.parse(stream), "shown", sink="console", checkpoints=shared_dir(spark, "cp"), mode="append")
