@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import exact_dedup, imatch, language, near_dedup, packing, quotes, sharding, token_files, url_rules, wfst
+from kerbline.llm import centroids, exact_dedup, imatch, language, line_quality, merkle, near_dedup, packing, quotes, sharding
+from kerbline.llm import sql, token_files, url_rules, wfst
 from kerbline.llm.common import table
 from kerbline.llm.tokens import tokenizer
 from kerbline.session import shared_dir
@@ -89,6 +90,42 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(spark, known, network).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents in a manifest with a tree a language, and which of them hold after some were tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    claimed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, 1).otherwise(0)
+    claimed = F.col("n_chars").cast("decimal(20,0)") + claimed
+
+    def leaf(n_chars: Column) -> Column:
+        return merkle.digest(*map(merkle.field, (F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))))
+
+    rows = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"), leaf(F.coalesce(claimed, "n_chars")).alias("claimed"))
+    found = merkle.proofs(rows, leaf="leaf", group="lang", order="doc_id", fanout=2)
+    found = found.withColumn("folded_root", merkle.folded(F.col("claimed"), F.col("steps")))
+    proof = F.sha2(merkle.siblings(F.col("steps")), 256).alias("proof_sha256")
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in eight clusters after ten rounds."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, size=64, seed=3)
+
+
+def op13_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents, and what is left of their texts without the lines that break a rule."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("cleaned"))
+    return line_quality.judged(docs, text="cleaned").select(
+        "doc_id",
+        *line_quality.COUNTS,
+        "base_failed",
+        "kept",
+        *(f"{rule}_lines" for rule in line_quality.RULES),
+        "lost_words",
+        F.sha2("cleaned", 256).alias("cleaned_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
@@ -100,6 +137,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_wfst": op9_wfst,
     "op10_language": op10_language,
+    "op11_merkle": op11_merkle,
+    "op12_centroids": op12_centroids,
+    "op13_line_quality": op13_line_quality,
 }
 
 
@@ -156,4 +196,7 @@ ORACLE: dict[str, str] = {
             FROM norm
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM ranked""",
+    "op11_merkle": sql.MERKLE,
+    "op12_centroids": sql.CENTROIDS,
+    "op13_line_quality": sql.QUALITY,
 }
