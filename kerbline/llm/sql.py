@@ -136,10 +136,13 @@ QUALITY = f"""
                coalesce(sum(n) FILTER (punctuation OR navigation OR boilerplate), 0) AS lost,
                coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT (punctuation OR navigation OR boilerplate)), '') AS cleaned
         FROM ruled GROUP BY id
-    ), starts AS (
-        SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM texts
+    ), words AS (
+        SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts
+    ), threes AS (
+        SELECT id, i, word, lead(word, 1) OVER own AS second, lead(word, 2) OVER own AS third
+        FROM words WINDOW own AS (PARTITION BY id ORDER BY i)
     ), windows AS (
-        SELECT id, i, count(*) OVER (PARTITION BY id, w[i], w[i + 1], w[i + 2]) AS found FROM starts
+        SELECT id, i, count(*) OVER (PARTITION BY id, word, second, third) AS found FROM threes WHERE third IS NOT NULL
     ), covered AS (
         SELECT id, count(DISTINCT place) AS n FROM (SELECT id, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE found > 1)
         GROUP BY id
