@@ -71,11 +71,11 @@ def rejects(envelope: DataFrame) -> DataFrame:
 FUNNEL_COUNTS = ("total_sessions", "total_users", *[f"{stage}_sessions" for stage in FUNNEL_STAGES])
 
 
-def _bounds() -> list[Column]:
+def bounds() -> list[Column]:
     return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
 
-def _window(shape: Windowing) -> Column:
+def window(shape: Windowing) -> Column:
     return F.window("event_timestamp", shape.duration, shape.slide)
 
 
@@ -85,13 +85,13 @@ def event_metrics(events: DataFrame, shape: Windowing = Windowing(), *, exact: b
         return _exact_event_metrics(events, shape)
     return (
         events.withWatermark("event_timestamp", shape.watermark)
-        .groupBy(_window(shape), "event_type")
+        .groupBy(window(shape), "event_type")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.approx_count_distinct("user_id").alias("approx_unique_users"),
             F.approx_count_distinct("session_id").alias("approx_unique_sessions"),
         )
-        .select(*_bounds(), "event_type", "event_count", "approx_unique_users", "approx_unique_sessions")
+        .select(*bounds(), "event_type", "event_count", "approx_unique_users", "approx_unique_sessions")
     )
 
 
@@ -105,7 +105,7 @@ def funnel(events: DataFrame, shape: Windowing = Windowing(), *, exact: bool = F
     session = F.col("session_id")
     counted = (
         events.withWatermark("event_timestamp", shape.watermark)
-        .groupBy(_window(shape))
+        .groupBy(window(shape))
         .agg(
             F.approx_count_distinct(session).alias("total_sessions"),
             F.approx_count_distinct("user_id").alias("total_users"),
@@ -115,7 +115,7 @@ def funnel(events: DataFrame, shape: Windowing = Windowing(), *, exact: bool = F
             ],
         )
     )
-    return with_rates(counted.select(*_bounds(), *FUNNEL_COUNTS))
+    return with_rates(counted.select(*bounds(), *FUNNEL_COUNTS))
 
 
 def with_rates(counts: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def _per_member(events: DataFrame, shape: Windowing, extra: tuple[str, ...], *ag
     On a stream the two levels are two stateful steps, which Spark allows in append mode.
     """
     shaped = events.withWatermark("event_timestamp", shape.watermark).select(
-        _window(shape).alias("window"), "session_id", "user_id", "event_type"
+        window(shape).alias("window"), "session_id", "user_id", "event_type"
     )
     keys = ["window", *extra]
     by = [[*keys, "session_id"], [*keys, "user_id"]]
@@ -161,7 +161,7 @@ def _exact_event_metrics(events: DataFrame, shape: Windowing) -> DataFrame:
         F.count_if(~session & F.col("_known")).alias("unique_users"),
         F.count_if(session & F.col("_known")).alias("unique_sessions"),
     )
-    return counted.select(*_bounds(), "event_type", "event_count", "unique_users", "unique_sessions")
+    return counted.select(*bounds(), "event_type", "event_count", "unique_users", "unique_sessions")
 
 
 def _exact_stage_counts(events: DataFrame, shape: Windowing) -> DataFrame:
@@ -175,7 +175,7 @@ def _exact_stage_counts(events: DataFrame, shape: Windowing) -> DataFrame:
         F.count_if(~F.col("_by_session") & F.col("_known")).alias("total_users"),
         *[F.count_if(session & F.col(f"_{stage}")).alias(f"{stage}_sessions") for stage in FUNNEL_STAGES],
     )
-    return counted.select(*_bounds(), *FUNNEL_COUNTS)
+    return counted.select(*bounds(), *FUNNEL_COUNTS)
 
 
 # --- alerts ---------------------------------------------------------------------------------------------------------
