@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 # Updates that a log holds before it writes them, and how long it waits for those on their way.
@@ -97,6 +96,8 @@ PROGRESS_SCHEMA = (
     "query_name string, batch_id long, num_input_rows long, input_rows_per_second double,"
     " processed_rows_per_second double, trigger_execution_ms long"
 )
+#: What a log keeps besides: groups of rows that came too late for the state, and observed metrics by name, as JSON.
+LOG_SCHEMA = PROGRESS_SCHEMA + ", dropped_groups long, observed map<string, string>"
 
 
 def _rounded(value: float | None) -> float | None:
@@ -141,7 +142,10 @@ class ProgressLog(StreamingQueryListener):
         p = event.progress
         if p.name in self.names:
             speeds = (_rounded(p.inputRowsPerSecond), _rounded(p.processedRowsPerSecond))
-            self.rows.append((p.name, p.batchId, p.numInputRows, *speeds, p.durationMs.get("triggerExecution")))
+            dropped = sum(operator.numRowsDroppedByWatermark for operator in p.stateOperators)
+            observed = {name: json.dumps(row.asDict(), default=str) for name, row in p.observedMetrics.items()}
+            taken = p.durationMs.get("triggerExecution")
+            self.rows.append((p.name, p.batchId, p.numInputRows, *speeds, taken, dropped, observed))
             if len(self.rows) >= PROGRESS_HELD:
                 self._flush()
 
@@ -157,7 +161,7 @@ class ProgressLog(StreamingQueryListener):
 
     def _flush(self) -> None:
         rows, self.rows = self.rows, []
-        self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def close(self) -> DataFrame:
         """All updates of queries that have ended. Spark hands events over in order, so a query's end comes after its
@@ -169,60 +173,24 @@ class ProgressLog(StreamingQueryListener):
         self._flush()
         if missing:
             raise TimeoutError(f"no end of these queries was reported in {LISTENER_SECONDS} seconds: {missing}")
-        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
 
 
-# --- window tables kept by micro-batches ----------------------------------------------------------------------------
-#
-# Update mode emits a window again whenever it changes. Every micro-batch writes what it emitted under its own batch
-# id, by overwriting, so a batch that is run again after a failure replaces its own rows. Readers take the last batch
-# of each window. Rows also carry the day of their window, for pruning.
-#
-# Batches are kept in generations. The first batch of a generation writes every window (one small row each), so the
-# running query reads one generation, however long it runs, and older ones can be removed.
-
-WINDOW_KEY = ("window_start", "window_end")
-GENERATION_BATCHES = 500
-
-
-def opens_generation(batch_id: int) -> bool:
-    return batch_id % GENERATION_BATCHES == 0
-
-
-def save_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    dated = rows.withColumn("window_day", F.to_date("window_start"))
-    target = f"{path}/generation={batch_id // GENERATION_BATCHES}/batch_id={batch_id}"
-    dated.write.mode("overwrite").partitionBy("window_day").parquet(target)
-
-
-def stored(spark: SparkSession, path: str, schema: T.StructType, *, before_batch: int | None = None) -> DataFrame:
-    """Saved rows with their batch id: those of the newest generation, or what a batch has to know of the ones before it.
-    An empty frame before the first batch."""
-    places = [T.StructField("batch_id", T.LongType()), T.StructField("window_day", T.DateType())]
-    source = path if before_batch is None else f"{path}/generation={max(before_batch - 1, 0) // GENERATION_BATCHES}"
-    full = T.StructType([*schema.fields, T.StructField("generation", T.LongType()), *places])
-    try:
-        rows = spark.read.schema(full).option("basePath", path).parquet(source)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], full)
-    if before_batch is None:
-        return newest(rows)
-    return rows.where(F.col("batch_id") < before_batch).drop("generation")
-
+def observed(log: DataFrame, name: str, schema: str) -> DataFrame:
+    """The metrics observed under a name, one row per update of a ProgressLog. Updates repeat the batch they are about, so
+    each batch counts once, also when the query went through it again."""
+    seen = log.where(F.col("observed")[name].isNotNull())
+    last = seen.groupBy("query_name", "batch_id").agg(F.max(F.col("observed")[name]).alias("_seen"))
+    return last.select("query_name", "batch_id", F.from_json("_seen", schema).alias("_seen")).select(
+        "query_name", "batch_id", "_seen.*"
+    )
 
-def newest(rows: DataFrame) -> DataFrame:
-    """Saved rows of the newest generation, which opens with every window. Older ones are not read, only listed."""
-    last = rows.agg(F.max("generation").alias("last")).head()["last"]
-    return rows.where(F.col("generation") == F.lit(last)).drop("generation")
 
+def open_groups(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """What a stateful operator of a query still holds, key columns and state columns, as of its last finished batch.
 
-def latest(rows: DataFrame, key: Iterable[str] = WINDOW_KEY) -> DataFrame:
-    """The last emitted state per window. An aggregate: a window refined many times keeps one row per task."""
-    payload = [c for c in rows.columns if c not in ("batch_id", "window_day")]
-    return (
-        rows.groupBy(*key)
-        .agg(F.max_by(F.struct(*payload), F.col("batch_id")).alias("_last"))
-        .select("_last.*")
-    )
+    In append mode a window is written when the watermark has passed its end; until then it is only here. The query may
+    run on meanwhile, in this application or another; its own store is not touched.
+    """
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    return state.select("key.*", "value.*")
