@@ -12,7 +12,8 @@ from datetime import datetime
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbline.functions import roles
@@ -144,24 +145,37 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(key).isNotNull() for key in keys])
 
 
+def repeated_signatures(df: DataFrame) -> DataFrame | None:
+    """Signature keys that occur more than once, with `_copies`, written to the shared folder; None without signatures."""
+    keys = _signature(df)
+    if not keys:
+        return None
+    counted = df.withColumns(keys).where(_complete(list(keys))).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    return settle(counted.where(F.col("_copies") > 1), "repeated-signatures")
+
+
 def mark_duplicates(
-    df: DataFrame, *, counted_on: DataFrame | None = None, max_broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    *,
+    counted_on: DataFrame | None = None,
+    repeated: DataFrame | None = None,
+    max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add `dq_duplicate_taxi_record`: the row's whole signature occurs more than once.
 
     Counting the signatures combines on the map side, so a signature held by a large share of the rows costs one
     counter per task, where a window over the signature would gather all its rows in one task. The signatures that
-    repeat are written to the shared folder when this is called. If they are few, they are broadcast and the rows
-    are not shuffled at all; else they are joined by shuffle, the most frequent of them apart. Incomplete signatures
-    match nothing. `counted_on` are the same trips before anything was joined to them: counting then carries no join.
+    repeat are written to the shared folder when this is called, unless `repeated` has them already. If they are few,
+    they are broadcast and the rows are not shuffled at all; else they are joined by shuffle, the most frequent of them
+    apart. Incomplete signatures match nothing. `counted_on` are the same trips before anything was joined to them:
+    counting then carries no join.
     """
     keys = _signature(df)
     if not keys:
         return df
     keyed = df.withColumns(keys)
-    trips = keyed if counted_on is None else counted_on.withColumns(_signature(counted_on))
-    counted = trips.where(_complete(list(keys))).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    repeated = settle(counted.where(F.col("_copies") > 1), "repeated-signatures")
+    if repeated is None:
+        repeated = repeated_signatures(df if counted_on is None else counted_on)
     if fits_broadcast(repeated, max_broadcast_rows):
         marked = keyed.join(F.broadcast(repeated), list(keys), "left")
     else:
@@ -184,10 +198,15 @@ def duplicate_signatures(df: DataFrame) -> DataFrame:
 
 
 def flag(
-    df: DataFrame, limits: Limits = Limits(), *, duplicates: bool = True, counted_on: DataFrame | None = None
+    df: DataFrame,
+    limits: Limits = Limits(),
+    *,
+    duplicates: bool = True,
+    counted_on: DataFrame | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Add a `dq_` column per rule, the names of the issues found, their count, and whether there is any."""
-    marked = mark_duplicates(df, counted_on=counted_on) if duplicates else df
+    marked = mark_duplicates(df, counted_on=counted_on, repeated=repeated) if duplicates else df
     conditions = row_conditions(df.columns, limits)
     names = [name for name in conditions if name != FUTURE]
     names += [DUPLICATE] if f"dq_{DUPLICATE}" in marked.columns else []
@@ -216,23 +235,47 @@ def _finish_summary(counts: DataFrame) -> DataFrame:
 
 def summary_of_flagged(flagged: DataFrame) -> DataFrame:
     """Rows, issue rows and rows per rule of an already flagged frame; zeros when it is empty."""
+    return _finish_summary(flag_counts(flagged))
+
+
+def _flag_counts(flagged: DataFrame) -> list[Column]:
     skip = {"dq_issue_names", "dq_issue_count", "dq_has_issue"}
     names = [c for c in flagged.columns if c.startswith("dq_") and c not in skip]
-    return _finish_summary(
-        flagged.agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            F.count_if("dq_has_issue").alias("issue_rows"),
-            *[F.count_if(c).alias(f"{c.removeprefix('dq_')}_rows") for c in names],
-        )
-    )
+    return [
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if("dq_has_issue").alias("issue_rows"),
+        *[F.count_if(c).alias(f"{c.removeprefix('dq_')}_rows") for c in names],
+    ]
 
 
-def summary(df: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The same counts straight from unflagged trips, with one shuffle and no join back.
+def observed_flags(flagged: DataFrame, watch: Observation) -> DataFrame:
+    """The flagged rows, whose summary is counted by whatever job writes them (or the issue rows among them)."""
+    return flagged.observe(watch, *_flag_counts(flagged))
 
-    Rows are counted per signature together with the row rules they break. Whether a signature repeats is known once
-    it is grouped, and then all its rows count as issues. Incomplete signatures share one empty key.
-    """
+
+def observed_summary(watch: Observation, otherwise: DataFrame) -> DataFrame:
+    """The summary that a finished job has observed; waits for the job. Counts are taken in the tasks whose output the job
+    keeps, so a task that is run again counts once. `otherwise` are the same counts as a query, for a job without rows:
+    Spark leaves out what it sees to be empty, and the observation with it."""
+    try:
+        counts = watch.get
+    except Py4JJavaError as error:
+        if "toPyRow" not in str(error):
+            raise
+        return _finish_summary(otherwise)
+    schema = ", ".join(f"{name} long" for name in counts)
+    return _finish_summary(otherwise.sparkSession.createDataFrame([tuple(counts.values())], schema))
+
+
+def flag_counts(flagged: DataFrame) -> DataFrame:
+    """What `observed_flags` observes, as a query."""
+    return flagged.agg(*_flag_counts(flagged))
+
+
+def _by_signature(df: DataFrame, limits: Limits) -> tuple[DataFrame, list[Column], Column]:
+    """Rows counted per signature together with the row rules they break, the totals that make a summary of them, and
+    whether a signature repeats: known once it is grouped, and then all its rows count as issues. Incomplete signatures
+    share one empty key."""
     conditions = row_conditions(df.columns, limits)
     keys = _signature(df)
     counted = {f"{name}_rows": condition for name, condition in conditions.items()}
@@ -264,13 +307,33 @@ def summary(df: DataFrame, limits: Limits = Limits()) -> DataFrame:
         outputs[f"{DUPLICATE}_rows"] = total(F.when(repeats, F.col("_rows")))
         if future is not None:
             outputs[f"{FUTURE}_rows"] = future
-    return _finish_summary(
-        grouped.agg(
-            total(F.col("_rows")).alias("total_rows"),
-            total(F.when(repeats, F.col("_rows")).otherwise(F.col("_issues"))).alias("issue_rows"),
-            *[column.alias(name) for name, column in outputs.items()],
-        )
-    )
+    totals = [
+        total(F.col("_rows")).alias("total_rows"),
+        total(F.when(repeats, F.col("_rows")).otherwise(F.col("_issues"))).alias("issue_rows"),
+        *[column.alias(name) for name, column in outputs.items()],
+    ]
+    return grouped, totals, repeats
+
+
+def summary(df: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The same counts straight from unflagged trips, with one shuffle and no join back."""
+    grouped, totals, _ = _by_signature(df, limits)
+    return _finish_summary(grouped.agg(*totals))
+
+
+def audit(df: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, DataFrame | None]:
+    """The summary and the repeated signatures (for `flag`) from one pass over the trips and one shuffle of signatures.
+
+    The repeated signatures are written when this is called; the summary is observed while they are.
+    """
+    grouped, totals, repeats = _by_signature(df, limits)
+    keys = list(_signature(df))
+    if not keys:
+        return _finish_summary(grouped.agg(*totals)), None
+    watch = Observation("quality")
+    repeated = grouped.observe(watch, *totals).where(repeats).select(*keys, F.col("_rows").alias("_copies"))
+    written = settle(repeated, "repeated-signatures")
+    return observed_summary(watch, grouped.agg(*totals)), written
 
 
 def issue_histogram(summary_row: DataFrame) -> DataFrame:
@@ -313,16 +376,22 @@ def negative_values(fields: Sequence[str] = EVENT_AMOUNTS) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, value: value < 0)
 
 
+def event_counts(columns: Sequence[str], required: Sequence[str] = REQUIRED_FIELDS, amounts: Sequence[str] = EVENT_AMOUNTS) -> list[Column]:
+    """Records, records with missing fields, records with a negative amount; to aggregate, or to observe on a stream."""
+    negative = _any([F.col(c).try_cast("double") < 0 for c in amounts if c in columns])
+    return [
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(F.size(missing_fields(required, columns)) > 0).alias("missing_required_rows"),
+        F.count_if(negative if negative is not None else F.lit(False)).alias("negative_value_rows"),
+    ]
+
+
 def event_report(
     df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, amounts: Sequence[str] = EVENT_AMOUNTS
 ) -> DataFrame:
-    """Records, records with missing fields, records with a negative amount. Works on streams too."""
-    negative = _any([F.col(c).try_cast("double") < 0 for c in amounts if c in df.columns])
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.size(missing_fields(required, df.columns)) > 0).alias("missing_required_rows"),
-        F.count_if(negative if negative is not None else F.lit(False)).alias("negative_value_rows"),
-    )
+    """The counts of a table. Works on streams too, as a query of its own; `df.observe` with `event_counts` takes them
+    while a stream is written."""
+    return df.agg(*event_counts(df.columns, required, amounts))
 
 
 def repeated_ids(df: DataFrame, key: str = "event_id") -> DataFrame:
