@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbline.operators.lookup import fits_broadcast
+from kerbline.session import settle
 from kerbline.sources.sinks import write_table
 from kerbline.sources.tables import file_profile
 
@@ -95,8 +97,8 @@ def rebalanced(df: DataFrame) -> DataFrame:
 # --- z-order --------------------------------------------------------------------------------------------------------
 
 
-# Sampled values per bucket from which bounds are taken.
-SAMPLE_PER_BUCKET = 64
+# Files up to which a single column's own order is cut at counted values; beyond, by Spark's sampled ranges.
+COUNTED_FILES = 1024
 
 
 def z_bits(files: int, columns: int) -> int:
@@ -104,34 +106,48 @@ def z_bits(files: int, columns: int) -> int:
     return max(1, math.ceil((math.log2(max(1, files)) + 2) / columns))
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list]:
-    """Evenly spaced values of each column, in Spark's own order of its type.
+def _running(counts: DataFrame, order: str) -> DataFrame:
+    """Rows of (`order`, rows) with `before` and `upto`, the rows before each and with it. Sums run within ranges of the
+    values; between ranges one number per range is carried."""
+    ranged = counts.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
+    dealt = settle(ranged, "ordered-counts")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("_part").agg(F.sum("rows").alias("_sum"))
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("_offset") + F.sum("rows").over(inside)
+    summed = dealt.join(F.broadcast(offsets), "_part").withColumn("upto", upto)
+    return summed.select(*counts.columns, (F.col("upto") - F.col("rows")).alias("before"), "upto")
 
-    They come from a sample of bounded size that reads the named columns only, as range partitioning samples; they decide
-    where rows are placed, never what is stored.
+
+def _edges(df: DataFrame, column: str, buckets: int) -> list:
+    """The values at `buckets` - 1 even ranks of a column, in Spark's own order of its type, without repeats.
+
+    Distinct values are counted next to the scan and summed up in order, over all rows: the edges depend on the table
+    alone, not on files, cores or a draw. What reaches the driver is bounded by the buckets.
     """
-    buckets = 1 << bits
-    share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, df.count()))
-    sampled = df.select(*columns).where(F.rand(17) < share)
-    found = sampled.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in columns]).head()
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    running = _running(counts, "value")
+    total = F.lit(running.agg(F.coalesce(F.max("upto"), F.lit(0))).head()[0])
 
-    def spread(values: list) -> list:
-        picked = [values[k * len(values) // buckets] for k in range(1, buckets)] if values else []
-        return list(dict.fromkeys(picked))
+    def ranks_below(rows: Column) -> Column:
+        found = F.floor((rows * buckets - 1) / total).cast("long")
+        return F.greatest(F.least(found, F.lit(buckets - 1)), F.lit(0))
 
-    return {c: spread(found[c]) for c in columns}
+    holds_rank = ranks_below(F.col("upto")) > ranks_below(F.col("before"))
+    return [row["value"] for row in running.where(holds_rank).orderBy("value").select("value").collect()]
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
     """Position on the z-curve over buckets of the columns, `bits` bits each. Rows without a value go to the first bucket."""
-    bounds = _bounds(df, columns, bits)
 
     def bucket(name: str) -> Column:
-        if not bounds[name]:
-            return F.lit(0)
         kind = df.schema[name].dataType
-        edges = F.array(*[F.lit(bound).cast(kind) for bound in bounds[name]])
-        return F.size(F.filter(edges, lambda edge: edge <= F.col(name)))
+        found = _edges(df, name, 1 << bits)
+        if not found:
+            return F.lit(0)
+        edges = F.array(*[F.lit(edge).cast(kind) for edge in found])
+        return F.coalesce(F.size(F.filter(edges, lambda edge: edge <= F.col(name))), F.lit(0))
 
     buckets = [bucket(name).cast("bigint") for name in columns]
     pieces = [
@@ -142,22 +158,48 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), pieces)
 
 
+def _placed(df: DataFrame, z: Column, files: int) -> DataFrame:
+    """Rows with `_z`, `_spot` and `_file`, the file they go to: cells of the curve in order, by exact counts.
+
+    A cell goes whole to the file that holds its middle. One with more rows than a file should have is spread over its
+    files by `_spot`, the row's position in its source, which is the same when a task is run again.
+    """
+    spot = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    marked = df.withColumns({"_z": z, "_spot": spot})
+    cells = _running(marked.groupBy("_z").agg(F.count(F.lit(1)).alias("rows")), "_z")
+    total = max(1, cells.agg(F.coalesce(F.max("upto"), F.lit(0))).head()[0])
+
+    def file_at(row: Column) -> Column:
+        return F.least(F.floor(row * files / total), F.lit(files - 1)).cast("int")
+
+    hot = F.col("rows") * files > total
+    first = F.when(hot, file_at(F.col("before"))).otherwise(file_at(F.col("before") + F.floor(F.col("rows") / 2)))
+    span = F.when(hot, file_at(F.col("upto") - 1) - file_at(F.col("before")) + 1).otherwise(1)
+    places = settle(cells.select("_z", first.alias("_first"), span.alias("_span")), "z-cells")
+    met = marked.join(F.broadcast(places) if fits_broadcast(places) else places, "_z")
+    return met.withColumn("_file", F.col("_first") + F.pmod("_spot", "_span").cast("int")).drop("_first", "_span")
+
+
 def z_clustered(df: DataFrame, columns: Sequence[str], files: int, *, bits: int | None = None) -> DataFrame:
     """Rows of a file-backed frame in `files` ranges of the z-curve, sorted by it and by the columns within a file.
 
-    A single column needs no curve: its own order is cut. The row's position in its source file breaks ties, so rows that
-    share one place (a common value, or many copies of a row) are cut into several ranges. The position is the same when
-    a task is run again.
+    The ranges follow from counts over all rows, so the same table gives the same ranges on any number of cores; files
+    are as even as cells of the curve allow, and a common value is spread over several. For a single column the curve is
+    its own order; with very many files that is cut by sampled ranges instead. A frame without rows stays as it is.
     """
-    spot = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    if len(columns) == 1:
-        placed = df.withColumn("_spot", spot)
-        ranged = placed.repartitionByRange(files, *columns, "_spot")
+    if len(columns) == 1 and files > COUNTED_FILES:
+        spot = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        ranged = df.withColumn("_spot", spot).repartitionByRange(files, *columns, "_spot")
         return ranged.sortWithinPartitions(*columns, "_spot").drop("_spot")
     z = z_value(df, columns, z_bits(files, len(columns)) if bits is None else bits)
-    placed = df.withColumns({"_z": z, "_spot": spot})
-    ranged = placed.repartitionByRange(files, "_z", "_spot")
-    return ranged.sortWithinPartitions("_z", *columns, "_spot").drop("_z", "_spot")
+    ranged = _placed(df, z, files).repartitionById(files, F.col("_file"))
+    return ranged.sortWithinPartitions("_z", *columns, "_spot").drop("_z", "_spot", "_file").select(*df.columns)
+
+
+def touched_at_most(files: int, columns: int) -> int:
+    """Files that a point predicate on one of the columns may touch: a plane of the grid that the files form, twice where
+    the value lies in two of its layers."""
+    return min(files, math.ceil(2 * files ** ((columns - 1) / columns)))
 
 
 def file_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
