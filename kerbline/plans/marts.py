@@ -176,11 +176,12 @@ def complete_reports(reports: DataFrame) -> DataFrame:
     return filled.withColumn("timing", F.when(known, F.col("timing")).otherwise(derived))
 
 
-def stream_profiles(reports: DataFrame) -> DataFrame:
-    """One row of headline figures per report."""
+def stream_profiles(reports: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
+    """One row of headline figures per report, after the columns to `keep`."""
     seconds = ("publish_seconds", "processing_seconds", "end_to_end_seconds")
     rates = ("events_per_second", "sessions_per_second")
     return reports.select(
+        *keep,
         F.col("config.query_name").alias("query_name"),
         F.coalesce("scenario_summary.generated_event_count", _total("event_metrics", "event_count")).alias(
             "generated_event_count"

@@ -71,6 +71,20 @@ def read_reports(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """JSON documents, one per file, as `document` (a variant, null where the text is no JSON object), `text` and `path`.
+    Nothing is lost here: fields that no schema knows are in the variant, broken documents are rows too."""
+    files = spark.read.text(path, wholetext=True)
+    parsed = F.try_parse_json(F.col("value"))
+    whole = F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
+    return files.select(whole.alias("document"), F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"))
+
+
+def quarantined(documents: DataFrame) -> DataFrame:
+    """Documents that can't be read, as they came."""
+    return documents.where(F.col("document").isNull()).select("path", "text")
+
+
 def schema_rows(df: DataFrame) -> DataFrame:
     """The schema as a table: position, name, type, nullable."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
