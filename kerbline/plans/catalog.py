@@ -6,19 +6,19 @@ Results are shown in plain types (text for times and arrays, rounded doubles), s
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbline.operators import baseline, clicks, layout, metrics, quality, trips, versions
+from kerbline.operators import baseline, clicks, layout, metrics, quality, sketches, trips, versions
 from kerbline.operators.clicks import Windowing
 from kerbline.plans import batch, marts, trip_tables
 from kerbline.session import settle, shared_dir
-from kerbline.sources import reports, standins, tables
+from kerbline.sources import reports, sinks, standins, tables, trip_files
 from kerbline.streaming import jobs, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +214,23 @@ def dq_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
 
+@query
+def dq_summary_audited(spark, sf_dir):
+    """DQ1-DQ9 A6 W1: the summary observed while the repeated signatures are written."""
+    zones = settle(standins.zones(spark, sf_dir), "zones")
+    return quality.audit(trips.attach_zones(_undated(spark, sf_dir), zones, ends=["pickup"]), LIMITS)[0]
+
+
+@query
+def dq_summary_observed(spark, sf_dir):
+    """DQ12 A6 K4: the summary observed while the issue rows are written; no scan of its own."""
+    watch = Observation("flags")
+    flagged = _flagged(spark, sf_dir)
+    issues = quality.issue_rows(quality.observed_flags(flagged, watch))
+    sinks.write_issue_rows(issues, shared_dir(spark, "issues"))
+    return quality.observed_summary(watch, quality.flag_counts(flagged))
+
+
 @query
 def dq_issue_histogram(spark, sf_dir):
     """A12."""
@@ -360,21 +377,36 @@ def click_window_sliding(spark, sf_dir):
 
 @query
 def click_window_approx(spark, sf_dir):
-    """ST3 as the stream computes it: approximate distinct counts, held against the exact ones."""
-    found = clicks.event_metrics(_clicks(spark, sf_dir), HOURS)
-    found = found.withColumnsRenamed({f"approx_{c}": c for c in ("unique_users", "unique_sessions")})
-    keys = ["window_start", "window_end", "event_type"]
-    return _close_to(found, _metrics(spark, sf_dir), keys, ["event_count"], ["unique_users", "unique_sessions"])
+    """ST3 as the stream computes it: approximate distinct counts, which do not change when events come twice."""
+    keys, counts = ["window_start", "window_end", "event_type"], ["approx_unique_users", "approx_unique_sessions"]
+    once = clicks.event_metrics(_clicks(spark, sf_dir), HOURS)
+    again = clicks.parse(standins.envelope(standins.clicks(spark, sf_dir, redelivered=True)))
+    twice = clicks.event_metrics(again, HOURS).select(*keys, *[F.col(c).alias(f"_{c}") for c in counts])
+    same = [(F.col(c) == F.col(f"_{c}")).alias(f"{c.removeprefix('approx_')}_same") for c in counts]
+    return once.join(twice, keys).select(*keys, "event_count", *same)
+
 
+def _sketched(spark: SparkSession, sf_dir: str, shape: Windowing) -> DataFrame:
+    """Sketches per window, stored."""
+    return settle(sketches.window_sketches(_clicks(spark, sf_dir), shape), "window-sketches")
 
-def _close_to(found: DataFrame, exact: DataFrame, keys: list[str], same: list[str], close: list[str]) -> DataFrame:
-    """Per row, whether approximate counts are within three standard errors (of 5 %) of the exact ones, or one off."""
-    truth = exact.select(*keys, *[F.col(c).alias(f"_{c}") for c in close])
 
-    def near(name: str) -> Column:
-        return F.abs(F.col(name) - F.col(f"_{name}")) <= F.greatest(F.lit(1.0), F.col(f"_{name}") * 0.15)
+@query
+def click_days_from_hours(spark, sf_dir):
+    """ST4 A9: a day's funnel from the stored sketches of its hours."""
+    return sketches.counted(sketches.rewindowed(_sketched(spark, sf_dir, HOURS), "1 day"), ["event_count"])
+
 
-    return found.join(truth, keys).select(*keys, *same, *[near(c).alias(f"{c}_close") for c in close])
+@query
+def click_sliding_from_quarters(spark, sf_dir):
+    """ST3 ST4: hours that slide by a quarter, from the stored sketches of quarters."""
+    return sketches.counted(sketches.rewindowed(_sketched(spark, sf_dir, QUARTERS), "1 hour", "15 minutes"))
+
+
+@query
+def click_skipped_stages(spark, sf_dir):
+    """Sessions of a day that reached a stage without the one before it, by sketch difference."""
+    return sketches.skipped(sketches.rewindowed(_sketched(spark, sf_dir, HOURS), "1 day"))
 
 
 @query
@@ -481,30 +513,74 @@ def stream_memory(spark, sf_dir):
     return jobs.memory_rows(spark, name).select("window_start", "window_end", "event_type", "event_count")
 
 
-LATE_FILES, FIRST_FILES = 6, 3
+ROUNDS = 6
 
 
-@query
-def stream_restart(spark, sf_dir):
-    """ST13 ST14: six files, a batch each; some events come two files late; the job stops after three files, and goes on
-    from its checkpoint."""
-    base = shared_dir(spark, "restart")
+def _rounds(spark: SparkSession, sf_dir: str, base: str, *, damaged: bool = False) -> Iterator[DataFrame]:
+    """The events in six parts by time, each written to a folder with all its partitions; some come two parts late. After
+    each part the folder as a stream of broker records. An empty table has no part."""
     events = standins.table(spark, sf_dir, "events")
     moment = F.unix_micros(F.col("ts").cast("timestamp"))
     first, last = events.agg(F.min(moment), F.max(moment)).head()
-    own = F.floor((moment - first) / F.lit((last - first) // LATE_FILES + 1)).cast("int")
-    late = (F.col("event_id") % 37 == 0) & (F.col("_file") < LATE_FILES - 2)
-    placed = events.withColumn("_file", own)
-    placed = settle(placed.withColumn("_file", F.when(late, F.col("_file") + 2).otherwise(F.col("_file"))), "ordered")
-    source = f"{base}/source"
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    for files in (range(FIRST_FILES), range(FIRST_FILES, LATE_FILES)):
-        for k in files:
-            placed.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(source)
-        parsed = clicks.parse(standins.envelope(standins.click_columns(stream.parquet(source))))
-        counts = clicks.event_metrics(parsed, HOURS).select("window_start", "window_end", "event_type", "event_count")
+    if first is None:
+        return
+    own = F.floor((moment - first) / F.lit((last - first) // ROUNDS + 1)).cast("int")
+    late = (F.col("event_id") % 37 == 0) & (own < ROUNDS - 2)
+    part = F.when(late, own + 2).otherwise(own)
+    events.withColumn("part", part).write.partitionBy("part").parquet(f"{base}/parts")
+    placed = spark.read.schema(events.schema).parquet(f"{base}/parts")
+    for k in range(ROUNDS):
+        placed.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{base}/source")
+        records = standins.click_columns(spark.readStream.schema(events.schema).parquet(f"{base}/source"))
+        yield standins.damaged(records) if damaged else standins.envelope(records)
+
+
+def _late_run(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
+    """The job over late events, which stops after every part and goes on from its checkpoint: its folder, the windows it
+    has written, and its updates."""
+    base = shared_dir(spark, "restart")
+    counts = clicks.event_metrics(_clicks(spark, sf_dir), HOURS).limit(0)
+    updates = spark.createDataFrame([], jobs.LOG_SCHEMA)
+    for k, envelope in enumerate(_rounds(spark, sf_dir, base)):
+        log = jobs.ProgressLog(spark, f"{base}/updates", ["late"])
+        counts = clicks.event_metrics(clicks.parse(envelope), HOURS)
         jobs.drain([jobs.start(counts, "late", sink="parquet", output=base, checkpoints=f"{base}/checkpoints")])
-    return spark.read.schema(counts.schema).parquet(f"{base}/late")
+        updates = log.close()
+    columns = ["window_start", "window_end", "event_type", "event_count"]
+    written = spark.read.schema(counts.schema).parquet(f"{base}/late") if counts.isStreaming else counts
+    return base, written.select(*columns), updates
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """ST13 ST14: six parts, a run each; some events come two parts late; each run goes on from the checkpoint."""
+    return _late_run(spark, sf_dir)[1]
+
+
+@query
+def stream_open_windows(spark, sf_dir):
+    """ST15: windows that were written next to those still open, read from the query's state."""
+    base, closed, updates = _late_run(spark, sf_dir)
+    states = closed.withColumn("state", F.lit("closed"))
+    if updates.isEmpty():
+        return states
+    held = jobs.open_groups(spark, f"{base}/checkpoints/late")
+    found = held.select(*clicks.bounds(), "event_type", F.col("count").alias("event_count"), F.lit("open").alias("state"))
+    return states.unionByName(found)
+
+
+@query
+def stream_dropped_rows(spark, sf_dir):
+    """ST14: what came too late: groups of window and type as the state operator counts them, and events, which are those
+    read that no window has, closed or open."""
+    base, closed, updates = _late_run(spark, sf_dir)
+    if updates.isEmpty():
+        return updates.select("dropped_groups", F.lit(0).cast("long").alias("dropped_events"))
+    per_batch = updates.groupBy("batch_id").agg(F.max("dropped_groups").alias("groups"), F.max("num_input_rows").alias("read"))
+    held = jobs.open_groups(spark, f"{base}/checkpoints/late").select(F.col("count").alias("event_count"))
+    counted = closed.select("event_count").unionByName(held).agg(F.sum("event_count")).scalar()
+    totals = per_batch.agg(F.sum("groups").alias("dropped_groups"), F.sum("read").alias("_read"))
+    return totals.select("dropped_groups", (F.col("_read") - counted).alias("dropped_events"))
 
 
 @query
@@ -521,13 +597,37 @@ def stream_alerts(spark, sf_dir):
 
 @query
 def stream_funnel_update(spark, sf_dir):
-    """ST10: the whole job in update mode; current windows, and approximate counts held against the exact ones."""
+    """ST4 ST10: the whole job in update mode; current windows with their counts, rates and scores."""
     outputs = pipeline.Outputs(shared_dir(spark, "clickstream"))
-    source = standins.damaged(standins.click_stream(spark, sf_dir))
-    jobs.drain(pipeline.start_all(source, outputs, shape=HOURS))
-    exact = clicks.funnel(clicks.parse(standins.damaged(standins.clicks(spark, sf_dir))), HOURS, exact=True)
-    counts = ["total_sessions", "total_users", "page_view_sessions", "purchase_sessions"]
-    return _close_to(pipeline.scored_windows(spark, outputs.windows), exact, ["window_start", "window_end"], [], counts)
+    jobs.drain(pipeline.start_all(standins.damaged(standins.click_stream(spark, sf_dir)), outputs, shape=HOURS))
+    return pipeline.scored_windows(spark, outputs.windows).drop(*sketches.SKETCHES)
+
+
+LATE_HOURS = Windowing("1 hour", "1 hour", "15 days")
+
+
+@query
+def stream_alerts_update(spark, sf_dir):
+    """ST7 ST8 ST10: the alerts that hold after six runs of the job, when events two parts late have raised, replaced and
+    withdrawn some."""
+    base = shared_dir(spark, "alerts")
+    outputs = pipeline.Outputs(base)
+    for envelope in _rounds(spark, sf_dir, base, damaged=True):
+        jobs.drain(pipeline.start_all(envelope, outputs, shape=LATE_HOURS))
+    return pipeline.current_alerts(spark, outputs.alerts)
+
+
+@query
+def stream_dq_report(spark, sf_dir):
+    """A11 on a stream: records, incomplete ones and negative amounts, observed while the records are written."""
+    base = shared_dir(spark, "observed")
+    events = standins.click_stream(spark, sf_dir)
+    watched = events.observe("records", *quality.event_counts(events.columns, amounts=("total_amount",)))
+    log = jobs.ProgressLog(spark, f"{base}/updates", ["observed"])
+    jobs.drain([jobs.start(watched, "observed", sink="parquet", output=base, checkpoints=f"{base}/checkpoints")])
+    names = ("total_records", "missing_required_rows", "negative_value_rows")
+    seen = jobs.observed(log.close(), "records", ", ".join(f"{name} long" for name in names))
+    return seen.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
 
 
 @query
@@ -677,14 +777,17 @@ def compact_files(spark, sf_dir):
 
 @query
 def zorder_files_touched(spark, sf_dir):
-    """V6: a point predicate on a date as text, a channel or a number leaves out files after clustering by all three."""
+    """V6: a point predicate on a date as text, a channel or a number touches a layer or two of the 64 files after
+    clustering by all three: 32 at most."""
     base = shared_dir(spark, "clustered")
     items = standins.table(spark, sf_dir, "lineitem")
     day = F.date_format("l_shipdate", "yyyy-MM-dd").alias("event_date")
     versions.commit(items.select(day, F.col("l_linenumber").cast("string").alias("channel"), "l_partkey"), base)
     versions.cluster(spark, base, ["event_date", "channel", "l_partkey"], files=64)
-    touched = layout.files_touched(versions.as_of(spark, base), {"event_date": "1997-03-05", "channel": "3", "l_partkey": 50})
-    return touched.select("column", (F.col("touched") < F.col("files")).alias("leaves_out_files"))
+    wanted = {"event_date": "1997-03-05", "channel": "3", "l_partkey": 50}
+    touched = layout.files_touched(versions.as_of(spark, base), wanted)
+    most = layout.touched_at_most(64, len(wanted))
+    return touched.select("column", (F.col("touched") <= most).alias("within_bound"))
 
 
 @query
@@ -719,6 +822,35 @@ def _with_rows(described: DataFrame, data: DataFrame) -> DataFrame:
     return described.withColumn("total_rows", data.agg(F.count(F.lit(1))).scalar())
 
 
+@query
+def mixed_trip_files(spark, sf_dir):
+    """One folder of files that differ in types and spelling, read as one table."""
+    base, taken = shared_dir(spark, "mixed-trips"), standins.trips(spark, sf_dir)
+    other = {
+        "tpep_pickup_datetime": "pickup_datetime", "tpep_dropoff_datetime": "dropoff_datetime", "VendorID": "vendor_id",
+        "PULocationID": "PUlocationID", "DOLocationID": "DOlocationID",
+    }
+    forms = (
+        taken,
+        taken.withColumnsRenamed(other).withColumns(
+            {c: F.col(c).cast("int") for c in ("passenger_count", "payment_type", "PUlocationID")}
+        ),
+        taken.withColumns({c: F.col(c).cast("string") for c in ("tpep_pickup_datetime", "fare_amount", "passenger_count")}),
+    )
+    for k, form in enumerate(forms):
+        form.where(F.col("payment_type") % 3 == k).write.parquet(f"{base}/form-{k}")
+    read = trips.prepare(trip_files.read_mixed_trips(spark, base))
+    return read.groupBy("payment_type").agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.avg("passenger_count").alias("avg_passenger_count"),
+        F.sum("fare_amount").alias("sum_fare_amount"),
+        F.min("pickup_ts").alias("min_pickup_ts"),
+        F.max("tpep_dropoff_datetime").alias("max_dropoff_ts"),
+        F.countDistinct("VendorID").alias("vendors"),
+        F.countDistinct("PULocationID", "DOLocationID").alias("routes"),
+    )
+
+
 @query
 def role_recommendation(spark, sf_dir):
     """P17."""
@@ -807,6 +939,29 @@ def report_json(spark, sf_dir):
     return marts.stream_profiles(marts.complete_reports(tables.read_reports(spark, base, reports.REPORT_SCHEMA)))
 
 
+@query
+def report_variant(spark, sf_dir):
+    """Reports of changing shape: some have fields that no schema knows, some carry counts as text, some are cut
+    off. Unknown fields survive, counts are read either way, broken documents are set aside."""
+    base = shared_dir(spark, "reports")
+    day, whole = F.dayofmonth("run_day"), _reports(spark, sf_dir)
+    text = F.to_json(F.struct(*[c for c in whole.columns if c != "run_day"]))
+    as_text = F.regexp_replace(text, r'"(event_count|total_sessions|total_users)":(\d+)', r'"$1":"$2"')
+    more = F.concat(F.lit('{"host":"node-1","tags":["a",{"b":2}],'), F.substring(text, 2, 1 << 30))
+    cut = F.substring(text, F.lit(1), (F.char_length(text) / 2).cast("int"))
+    shaped = F.when(day % 5 == 0, cut).when(day % 5 == 1, as_text).when(day % 5 == 2, more).otherwise(text)
+    written = whole.select("run_day", shaped.alias("value")).repartition("run_day").write.partitionBy("run_day")
+    written.option("maxRecordsPerFile", 1).text(base)
+
+    documents = tables.read_documents(spark, base)
+    run_day = F.regexp_extract("path", r"run_day=([0-9-]+)", 1).alias("run_day")
+    good = marts.complete_reports(reports.typed(documents))
+    extra = F.to_json("extra").alias("extra")
+    read = marts.stream_profiles(good, keep=[run_day, extra]).withColumn("state", F.lit("read"))
+    broken = tables.quarantined(documents).select(run_day, F.lit("broken").alias("state"))
+    return read.unionByName(broken, allowMissingColumns=True)
+
+
 @query
 def stream_profile(spark, sf_dir):
     """M4 A17."""

@@ -132,6 +132,7 @@ def _windows(length: str, slide_minutes: int, copies: int) -> str:
 
 _HOURS = _windows("1 hour", 60, 1)
 _HALF_DAYS = _windows("12 hours", 720, 1)
+_DAYS = _windows("1 day", 1440, 1)
 _SLIDING = _windows("1 hour", 15, 4)
 
 _METRICS = """metrics AS (
@@ -165,6 +166,12 @@ _FUNNEL = f"""counted AS (
   FROM counted
 )"""
 
+_EVENTS_PER_WINDOW = """sizes AS (
+  SELECT window_start, window_end, count(*) AS event_count FROM windowed GROUP BY ALL
+)"""
+# Events whose record is neither cut off nor without a readable time.
+_READABLE = _CLICKS.replace("FROM events", "FROM events WHERE event_id % 101 <> 0 AND event_id % 103 <> 0")
+
 _BASELINE = """rolling AS (
   SELECT *, count(total_sessions) OVER w AS baseline_window_count,
     round(avg(total_sessions) OVER w, 4) AS m, round(stddev_pop(total_sessions) OVER w, 4) AS s
@@ -265,6 +272,29 @@ _REPORTS = f"""daily AS (
 )"""
 _REPORTED = _with(_CLICKS, _HOURS, _METRICS, _FUNNEL, _FIXED_ALERTS, _REPORTS)
 
+# A row is late if its window had ended by the watermark of the run before; a run ends with a batch without data.
+_LATE = _with(
+    """span AS (
+  SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 6 + 1 AS width FROM events
+), filed AS (SELECT events.*, CAST((epoch_us(ts) - lo) // width AS INTEGER) AS own FROM events, span
+), placed AS (
+  SELECT ts, time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start,
+    time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end,
+    CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view' WHEN 'signup' THEN 'add_to_cart'
+      ELSE event_type END AS event_type,
+    CASE WHEN event_id % 37 = 0 AND own < 4 THEN own + 2 ELSE own END AS file
+  FROM filed
+), marks AS (
+  SELECT k, (SELECT max(ts) FROM placed WHERE file < k) - INTERVAL '10 minutes' AS mark FROM range(0, 6) AS r(k)
+), marked AS (
+  SELECT placed.*, coalesce(window_end <= mark, false) AS late FROM placed JOIN marks ON k = file
+), counted AS (
+  SELECT window_start, window_end, event_type, count(*) AS event_count,
+    window_end > (SELECT max(ts) FROM placed) - INTERVAL '10 minutes' AS open
+  FROM marked WHERE NOT late GROUP BY window_start, window_end, event_type
+)"""
+)
+
 _PLACE = (
     "count(*) AS trip_count, round(sum(total_amount), 2) AS sum_total_amount,"
     " round(avg(total_amount), 4) AS avg_total_amount, round(avg(trip_distance), 4) AS avg_trip_distance,"
@@ -406,8 +436,19 @@ FROM events WHERE event_id % 89 = 0""",
     "click_window_metrics": _with(_CLICKS, _HOURS, _METRICS)
     + f"SELECT {_WINDOW}, event_type, event_count, unique_users, unique_sessions FROM metrics",
     "click_window_approx": _with(_CLICKS, _HOURS, _METRICS)
-    + f"""SELECT {_WINDOW}, event_type, event_count, true AS unique_users_close, true AS unique_sessions_close
+    + f"""SELECT {_WINDOW}, event_type, event_count, true AS unique_users_same, true AS unique_sessions_same
 FROM metrics""",
+    "click_days_from_hours": _with(_CLICKS, _DAYS, _FUNNEL, _EVENTS_PER_WINDOW)
+    + f"SELECT {_FUNNEL_COLUMNS}, event_count FROM funnel JOIN sizes USING (window_start, window_end)",
+    "click_sliding_from_quarters": _with(_CLICKS, _SLIDING, _FUNNEL) + f"SELECT {_FUNNEL_COLUMNS} FROM funnel",
+    "click_skipped_stages": _with(_CLICKS, _DAYS)
+    + f"""SELECT {_WINDOW}, count(*) FILTER (product_view AND NOT page_view) AS product_view_without_page_view,
+  count(*) FILTER (add_to_cart AND NOT product_view) AS add_to_cart_without_product_view,
+  count(*) FILTER (purchase AND NOT add_to_cart) AS purchase_without_add_to_cart
+FROM (SELECT window_start, window_end, session_id, bool_or(event_type = 'page_view') AS page_view,
+    bool_or(event_type = 'product_view') AS product_view, bool_or(event_type = 'add_to_cart') AS add_to_cart,
+    bool_or(event_type = 'purchase') AS purchase
+  FROM windowed GROUP BY ALL) AS sessions GROUP BY sessions.window_start, sessions.window_end""",
     "click_window_sliding": _with(_CLICKS, _SLIDING, _METRICS)
     + f"SELECT {_WINDOW}, event_type, event_count, unique_users, unique_sessions FROM metrics",
     "click_funnel": _with(_CLICKS, _HOURS, _FUNNEL) + f"SELECT {_FUNNEL_COLUMNS} FROM funnel",
@@ -447,36 +488,26 @@ WHERE alerts.window_end = (SELECT max(window_end) FROM funnel)""",
     + f"SELECT {_WINDOW}, event_type, event_count FROM metrics WHERE metrics.{_CLOSED}",
     "stream_memory": _with(_CLICKS, _HOURS, _METRICS)
     + f"SELECT {_WINDOW}, event_type, event_count FROM metrics WHERE metrics.{_CLOSED}",
-    # A row is late if its window had ended by the watermark of the batch before; the stop adds a batch without data.
-    "stream_restart": _with(
-        """span AS (
-  SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 6 + 1 AS width FROM events
-), filed AS (SELECT events.*, CAST((epoch_us(ts) - lo) // width AS INTEGER) AS own FROM events, span
-), placed AS (
-  SELECT ts, event_type, time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start,
-    time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end,
-    CASE WHEN event_id % 37 = 0 AND own < 4 THEN own + 2 ELSE own END AS file
-  FROM filed
-), marks AS (
-  SELECT k, (SELECT max(ts) FROM placed WHERE file < k) - INTERVAL '10 minutes' AS mark FROM range(0, 7) AS r(k)
-), limits AS (
-  SELECT file, mark FROM (VALUES (0, 0), (1, 0), (2, 1), (3, 3), (4, 3), (5, 4)) AS t(file, k) JOIN marks USING (k)
-)"""
-    )
-    + f"""SELECT {_WINDOW}, CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view'
-    WHEN 'signup' THEN 'add_to_cart' ELSE event_type END AS event_type, count(*) AS event_count
-FROM placed JOIN limits USING (file)
-WHERE (mark IS NULL OR placed.window_end > mark)
-  AND placed.window_end <= (SELECT max(ts) FROM placed) - INTERVAL '10 minutes'
-GROUP BY placed.window_start, placed.window_end, placed.event_type""",
+    "stream_restart": _LATE
+    + f"SELECT {_WINDOW}, event_type, event_count FROM counted WHERE NOT open",
+    "stream_open_windows": _LATE
+    + f"""SELECT {_WINDOW}, event_type, event_count, CASE WHEN open THEN 'open' ELSE 'closed' END AS state
+FROM counted""",
+    "stream_dropped_rows": _LATE
+    + """SELECT count(DISTINCT (file, window_start, event_type)) AS dropped_groups, count(*) AS dropped_events
+FROM marked WHERE late""",
     "stream_funnel_append": _with(_CLICKS, _HOURS, _FUNNEL)
     + f"SELECT {_FUNNEL_COLUMNS} FROM funnel WHERE funnel.{_CLOSED}",
     "stream_alerts": _with(_CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS)
     + f"SELECT {_ALERT_COLUMNS} FROM alerts WHERE alerts.{_CLOSED}",
-    "stream_funnel_update": _with(_CLICKS, _HOURS)
-    + f"""SELECT DISTINCT {_WINDOW}, true AS total_sessions_close, true AS total_users_close,
-  true AS page_view_sessions_close, true AS purchase_sessions_close
-FROM windowed WHERE CAST(event_id AS BIGINT) % 101 <> 0 AND CAST(event_id AS BIGINT) % 103 <> 0""",
+    "stream_funnel_update": _with(_READABLE, _HOURS, _FUNNEL, _EVENTS_PER_WINDOW, _BASELINE)
+    + f"""SELECT {_FUNNEL_COLUMNS}, event_count, {_Z_COLUMNS}
+FROM scored JOIN sizes USING (window_start, window_end)""",
+    "stream_alerts_update": _with(_READABLE, _HOURS, _FUNNEL, _BASELINE, _z_alerts(2))
+    + f"SELECT {_ALERT_COLUMNS}, {_Z_COLUMNS}, 'zscore_vs_recent_hour' AS anomaly_model FROM alerts",
+    "stream_dq_report": _with(_CLICKS)
+    + """SELECT count(*) AS total_records, count(*) FILTER (WHERE page IS NULL) AS missing_required_rows,
+  count(*) FILTER (WHERE total_amount < 0) AS negative_value_rows FROM clicks""",
     "stream_rejects": f"""SELECT {_ts("ts", "kafka_timestamp")} FROM events
 WHERE event_id % 101 = 0 OR event_id % 103 = 0""",
     "stream_first_delivery": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts("ts", "event_timestamp")}
@@ -514,11 +545,16 @@ UNION ALL SELECT 2, count(*), 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o
   true AS content_match, 0 AS version FROM orders""",
     "compact_files": "SELECT count(*) AS rows_after, true AS fewer_files, true AS content_match FROM orders",
     "zorder_files_touched": """SELECT * FROM (VALUES ('event_date', true), ('channel', true), ('l_partkey', true))
-  AS t("column", leaves_out_files)""",
+  AS t("column", within_bound)""",
     "zorder_content": """SELECT count(*) AS input_rows, count(*) AS output_rows, true AS rows_match,
   true AS content_match FROM lineitem""",
     "dataset_profile": """SELECT 'yellow' AS dataset_variant, 'tpep_pickup_datetime' AS pickup_timestamp_column,
   count(*) + count(*) FILTER (WHERE l_orderkey % 97 = 0) AS total_rows, true AS has_files FROM lineitem""",
+    "mixed_trip_files": _ALL_TRIPS
+    + f"""SELECT payment_type, count(*) AS trip_count, round(avg(passenger_count), 4) AS avg_passenger_count,
+  round(sum(fare_amount), 2) AS sum_fare_amount, {_ts("min(pickup_ts)", "min_pickup_ts")},
+  {_ts("max(tpep_dropoff_datetime)", "max_dropoff_ts")}, count(DISTINCT VendorID) AS vendors,
+  count(DISTINCT (PULocationID, DOLocationID)) AS routes FROM dated GROUP BY payment_type""",
     "role_recommendation": """SELECT *, (SELECT count(*) + count(*) FILTER (WHERE l_orderkey % 97 = 0) FROM lineitem)
   AS total_rows FROM (VALUES
   (0, 'pickup_timestamp', 'tpep_pickup_datetime', 'timestamp'),
@@ -568,6 +604,14 @@ SELECT {_day("d", "run_day")}, event_count, session_count, round(p, 4) AS publis
     + """SELECT query_name, generated_event_count, generated_session_count, CAST(NULL AS DOUBLE) AS publish_seconds,
   end_to_end_seconds AS processing_seconds, end_to_end_seconds, events_per_second, sessions_per_second,
   observed_processed_rows_per_second, alert_count, severity FROM reports""",
+    "report_variant": _REPORTED
+    + f"""SELECT {_day("run_day")}, CASE extract(day FROM run_day) % 5 WHEN 2
+    THEN '{{"host":"node-1","tags":["a",{{"b":2}}]}}' ELSE '{{}}' END AS extra, query_name, generated_event_count,
+  generated_session_count, CAST(NULL AS DOUBLE) AS publish_seconds, end_to_end_seconds AS processing_seconds,
+  end_to_end_seconds, events_per_second, sessions_per_second, observed_processed_rows_per_second, alert_count, severity,
+  'read' AS state FROM reports WHERE extract(day FROM run_day) % 5 <> 0
+UNION ALL SELECT {_day("run_day")}, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'broken'
+FROM reports WHERE extract(day FROM run_day) % 5 = 0""",
     "readiness": """SELECT * FROM (VALUES ('Batch summary', 'ready'), ('Streaming demo', 'ready'),
   ('No such year', 'missing'), ('Not built', 'missing')) AS t(section, status)""",
     "kpi_headline": _with(_RAW, _ZONES, _NAMED, _DATED, _CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS)
@@ -576,3 +620,4 @@ SELECT {_day("d", "run_day")}, event_count, session_count, round(p, 4) AS publis
   (SELECT count(*) FROM clicks) AS streaming_events,
   (SELECT CAST(coalesce(sum(alert_count), 0) AS BIGINT) FROM alerts) AS streaming_alerts""",
 }
+ORACLE |= {name: ORACLE["dq_summary"] for name in ("dq_summary_audited", "dq_summary_observed")}

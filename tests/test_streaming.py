@@ -10,11 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbline import shared_dir
-from kerbline.operators import baseline, clicks, quality
-from kerbline.operators.clicks import AlertLimits, Windowing
+from kerbline.operators import baseline, clicks, quality, sketches
+from kerbline.operators.clicks import Windowing
 from kerbline.sources import events as E
 from kerbline.sources import standins
-from kerbline.streaming import jobs, pipeline
+from kerbline.streaming import jobs, pipeline, window_table
 
 HOURS = Windowing("1 hour", "1 hour", "10 minutes")
 START = datetime(2026, 3, 9, 10, 0)
@@ -178,65 +178,24 @@ def test_exact_stream_equals_batch(spark, sf_dir, build):
 
 
 def test_whole_job_equals_batch_after_revisions(spark, sf_dir):
-    """Micro-batches that cut windows in two and bring late rows for old ones: what is kept at the end, scores
-    included, equals one batch over everything."""
+    """Micro-batches that cut windows in two and bring late rows for old ones: what is kept at the end, scores and alerts
+    included, equals one batch over everything, and the counts are the exact ones."""
     path = in_three_batches(spark, sf_dir, late_share=5)
     days = Windowing("1 day", "1 day", "15 days")
     outputs = pipeline.Outputs(shared_dir(spark, "job"))
     jobs.drain(pipeline.start_all(E.envelope_stream(spark, path, 1), outputs, shape=days))
-    kept = pipeline.scored_windows(spark, outputs.windows)
+    kept = pipeline.scored_windows(spark, outputs.windows).drop(*sketches.SKETCHES, "event_count")
     events = clicks.parse(spark.read.schema(E.ENVELOPE_SCHEMA).parquet(path))
-    whole = baseline.rolling_baseline(clicks.funnel(events, days)).select(*kept.columns)
-    assert jobs.stored(spark, outputs.windows, pipeline.SCORED_SCHEMA).count() > kept.count()
+    whole = baseline.rolling_baseline(clicks.funnel(events, days, exact=True)).select(*kept.columns)
     assert kept.exceptAll(whole).count() == 0
     assert whole.exceptAll(kept).count() == 0
+    alerts = pipeline.current_alerts(spark, outputs.alerts)
+    assert alerts.exceptAll(baseline.z_alerts(whole)).count() == 0
+    assert baseline.z_alerts(whole).exceptAll(alerts).count() == 0
+    assert len(window_table.finished(spark, outputs.windows)) >= 3
     assert spark.read.parquet(outputs.rejects).count() == 0
 
 
-def test_rerun_of_a_batch_replaces_its_rows(spark):
-    path = shared_dir(spark, "rerun")
-    write = pipeline.scored_batches(path)
-    rows = spark.createDataFrame(
-        [
-            (START, START + timedelta(hours=1), 5, 5, 5, 1, 1, 1, 1.0, 1.0, 1.0, 1.0),
-            (START + timedelta(hours=1), START + timedelta(hours=2), 9, 9, 5, 1, 1, 1, 1.0, 1.0, 1.0, 1.0),
-        ],
-        pipeline.FUNNEL_SCHEMA,
-    )
-    write(rows.limit(1), 0)
-    write(rows, 1)
-    write(rows, 1)
-    assert jobs.stored(spark, path, pipeline.SCORED_SCHEMA).count() == 3
-    kept = pipeline.scored_windows(spark, path).orderBy("window_start").collect()
-    assert [(r["total_sessions"], r["baseline_window_count"]) for r in kept] == [(5, 0), (9, 1)]
-
-
-def test_generations_carry_the_state(spark, monkeypatch):
-    """With two batches per generation, only the last generation is needed to continue; an empty batch opens one."""
-    monkeypatch.setattr(jobs, "GENERATION_BATCHES", 2)
-    path = shared_dir(spark, "generations")
-    write = pipeline.scored_batches(path)
-    empty = spark.createDataFrame([], pipeline.FUNNEL_SCHEMA)
-    for batch_id in range(6):
-        at = START + timedelta(hours=batch_id)
-        row = (at, at + timedelta(hours=1), batch_id + 1, 1, 1, 1, 1, 1, 1.0, 1.0, 1.0, 1.0)
-        write(empty if batch_id == 4 else spark.createDataFrame([row], pipeline.FUNNEL_SCHEMA), batch_id)
-    last = spark.read.parquet(f"{path}/generation=2")
-    assert last.select("window_start").distinct().count() == 5
-    kept = pipeline.scored_windows(spark, path).orderBy("window_start").collect()
-    assert [(r["total_sessions"], r["baseline_window_count"]) for r in kept] == [(1, 0), (2, 1), (3, 2), (4, 3), (6, 4)]
-
-
-def test_alert_that_no_longer_holds_disappears(spark):
-    path = shared_dir(spark, "retract")
-    write = pipeline.scored_batches(path)
-    for batch_id, sessions in enumerate((1, 6)):
-        row = (START, START + timedelta(hours=1), sessions, sessions, 0, 0, 0, 0, None, None, None, None)
-        write(spark.createDataFrame([row], pipeline.FUNNEL_SCHEMA), batch_id)
-        found = clicks.alerts(pipeline.scored_windows(spark, path), AlertLimits()).count()
-        assert found == (1 if sessions == 1 else 0)
-
-
 def test_redelivery_is_dropped(spark):
     batches = [[record(1, 0), record(1, 0), record(2, 1)], [record(1, 0), record(3, 2)]]
     stream = clicks.parse(E.envelope_stream(spark, write_batches(spark, batches), files_per_batch=1))
@@ -253,12 +212,15 @@ def test_events_without_an_id_are_no_copies(spark):
 
 
 def test_approximate_counts_are_close(spark, sf_dir):
+    """A bound of the sketch holds for a share of the windows: three standard errors (of 5 %) for nearly all of them."""
     events = clicks.parse(standins.envelope(standins.clicks(spark, sf_dir)))
     day = Windowing("1 day", "1 day", "10 minutes")
     near = clicks.funnel(events, day).select("window_start", F.col("total_sessions").alias("near"))
     exact = clicks.funnel(events, day, exact=True).select("window_start", "total_sessions")
-    worst = near.join(exact, "window_start").agg(F.max(F.abs(F.col("near") / F.col("total_sessions") - 1))).head()[0]
-    assert worst < 0.2
+    off = F.abs(F.col("near") / F.col("total_sessions") - 1)
+    within, most = near.join(exact, "window_start").agg(F.avg((off <= 0.15).cast("int")), F.max(off)).head()
+    assert within >= 0.95
+    assert most < 0.3
 
 
 def test_encode_parses_back(spark):
