@@ -3,7 +3,7 @@
 The model file is compiled into a cascade. The normaliser writes spaces as U+2581, one more in front of the text. The piece
 transducer is a trie whose final states put out a piece at its cost, with a byte fallback for characters without piece.
 Composed with a text they make a lattice; the ids are its shortest path in the tropical semiring (costs add, the least
-wins). A unigram model's costs are negative scores.
+wins). Short stretches are composed in step (see `lattice`), long ones alone. A unigram model's costs are negative scores.
 
 A merge-based (BPE) model has no costs that could be added up. But its language is local: pieces are its encoding of a text
 just if each two neighbours are its encoding of what they spell. So the cascade gets one more machine that remembers the
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline.llm.common import map_arrow, slices, utf8
+from kerbline.llm.lattice import BATCH_CHARS, LONGEST, Lattices
 from kerbline.llm.tokens import SLICE_BYTES, StretchEncoder
 
 SPACE = "▁"
@@ -105,6 +106,10 @@ class Model:
         #: No piece holds U+2581 after something else, so texts can be cut there.
         self.cuttable = not any(SPACE in text.lstrip(SPACE) for text in self.scores)
         self._kept: dict[tuple[str, str], bool] = {}
+        self.pieces = list(self.scores)
+        self.numbers = np.array([self.ids[text] for text in self.pieces], np.uint32)
+        cost = np.array([*(-score for score in self.scores.values()), self.worst]) if self.kind == UNIGRAM else None
+        self.lattices = Lattices(self.pieces, cost, self._may_follow, REMEMBERED_PAIRS)
 
     # -- the machine that remembers the last piece -----------------------------------------------------------------------
 
@@ -128,6 +133,14 @@ class Model:
         found = self._kept[left, right] = self._merged(left + right) == ([left, right] if left else [right])
         return found
 
+    def _text(self, number: int) -> str:
+        return self.pieces[number] if number < len(self.pieces) else chr(number - self.lattices.strange)
+
+    def _may_follow(self, left: int | None, right: int) -> bool:
+        """The same for numbers of pieces."""
+        before, after = "" if left is None else self._text(left), self._text(right)
+        return self._merged(before + after) == ([before, after] if before else [after])
+
     # -- composition and shortest path ------------------------------------------------------------------------------------
 
     def shortest(self, text: str) -> list[str]:
@@ -177,6 +190,44 @@ class Model:
     def ids_of(self, text: str) -> list[int]:
         return [k for piece in self.shortest(text) for k in self.output(piece)]
 
+    def _batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that are composed in step, one after another, and how many each has."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+        pieces, counts = self.lattices.paths(chars, sizes)
+        ids, width = np.zeros(len(pieces), np.uint32), np.ones(len(pieces), np.int64)
+        plain = pieces < len(self.pieces)
+        ids[plain] = self.numbers[pieces[plain]]
+        strange, which = np.unique(pieces[~plain], return_inverse=True)
+        outputs = [self.output(self._text(int(number))) for number in strange]
+        width[~plain] = np.fromiter(map(len, outputs), np.int64, len(outputs))[which] if outputs else 0
+        begins = np.cumsum(width) - width
+        out = np.repeat(ids, width)
+        places = begins[~plain]
+        for number, output in enumerate(outputs):
+            for step, value in enumerate(output):
+                out[places[which == number] + step] = value
+        return out, np.add.reduceat(width, np.cumsum(counts) - counts)
+
+    def ids_of_all(self, texts: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """An order of the texts (none empty), all their ids in it, and how many each has. Short texts are composed in
+        step, the others one by one."""
+        order = [k for k, text in enumerate(texts) if len(text) <= LONGEST]
+        found, sizes, own, size = [], [], [], 0
+        for place, k in enumerate(order):
+            own.append(texts[k])
+            size += len(texts[k])
+            if size >= BATCH_CHARS or place + 1 == len(order):
+                for into, values in zip((found, sizes), self._batch(own)):
+                    into.append(values)
+                own, size = [], 0
+        for k, text in enumerate(texts):
+            if len(text) > LONGEST:
+                order.append(k)
+                found.append(np.array(self.ids_of(text), np.uint32))
+                sizes.append(np.array([len(found[-1])]))
+        return order, np.concatenate(found), np.concatenate(sizes)
+
     def encode(self, text: str) -> list[int]:
         """Ids of one whole text."""
         return self.ids_of((" " * self.prefix + text).replace(" ", SPACE)) if text else []
@@ -208,9 +259,8 @@ class PieceEncoder(StretchEncoder):
         return np.flatnonzero(begins)
 
     def encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        found = [self.model.ids_of(s.decode().replace(" ", SPACE)) for s in new]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return new, np.fromiter((k for ids in found for k in ids), np.uint32, int(sizes.sum())), sizes
+        order, ids, sizes = self.model.ids_of_all([s.decode().replace(" ", SPACE) for s in new])
+        return [new[k] for k in order], ids, sizes
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = utf8(column)
