@@ -72,6 +72,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that no column of the frame has, whatever the case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(column, UPPER, LOWER)
@@ -138,6 +146,7 @@ __all__ = [
     "broadcast_if_small",
     "carried",
     "dealt_in_order",
+    "free_name",
     "lower_ascii",
     "map_arrow",
     "row_numbers",

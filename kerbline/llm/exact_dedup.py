@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import SPACES, broadcast_if_small, settle
+from kerbline.llm.common import SPACES, broadcast_if_small, free_name, settle
 
 FIRST_DIGIT = 32
 DIGIT_GROWTH = 16
@@ -109,17 +109,20 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     known = ["doc_id", "text_sha256"]
     found = duplicates(docs).groupBy(*known).agg(F.count("*").alias("rows"), F.max("kept").alias("stays"))
     some = settle(found.filter("NOT stays OR rows > 1"), "radix-gone")
-    gone = broadcast_if_small(some.filter("NOT stays").select(*(F.col(c).alias(f"_{c}") for c in known)), 96)
-    again = broadcast_if_small(some.filter("stays").select(*(F.col(c).alias(f"_{c}") for c in known)), 96)
-    rows = docs.withColumn("_digest", F.sha2(normalised(F.col("text")), 256))
+    names = {c: free_name(docs, f"_{c}") for c in known}
+    digest, nth = free_name(docs, "_digest"), free_name(docs, "_nth")
+    own = [F.col(c).alias(names[c]) for c in known]
+    gone = broadcast_if_small(some.filter("NOT stays").select(*own), 96)
+    again = broadcast_if_small(some.filter("stays").select(*own), 96)
+    rows = docs.withColumn(digest, F.sha2(normalised(F.col("text")), 256))
 
-    def of(names: DataFrame) -> F.Column:
-        return rows["doc_id"].cast("long").eqNullSafe(names["_doc_id"]) & (rows["_digest"] == names["_text_sha256"])
+    def of(keys: DataFrame) -> Column:
+        return rows["doc_id"].cast("long").eqNullSafe(keys[names["doc_id"]]) & (rows[digest] == keys[names["text_sha256"]])
 
-    left = rows.join(gone, of(gone), "left_anti")
+    left, columns = rows.join(gone, of(gone), "left_anti"), [f"`{c}`" for c in docs.columns]
     if again.isEmpty():
-        return left.select(*docs.columns)
-    best = Window.partitionBy("doc_id", "_digest").orderBy(F.char_length("text").desc_nulls_last())
-    repeated = rows.join(again, of(again), "left_semi").withColumn("_nth", F.row_number().over(best)).filter("_nth = 1")
+        return left.select(*columns)
+    best = Window.partitionBy("doc_id", digest).orderBy(F.char_length("text").desc_nulls_last())
+    repeated = rows.join(again, of(again), "left_semi").withColumn(nth, F.row_number().over(best)).filter(F.col(nth) == 1)
     single = left.join(again, of(again), "left_anti")
-    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    return single.select(*columns).unionByName(repeated.select(*columns))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import map_arrow, slices, utf8
+from kerbline.llm.common import free_name, map_arrow, slices, utf8
 
 #: Name of a text that has no letter (or is null).
 UNDETERMINED = "und"
@@ -284,31 +284,35 @@ def fit(docs: DataFrame) -> Network | None:
     return network
 
 
-def predict(spark: SparkSession, docs: DataFrame, network: Network | None) -> DataFrame:
-    """`docs` with lang_pred and score (columns of these names are replaced). Only the text is looked at.
+def predict(
+    spark: SparkSession, docs: DataFrame, network: Network | None, *, label: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """`docs` with lang_pred and score (columns of these names are replaced), or by what names they are asked for. Only the
+    text is looked at; all other columns are kept whatever their names.
 
     Text that is null or has no letter gets `und` and score 0, as does every text if nothing could be learned. The score
     is the pooled share of the predicted language; of equal shares the first name wins. Rows with null or repeated ids
     stay as they are.
     """
-    kept = docs.select(*(c for c in docs.columns if c not in ("lang_pred", "score")))
-    known = kept.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    kept = docs.select(*(f"`{c}`" for c in docs.columns if c not in (label, score)))
+    lettered = free_name(kept, "_letters")
+    known = kept.withColumn(lettered, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = network and network.reader()
         for batch in batches:
             for part in slices(batch, "text"):
-                letters = part.column("_letters").to_pylist()
-                best, score = [0] * len(letters), [0.0] * len(letters)
+                letters = part.column(lettered).to_pylist()
+                best, likely = [0] * len(letters), [0.0] * len(letters)
                 if reader:
                     shares = reader.shares(*utf8(part.column("text")))
-                    best, score = shares.argmax(1).tolist(), np.clip(shares.max(1), 0, 1).tolist()
+                    best, likely = shares.argmax(1).tolist(), np.clip(shares.max(1), 0, 1).tolist()
                 sure = [bool(reader) and ok for ok in letters]
                 columns = [part.column(c) for c in names]
                 columns.append(pa.array([network.languages[b] if ok else UNDETERMINED for b, ok in zip(best, sure)], pa.string()))
-                columns.append(pa.array([s if ok else 0.0 for s, ok in zip(score, sure)], pa.float64()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
+                columns.append(pa.array([s if ok else 0.0 for s, ok in zip(likely, sure)], pa.float64()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, label, score])
 
-    schema = kept.withColumns({"lang_pred": F.lit(None).cast("string"), "score": F.lit(None).cast("double")}).schema
+    schema = kept.withColumns({label: F.lit(None).cast("string"), score: F.lit(None).cast("double")}).schema
     return map_arrow(known, run, schema)

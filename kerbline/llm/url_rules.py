@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbline.llm.common import lower_ascii, map_arrow, utf8
+from kerbline.llm.common import free_name, lower_ascii, map_arrow, utf8
 
 
 @dataclass(frozen=True)
@@ -130,8 +130,8 @@ def judge(urls: DataFrame, rules: Sequence[Rule], *, url: str = "url", default:
     """
     keep = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
     parts = urls.select(*[F.col(f"`{c}`") for c in keep], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    # Bytes of the canonical URL are handed to the automaton in a column that no table has.
-    canonical = parts.withColumn("_canonical", F.concat(F.lit("."), "host", "path"))
+    whole = free_name(parts, "_canonical")
+    canonical = parts.withColumn(whole, F.concat(F.lit("."), "host", "path"))
     schema = T.StructType([*parts.schema.fields, *(T.StructField(c, T.StringType()) for c in ("rule", "verdict"))])
     rules, names = list(rules), parts.columns
 
@@ -139,7 +139,7 @@ def judge(urls: DataFrame, rules: Sequence[Rule], *, url: str = "url", default:
         automaton = Automaton(rules) if rules else None
         for batch in batches:
             if automaton and batch.num_rows:
-                found = automaton.fits(*utf8(batch.column("_canonical")))
+                found = automaton.fits(*utf8(batch.column(whole)))
             else:
                 found = np.full(batch.num_rows, -1)
             hits = [automaton.rules[k] if k >= 0 else None for k in found.tolist()]
