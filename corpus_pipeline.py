@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline.llm import exact_dedup, language, near_dedup, packing
-from kerbline.llm.common import settle, table
+from kerbline.llm.common import free_name, settle, table
 from kerbline.llm.tokens import tokenizer
 
 
@@ -18,8 +18,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     known, network = docs.filter(F.col("text").rlike(r"\p{L}")), language.fit(docs)
     if network is None:
         return known
-    judged = language.predict(spark, known, network)
-    return judged.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    label, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    judged = language.predict(spark, known, network, label=label, score=score)
+    return judged.withColumn("lang", F.coalesce("lang", label)).select(*(f"`{c}`" for c in docs.columns))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
