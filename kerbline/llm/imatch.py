@@ -6,8 +6,9 @@ keep shares from a half down to 1/1024, so that likeness falls by degrees: of tw
 with share p agrees with a chance of (1 - p)^k.
 
 Document frequencies cover the whole corpus and are exact for each 64-bit hash of a term. A task sums up what it has read in
-a map of bounded size, so a term is shuffled once per task or map. The terms in the band go to the driver and to every
-executor as sorted hashes, 8 bytes each.
+a map of bounded size, so a term is shuffled once per task or map. The terms in the band are written. Up to
+BROADCAST_TERMS of them go to every executor as sorted hashes, 8 bytes each. A larger band stays where it is: the texts'
+terms are dealt out by key to meet it, and what was found comes back to each text. Both ways give the same fingerprints.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import map_arrow, slices, utf8
+from kerbline.llm.common import map_arrow, settle, slices, utf8
 from kerbline.llm.shingles import distinct, mix, words
 
 #: Frequencies are counted by so many leading bits of a term's hash: all of them.
@@ -34,6 +35,8 @@ HELD_TERMS = 1 << 20
 RANGE_BITS = 12
 #: Terms in more than this share of all documents, or in a single one, say nothing.
 MOST_SHARE, LEAST_DOCUMENTS = 0.2, 2
+#: Terms in the band up to which they are sent out whole, 64 MB.
+BROADCAST_TERMS = 8 << 20
 #: Lexicons: for each power of two from 1 to POWERS, so many keep a share of 2^-power.
 POWERS, EACH = 10, 6
 LEXICONS = POWERS * EACH
@@ -143,13 +146,15 @@ class Lexicon:
         return Band(np.frombuffer(self.terms.value, np.uint64))
 
 
-def lexicon(docs: DataFrame) -> Lexicon:
-    """Terms that are neither too common nor found once. Their hashes pass the driver."""
-    spark = docs.sparkSession
-    total = docs.count()
-    kept = document_frequencies(docs).filter(F.col("documents").between(LEAST_DOCUMENTS, max(2, int(MOST_SHARE * total))))
-    terms = np.sort(kept.select("term").toArrow().column("term").to_numpy().view(np.uint64))
-    return Lexicon(spark.sparkContext.broadcast(terms.tobytes()))
+def _print_of(kept: np.ndarray) -> list[str]:
+    """The hash of each lexicon's share of some sorted distinct terms."""
+    spread = [mix(kept ^ seed) for seed in _SEEDS]
+    hashes = []
+    for place, field in _FIELDS:
+        for own in spread:
+            some = kept[(own >> place) & field == 0]
+            hashes.append(hashlib.blake2b(some.tobytes(), digest_size=DIGITS // 2).hexdigest() if len(some) else _NOTHING)
+    return hashes
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray, band: Band) -> list[list[str]]:
@@ -160,15 +165,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, band: Band) -> list[list
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         own = terms[a:b]
         kept = distinct(own[inside[a:b]])
-        if not len(kept):
-            kept = distinct(own)
-        spread = [mix(kept ^ seed) for seed in _SEEDS]
-        hashes = []
-        for place, field in _FIELDS:
-            for own in spread:
-                some = kept[(own >> place) & field == 0]
-                hashes.append(hashlib.blake2b(some.tobytes(), digest_size=DIGITS // 2).hexdigest() if len(some) else _NOTHING)
-        out.append(hashes)
+        out.append(_print_of(kept if len(kept) else distinct(own)))
     return out
 
 
@@ -221,18 +218,21 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
 
 
-def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited and near_next of every row of `docs`.
+_NAMES = ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_RESULT = (
+    "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double"
+)
 
-    The edited text has the last floor(n_chars / 2) code points replaced by the first as many of the next document's text,
-    in order of doc_id (null first; of repeated doc_ids by text); the last document is followed by the first, a single
-    one by itself. Null text counts as empty. A text without words has a fingerprint of its own kind, equal to that of
-    any other such text. Further columns are left out. An empty table gives no rows.
-    """
-    found = lexicon(docs)
-    dealt = with_next(docs)
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(partitions, "part").sortWithinPartitions("part", "extra", "key", "text")
+
+def _half_replaced(text: str, after: str) -> str:
+    """The text with its last half replaced by as much of the next one's start."""
+    half = len(text) // 2
+    return text[: len(text) - half] + after[:half]
+
+
+def _with_lexicon(dealt: DataFrame, found: Lexicon) -> DataFrame:
+    """The result where every executor has the band: one pass over the dealt documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band, last = found.band(), None
@@ -243,8 +243,7 @@ def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
                 edits, out = [], []
                 for row in rows:
                     if last and not last[2]:
-                        half = len(last[1]) // 2
-                        edits.append(last[1][: len(last[1]) - half] + row[1][:half])
+                        edits.append(_half_replaced(last[1], row[1]))
                         out.append((last[0], len(last[1]), last[3], likeness(last[3], row[3])))
                     last = row
                 edited = pa.array(edits, pa.string())
@@ -258,11 +257,131 @@ def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
                     pa.array([likeness(o[2], p) for o, p in zip(out, others)], pa.float64()),
                     pa.array([o[3] for o in out], pa.float64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
-    names = ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    schema = (
-        "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
-    )
-    return map_arrow(dealt.select("doc_id", "text", "extra"), run, schema)
+    return map_arrow(dealt.select("doc_id", "text", "extra"), run, _RESULT)
+
+
+def _texts_in_order(dealt: DataFrame) -> DataFrame:
+    """row, next, doc_id, text and edited of every dealt row, written; next and edited are null for rows that are there to be
+    next only. A row's number is that of its task and its place there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = row = TaskContext.get().partitionId() << 40
+        last = None
+        for batch in batches:
+            for part in slices(batch, "text"):
+                out = []
+                for doc, text, extra in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "extra"))):
+                    if last:
+                        own = not last[2]
+                        out.append((row - 1, row if own else None, *last[:2], _half_replaced(last[1], text) if own else None))
+                    last, row = (doc, text, extra), row + 1
+                yield from _rows(out)
+        if row > first:
+            yield from _rows([(row - 1, None, *last[:2], None)])
+
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+    names = ["row", "next", "doc_id", "text", "edited"]
+
+    def _rows(out: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), kinds)], names=names)
+
+    schema = "row long, next long, doc_id long, text string, edited string"
+    return settle(map_arrow(dealt.select("doc_id", "text", "extra"), run, schema), "imatch-texts")
+
+
+def _terms_of(texts: DataFrame, common: Broadcast) -> DataFrame:
+    """row and term of every distinct term of a text that is not among the common ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        skipped = np.frombuffer(common.value, np.uint64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                terms, edges = words(*utf8(part.column("text")))
+                own = [distinct(terms[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                rows = np.repeat(part.column("row").to_numpy(), [len(x) for x in own])
+                flat = np.concatenate(own) if own else terms
+                rare = ~np.isin(flat, skipped)
+                columns = [pa.array(rows[rare], pa.int64()), pa.array(flat[rare].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "term"])
+
+    return map_arrow(texts, run, "row long, term long")
+
+
+def _printed(texts: DataFrame, kept: DataFrame, common: Broadcast) -> DataFrame:
+    """row and print of some texts (row, text), by terms that meet the band by key. A task holds the distinct terms of one
+    text at a time; a common term is no key, as texts leave it out."""
+    met = _terms_of(texts, common).join(kept.select("term"), "term", "left_semi")
+    lists = met.groupBy("row").agg(F.collect_list("term").alias("terms"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                terms, edges = words(*utf8(part.column("text")))
+                found = []
+                for place, own in enumerate(part.column("terms")):
+                    if own.is_valid:
+                        some = np.sort(own.values.to_numpy().view(np.uint64))
+                    else:
+                        some = distinct(terms[edges[place] : edges[place + 1]])
+                    found.append("".join(_print_of(some)))
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found, pa.string())], names=["row", "print"])
+
+    return map_arrow(texts.join(lists, "row", "left").select("row", "text", "terms"), run, "row long, print string")
+
+
+def _by_key(dealt: DataFrame, kept: DataFrame, common: Broadcast) -> DataFrame:
+    """The result where the band is too large to be sent out."""
+    texts = _texts_in_order(dealt)
+    own = settle(_printed(texts.select("row", "text"), kept, common), "imatch-prints")
+    edited = texts.filter("next IS NOT NULL").select("row", F.col("edited").alias("text"))
+    edited = _printed(edited, kept, common).select("row", F.col("print").alias("edited_print"))
+    after = own.select(F.col("row").alias("next"), F.col("print").alias("next_print"))
+    rows = texts.filter("next IS NOT NULL").join(own, "row").join(edited, "row").join(after, "next")
+
+    def split(text: str) -> list[str]:
+        return [text[at : at + DIGITS] for at in range(0, len(text), DIGITS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine, others, nexts = (list(map(split, batch.column(c).to_pylist())) for c in ("print", "edited_print", "next_print"))
+            columns = [
+                *(batch.column(c) for c in ("doc_id", "n_chars", "edited", "print", "edited_print")),
+                pa.array(list(map(likeness, mine, others)), pa.float64()),
+                pa.array(list(map(likeness, mine, nexts)), pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+    n_chars = F.char_length("text").cast("long").alias("n_chars")
+    return map_arrow(rows.select("doc_id", n_chars, "edited", "print", "edited_print", "next_print"), run, _RESULT)
+
+
+def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited and near_next of every row of `docs`.
+
+    The edited text has the last floor(n_chars / 2) code points replaced by the first as many of the next document's text,
+    in order of doc_id (null first; of repeated doc_ids by text); the last document is followed by the first, a single
+    one by itself. Null text counts as empty. A text without words has a fingerprint of its own kind, equal to that of
+    any other such text. Further columns are left out. An empty table gives no rows.
+    """
+    most = max(2, int(MOST_SHARE * docs.count()))
+    frequent = settle(document_frequencies(docs).filter(F.col("documents") >= LEAST_DOCUMENTS), "imatch-terms")
+    kept = frequent.filter(F.col("documents") <= most)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = with_next(docs).repartition(partitions, "part").sortWithinPartitions("part", "extra", "key", "text")
+    if kept.count() <= BROADCAST_TERMS:
+        return _with_lexicon(dealt, _sent(kept))
+    # At most 1 / MOST_SHARE times the distinct terms of a mean document.
+    common = _hashes(frequent.filter(F.col("documents") > most))
+    return _by_key(dealt, kept, docs.sparkSession.sparkContext.broadcast(common.tobytes()))
+
+
+def _hashes(terms: DataFrame) -> np.ndarray:
+    """Sorted hashes of a bounded list of terms."""
+    return np.sort(terms.select("term").toArrow().column("term").to_numpy().view(np.uint64))
+
+
+def _sent(kept: DataFrame) -> Lexicon:
+    return Lexicon(kept.sparkSession.sparkContext.broadcast(_hashes(kept).tobytes()))

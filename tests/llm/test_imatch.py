@@ -41,8 +41,11 @@ def edits(rows):
         yield doc, text, text[: len(text) - half] + after[:half], after
 
 
+@pytest.mark.parametrize("sent", [imatch.BROADCAST_TERMS, 0])
 @pytest.mark.parametrize("partitions", ["1", "4"])
-def test_matches_definition(spark, documents, prose, partitions):
+def test_matches_definition(spark, documents, prose, monkeypatch, partitions, sent):
+    """Both where the band is sent out and where texts' terms meet it by key."""
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", sent)
     rows = [(3 * k % 41, prose(k % 37, 4 + 5 * (k % 9))) for k in range(41)]
     rows += [(100, None), (101, ""), (102, "ü😀 word"), (103, " \n"), (None, "no id here"), (7, "again the same id"), (104, prose(2, 4000))]
     docs = documents(rows)
@@ -64,7 +67,9 @@ def test_matches_definition(spark, documents, prose, partitions):
     assert sorted((str(r[0]), *r[1:]) for r in got) == sorted(want)
 
 
-def test_few_rows(documents):
+@pytest.mark.parametrize("sent", [imatch.BROADCAST_TERMS, -1])
+def test_few_rows(documents, monkeypatch, sent):
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", sent)
     assert imatch.fingerprint_with_edits(documents([]).filter("false")).collect() == []
     (row,) = imatch.fingerprint_with_edits(documents([(5, "abcd efg")])).collect()
     assert row.edited == "abcdabcd" and row.near_next == 1.0
