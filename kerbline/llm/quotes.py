@@ -7,14 +7,15 @@ the quoting turn, else anywhere. Replies make trees, and conversations are put o
 
 A message that quotes nothing known answers the turn before it. So a conversation is made of branches: each begins with a
 message that answers an older turn and goes on in order of turns. A branch comes after all of the branch that it leaves;
-of several the one that leaves latest comes first, as in a walk through the tree of replies.
+of several the one that leaves latest comes first, as in a walk through the tree of replies. Where a branch starts follows
+from the sizes of branches, summed up and down the tree by doubling: one row a branch and round, however deep it is.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -25,6 +26,8 @@ from kerbline.llm.common import broadcast_if_small, carried, dealt_in_order, map
 _LINES = re.compile(r"\r\n|\r|\n")
 _MARK = re.compile(r"(?:[ \t]*>)+[ \t]?")
 _NO_ID = -(2**63)
+#: The branch of a conversation's first messages; a branch that begins with a reply is named by a later turn.
+_MAIN = _NO_ID
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -129,10 +132,10 @@ def links(messages: DataFrame) -> DataFrame:
 
 
 def branches(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The messages with `branch` (the turn it began with, null in the first one), and each branch's path.
+    """The messages with `branch` (the turn it began with, _MAIN in the first one), and where each branch starts: the number
+    of messages of its conversation that come before it.
 
-    A path lists, from the outside in, for each branch the turn it leaves (negative, so that the latest comes first) and
-    the turn it begins with. Paths are put together by doubling, in as many rounds as the logarithm of the nesting.
+    A branch is followed by those that leave it, the latest first, each with all that leave it in turn.
     """
     begins = F.when(F.col("reply") != F.col("at") - 1, F.col("at"))
     dealt = dealt_in_order(linked.withColumn("begins", begins), "conv", "at", "row")
@@ -140,17 +143,52 @@ def branches(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = dealt.withColumn("branch", F.max("begins").over(inside)).join(
         carried(dealt, "conv", F.max("begins"), F.max), ["conv", "_part"]
     )
-    placed = settle(placed.withColumn("branch", F.greatest("branch", "_before")).drop("_part", "_before"), "quote-branches")
+    branch = F.coalesce(F.greatest("branch", "_before"), F.lit(_MAIN)).alias("branch")
+    placed = settle(placed.withColumn("branch", branch).drop("_part", "_before"), "quote-branches")
     heads = placed.filter("begins IS NOT NULL").groupBy("conv", "begins").agg(F.min("reply").alias("leaves"))
     at = placed.groupBy("conv", F.col("at").alias("leaves")).agg(F.max("branch").alias("up"))
-    step = F.array(F.struct((-F.col("leaves")).alias("leaves"), F.col("begins").alias("begins")))
-    paths = settle(heads.join(at, ["conv", "leaves"]).select("conv", "begins", "up", step.alias("path")), "quote-paths")
-    while not paths.filter("up IS NOT NULL").isEmpty():
-        over = paths.select("conv", F.col("begins").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"))
-        met = paths.join(over, ["conv", "up"], "left")
-        path = F.when(F.col("head").isNull(), F.col("path")).otherwise(F.concat("head", "path"))
-        paths = settle(met.select("conv", "begins", F.col("next").alias("up"), path.alias("path")), "quote-paths")
-    return placed, paths.select("conv", F.col("begins").alias("branch"), "path")
+    own = settle(placed.groupBy("conv", "branch").agg(F.count("*").alias("own")), "quote-sizes")
+    tree = heads.join(at, ["conv", "leaves"]).select("conv", F.col("begins").alias("branch"), "leaves", "up")
+    tree = settle(tree.join(own, ["conv", "branch"]), "quote-tree")
+
+    # Messages of a branch and all that leave it: what lies less than 1, 2, 4, ... branches below.
+    below = _doubled(tree.select("conv", "branch", "up", F.col("own").alias("sum")), _taken_up)
+    sized = tree.drop("own").join(below.select("conv", "branch", F.col("sum").alias("size")), ["conv", "branch"])
+    # Before a branch come the one it leaves, and what leaves that one later; then what is before that one.
+    family = F.concat_ws("/", "conv", "up").alias("family")
+    ordered = dealt_in_order(sized.select("*", family, (-F.col("leaves")).alias("late")), "family", "late", "branch")
+    earlier = Window.partitionBy("family", "_part").orderBy("late", "branch").rowsBetween(Window.unboundedPreceding, -1)
+    summed = ordered.withColumn("past", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+    summed = summed.join(carried(ordered, "family", F.sum("size"), F.sum), ["family", "_part"])
+    parents = own.select("conv", F.col("branch").alias("up"), "own")
+    before = (F.col("past") + F.coalesce("_before", F.lit(0)) + F.col("own")).cast("long").alias("sum")
+    offsets = settle(summed.join(parents, ["conv", "up"]).select("conv", "branch", "up", before), "quote-offsets")
+    return placed, _doubled(offsets, _handed_down).select("conv", "branch", F.col("sum").alias("starts"))
+
+
+def _taken_up(state: DataFrame) -> DataFrame:
+    """Adds to each branch the sums of those whose `up` it is."""
+    given = state.filter(F.col("up") != _MAIN).groupBy("conv", F.col("up").alias("branch")).agg(F.sum("sum").alias("more"))
+    met = state.join(given, ["conv", "branch"], "left")
+    return met.withColumn("sum", F.col("sum") + F.coalesce("more", F.lit(0))).drop("more")
+
+
+def _handed_down(state: DataFrame) -> DataFrame:
+    """Adds to each branch the sum of its `up`."""
+    given = state.select("conv", F.col("branch").alias("up"), F.col("sum").alias("more"))
+    met = state.join(given, ["conv", "up"], "left")
+    return met.withColumn("sum", F.col("sum") + F.coalesce("more", F.lit(0))).drop("more")
+
+
+def _doubled(state: DataFrame, added: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(conv, branch, up, sum) after rounds in which `up` is 1, 2, 4, ... branches away: as many as the logarithm of the
+    nesting, with one row a branch in each."""
+    state = settle(state, "quote-rounds")
+    while not state.filter(F.col("up") != _MAIN).isEmpty():
+        further = state.select("conv", F.col("branch").alias("up"), F.col("up").alias("next"))
+        met = added(state).join(further, ["conv", "up"], "left")
+        state = settle(met.select("conv", "branch", F.coalesce("next", F.lit(_MAIN)).alias("up"), "sum"), "quote-rounds")
+    return state
 
 
 def reply_ordered(messages: DataFrame) -> DataFrame:
@@ -163,10 +201,9 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     """
     read = settle(parsed(messages), "messages")
     linked = read.drop("own_keys").join(broadcast_if_small(settle(links(read), "quote-links"), 64), "row", "left")
-    placed, paths = branches(linked)
-    met = placed.join(broadcast_if_small(paths, 256), ["conv", "branch"], "left")
-    empty = F.array().cast("array<struct<leaves:bigint,begins:bigint>>")
-    ordered = row_numbers(met.withColumn("path", F.coalesce("path", empty)), "conv", "path", "at", "row")
+    placed, starts = branches(linked)
+    met = placed.join(broadcast_if_small(settle(starts, "quote-starts"), 64), ["conv", "branch"], "left")
+    ordered = row_numbers(met.withColumn("starts", F.coalesce("starts", F.lit(0))), "conv", "starts", "at", "row")
     starts = broadcast_if_small(settle(read.groupBy("conv").agg(F.min("at").alias("first")), "quote-starts"), 32)
     reply = F.coalesce("reply", F.when(F.col("at") > F.col("first"), F.col("at") - 1))
     return ordered.join(starts, "conv").select(

@@ -84,6 +84,14 @@ def test_walk_through_many_trees(spark):
         assert [t for _, t in sorted((r.position, r.turn) for r in got if r.conv_id == conv)] == want[conv]
 
 
+def test_a_deep_chain_of_branches(spark):
+    """Each of 5,000 turns answers the one before the last, so branches nest as deep as half of them; and a star."""
+    parents = [None, 0, *range(3998), *([3] * 1000)]
+    rows = [(7, 0, "words 0")] + [(7, t, f"> words {parents[t]}\nwords {t}") for t in range(1, len(parents))]
+    got = run(spark, rows)
+    assert len(got) == 5000 and [t for _, t in sorted((r.position, r.turn) for r in got)] == walk(parents)
+
+
 def test_a_passage_that_all_have(spark):
     rows = [(c, t, "hello" if t == 0 else f"> hello\nfrom {c}") for c in range(200) for t in range(2)]
     got = run(spark, rows)
