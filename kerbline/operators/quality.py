@@ -348,6 +348,18 @@ def issue_histogram(summary_row: DataFrame) -> DataFrame:
     )
 
 
+def issue_report(summary_row: DataFrame) -> DataFrame:
+    """A summary as the quality report has it: records, issue rows, clean rows, and rows by issue, without those that never
+    occur."""
+    fixed = {"total_rows", "issue_rows", "clean_rows", "issue_rate_pct"}
+    counts = sorted(c for c in summary_row.columns if c not in fixed)
+    pairs = [part for c in counts for part in (F.lit(c.removesuffix("_rows")), F.col(c))]
+    types = F.map_filter(F.create_map(*pairs), lambda _, rows: rows > 0) if pairs else F.create_map().cast("map<string,bigint>")
+    return summary_row.select(
+        F.col("total_rows").alias("total_records"), "issue_rows", "clean_rows", types.alias("issue_types")
+    )
+
+
 def issue_rows(flagged: DataFrame) -> DataFrame:
     """Rows with an issue, in the report's columns. Unordered: every row is an output, so it may be huge."""
     return flagged.where("dq_has_issue").select(*[c for c in ISSUE_COLUMNS if c in flagged.columns])

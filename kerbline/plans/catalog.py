@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbline.functions.expressions import rate
 from kerbline.operators import baseline, clicks, layout, metrics, quality, sketches, trips, versions
 from kerbline.operators.clicks import Windowing
 from kerbline.plans import batch, marts, trip_tables
@@ -237,6 +238,14 @@ def dq_issue_histogram(spark, sf_dir):
     return quality.issue_histogram(_summary(spark, sf_dir))
 
 
+@query
+def dq_issue_report(spark, sf_dir):
+    """A12 with its totals: one report from one summary."""
+    report = quality.issue_report(_summary(spark, sf_dir))
+    listed = F.transform(F.map_entries("issue_types"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return report.withColumn("issue_types", F.array_sort(listed))
+
+
 @row_query
 def dq_issue_rows(spark, sf_dir):
     """DQ12 W1 P8: every row with an issue."""
@@ -415,6 +424,17 @@ def click_funnel(spark, sf_dir):
     return _funnel(spark, sf_dir)
 
 
+@query
+def funnel_rate_report(spark, sf_dir):
+    """2.9 rate: a report's rates, at four decimals, null without anyone in the earlier stage."""
+    rows = _funnel(spark, sf_dir)
+
+    def between(earlier: str, later: str) -> Column:
+        return rate(F.col(f"{later}_sessions"), F.col(f"{earlier}_sessions")).alias(f"{earlier}_to_{later}")
+
+    return rows.select("window_start", *[between(*step) for step in sketches.STAGE_STEPS], between("page_view", "purchase"))
+
+
 @query
 def click_alerts(spark, sf_dir):
     """ST5 ST6."""
@@ -632,9 +652,10 @@ def stream_dq_report(spark, sf_dir):
 
 @query
 def stream_rejects(spark, sf_dir):
-    """P15 on a stream."""
+    """P15 on a stream: records as they came, those without a readable time and those cut off."""
     left_out = clicks.rejects(standins.damaged(standins.click_stream(spark, sf_dir)))
-    return _to_files(left_out, "rejects").select("kafka_timestamp")
+    kept = _to_files(left_out, "rejects")
+    return kept.select("kafka_timestamp", *[F.get_json_object("value", f"$.{c}").alias(c) for c in ("event_id", "timestamp")])
 
 
 @query
@@ -865,6 +886,15 @@ def schema_table(spark, sf_dir):
     return _with_rows(tables.schema_rows(orders).drop("nullable"), orders)
 
 
+@query
+def table_preview(spark, sf_dir):
+    """Some columns of a table for display, and of one that is not there."""
+    columns = ("o_orderkey", "o_orderstatus")
+    there = tables.preview(spark, f"{sf_dir}/orders.parquet", columns, None).withColumn("found", F.lit(True))
+    gone = tables.preview(spark, f"{sf_dir}/no_such_table.parquet", columns, None)
+    return there.unionByName(gone.select(F.col("o_orderkey").cast("bigint"), "o_orderstatus", F.lit(False).alias("found")))
+
+
 # --- marts ----------------------------------------------------------------------------------------------------------
 
 

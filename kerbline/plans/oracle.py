@@ -383,6 +383,12 @@ FROM (SELECT * FROM dated ORDER BY dated.pickup_ts, PULocationID, DOLocationID,
     "dq_issue_histogram": _QUALITY
     + """SELECT issue, count(*) AS "rows" FROM (SELECT unnest(string_split(dq_issue_names, ',')) AS issue
   FROM flagged WHERE dq_issue_count > 0) GROUP BY 1""",
+    "dq_issue_report": _QUALITY
+    + """, named_issues AS (SELECT unnest(string_split(dq_issue_names, ',')) AS issue FROM flagged WHERE dq_issue_count > 0
+), sized AS (SELECT issue || '=' || count(*) AS part FROM named_issues GROUP BY issue)
+SELECT count(*) AS total_records, count(*) FILTER (WHERE dq_issue_count > 0) AS issue_rows,
+  count(*) FILTER (WHERE dq_issue_count = 0) AS clean_rows, (SELECT string_agg(part, ',' ORDER BY part) FROM sized) AS issue_types
+FROM flagged""",
     "dq_issue_rows": _QUALITY + f"SELECT {_ISSUE_ROW} FROM flagged WHERE dq_issue_count > 0",
     "dq_worst_rows": _QUALITY
     + f"""SELECT {_ISSUE_ROW} FROM (SELECT * FROM flagged WHERE dq_issue_count > 0
@@ -452,6 +458,10 @@ FROM (SELECT window_start, window_end, session_id, bool_or(event_type = 'page_vi
     "click_window_sliding": _with(_CLICKS, _SLIDING, _METRICS)
     + f"SELECT {_WINDOW}, event_type, event_count, unique_users, unique_sessions FROM metrics",
     "click_funnel": _with(_CLICKS, _HOURS, _FUNNEL) + f"SELECT {_FUNNEL_COLUMNS} FROM funnel",
+    "funnel_rate_report": _with(_CLICKS, _HOURS, _FUNNEL)
+    + f"""SELECT {_ts("window_start")}, round(page_to_product_rate, 4) AS page_view_to_product_view,
+  round(product_to_cart_rate, 4) AS product_view_to_add_to_cart, round(cart_to_purchase_rate, 4) AS add_to_cart_to_purchase,
+  round(page_to_purchase_rate, 4) AS page_view_to_purchase FROM funnel""",
     "click_alerts": _with(_CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS) + f"SELECT {_ALERT_COLUMNS} FROM alerts",
     "click_totals": _with(_CLICKS)
     + """SELECT count(*) AS generated_event_count, count(DISTINCT session_id) AS generated_session_count,
@@ -508,7 +518,9 @@ FROM scored JOIN sizes USING (window_start, window_end)""",
     "stream_dq_report": _with(_CLICKS)
     + """SELECT count(*) AS total_records, count(*) FILTER (WHERE page IS NULL) AS missing_required_rows,
   count(*) FILTER (WHERE total_amount < 0) AS negative_value_rows FROM clicks""",
-    "stream_rejects": f"""SELECT {_ts("ts", "kafka_timestamp")} FROM events
+    "stream_rejects": f"""SELECT {_ts("ts", "kafka_timestamp")},
+  CASE WHEN event_id % 101 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_id,
+  CASE WHEN event_id % 101 <> 0 THEN 'yesterday' END AS "timestamp" FROM events
 WHERE event_id % 101 = 0 OR event_id % 103 = 0""",
     "stream_first_delivery": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts("ts", "event_timestamp")}
 FROM events""",
@@ -612,6 +624,7 @@ SELECT {_day("d", "run_day")}, event_count, session_count, round(p, 4) AS publis
   'read' AS state FROM reports WHERE extract(day FROM run_day) % 5 <> 0
 UNION ALL SELECT {_day("run_day")}, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'broken'
 FROM reports WHERE extract(day FROM run_day) % 5 = 0""",
+    "table_preview": "SELECT o_orderkey, o_orderstatus, true AS found FROM orders",
     "readiness": """SELECT * FROM (VALUES ('Batch summary', 'ready'), ('Streaming demo', 'ready'),
   ('No such year', 'missing'), ('Not built', 'missing')) AS t(section, status)""",
     "kpi_headline": _with(_RAW, _ZONES, _NAMED, _DATED, _CLICKS, _HOURS, _FUNNEL, _FIXED_ALERTS)
