@@ -158,24 +158,32 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), pieces)
 
 
-def _placed(df: DataFrame, z: Column, files: int) -> DataFrame:
+def _placed(df: DataFrame, z: Column, files: int, cell_bits: int) -> DataFrame:
     """Rows with `_z`, `_spot` and `_file`, the file they go to: cells of the curve in order, by exact counts.
 
-    A cell goes whole to the file that holds its middle. One with more rows than a file should have is spread over its
-    files by `_spot`, the row's position in its source, which is the same when a task is run again.
+    As many cubes of cells as there are files lie along the curve. A cube that is no larger than a file and a half goes
+    whole to the file that holds its middle, so that files are cubes and not runs that cut across them; of a larger one
+    each cell does. A cell with more rows than a file should have is spread over its files by `_spot`, the row's position
+    in its source, which is the same when a task is run again.
     """
     spot = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     marked = df.withColumns({"_z": z, "_spot": spot})
     cells = _running(marked.groupBy("_z").agg(F.count(F.lit(1)).alias("rows")), "_z")
+    cells = settle(cells.withColumn("_cube", F.shiftright("_z", max(0, cell_bits - math.ceil(math.log2(files))))), "z-cells")
     total = max(1, cells.agg(F.coalesce(F.max("upto"), F.lit(0))).head()[0])
+    cubes = cells.groupBy("_cube").agg(F.min("before").alias("_low"), F.max("upto").alias("_high"))
 
     def file_at(row: Column) -> Column:
         return F.least(F.floor(row * files / total), F.lit(files - 1)).cast("int")
 
-    hot = F.col("rows") * files > total
-    first = F.when(hot, file_at(F.col("before"))).otherwise(file_at(F.col("before") + F.floor(F.col("rows") / 2)))
+    def middle(low: str, high: str) -> Column:
+        return file_at(F.floor((F.col(low) + F.col(high)) / 2))
+
+    even = (F.col("_high") - F.col("_low")) * files * 2 <= 3 * total
+    hot = ~even & (F.col("rows") * files > total)
+    first = F.when(even, middle("_low", "_high")).when(hot, file_at(F.col("before"))).otherwise(middle("before", "upto"))
     span = F.when(hot, file_at(F.col("upto") - 1) - file_at(F.col("before")) + 1).otherwise(1)
-    places = settle(cells.select("_z", first.alias("_first"), span.alias("_span")), "z-cells")
+    places = settle(cells.join(cubes, "_cube").select("_z", first.alias("_first"), span.alias("_span")), "z-places")
     met = marked.join(F.broadcast(places) if fits_broadcast(places) else places, "_z")
     return met.withColumn("_file", F.col("_first") + F.pmod("_spot", "_span").cast("int")).drop("_first", "_span")
 
@@ -191,8 +199,8 @@ def z_clustered(df: DataFrame, columns: Sequence[str], files: int, *, bits: int
         spot = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         ranged = df.withColumn("_spot", spot).repartitionByRange(files, *columns, "_spot")
         return ranged.sortWithinPartitions(*columns, "_spot").drop("_spot")
-    z = z_value(df, columns, z_bits(files, len(columns)) if bits is None else bits)
-    ranged = _placed(df, z, files).repartitionById(files, F.col("_file"))
+    each = z_bits(files, len(columns)) if bits is None else bits
+    ranged = _placed(df, z_value(df, columns, each), files, each * len(columns)).repartitionById(files, F.col("_file"))
     return ranged.sortWithinPartitions("_z", *columns, "_spot").drop("_z", "_spot", "_file").select(*df.columns)
 
 

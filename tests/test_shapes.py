@@ -111,7 +111,7 @@ def test_ranges_do_not_depend_on_cores_or_files(spark, sf_dir):
             found.append(sorted(ranges, key=str))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
-    assert found[0] == found[1] == found[2] and len(found[0]) == 16
+    assert found[0] == found[1] == found[2] and 12 <= len(found[0]) <= 16
 
 
 @pytest.mark.parametrize("columns", [["l_partkey"], ["l_partkey", "l_shipdate"], ["l_partkey", "l_suppkey", "l_shipdate"]])
