@@ -99,6 +99,8 @@ def rebalanced(df: DataFrame) -> DataFrame:
 
 # Files up to which a single column's own order is cut at counted values; beyond, by Spark's sampled ranges.
 COUNTED_FILES = 1024
+# Edges of a column that a row is compared with one by one.
+COMPARED_EDGES = 64
 
 
 def z_bits(files: int, columns: int) -> int:
@@ -106,9 +108,11 @@ def z_bits(files: int, columns: int) -> int:
     return max(1, math.ceil((math.log2(max(1, files)) + 2) / columns))
 
 
-def _running(counts: DataFrame, order: str) -> DataFrame:
-    """Rows of (`order`, rows) with `before` and `upto`, the rows before each and with it. Sums run within ranges of the
-    values; between ranges one number per range is carried."""
+def _running(counts: DataFrame, order: str) -> tuple[DataFrame, int]:
+    """Rows of (`order`, rows) with `before` and `upto`, the rows before each and with it, and the sum of all. Sums run within ranges of the
+    values; between ranges one number per range is carried. The counts are written first, as ranges read them twice."""
+    counts = settle(counts, "counts")
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).head()[0]
     ranged = counts.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
     dealt = settle(ranged, "ordered-counts")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,7 +121,7 @@ def _running(counts: DataFrame, order: str) -> DataFrame:
     inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("_offset") + F.sum("rows").over(inside)
     summed = dealt.join(F.broadcast(offsets), "_part").withColumn("upto", upto)
-    return summed.select(*counts.columns, (F.col("upto") - F.col("rows")).alias("before"), "upto")
+    return summed.select(*counts.columns, (F.col("upto") - F.col("rows")).alias("before"), "upto"), total
 
 
 def _edges(df: DataFrame, column: str, buckets: int) -> list:
@@ -127,8 +131,9 @@ def _edges(df: DataFrame, column: str, buckets: int) -> list:
     alone, not on files, cores or a draw. What reaches the driver is bounded by the buckets.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    running = _running(counts, "value")
-    total = F.lit(running.agg(F.coalesce(F.max("upto"), F.lit(0))).head()[0])
+    running, total = _running(counts, "value")
+    if not total:
+        return []
 
     def ranks_below(rows: Column) -> Column:
         found = F.floor((rows * buckets - 1) / total).cast("long")
@@ -146,8 +151,10 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
         found = _edges(df, name, 1 << bits)
         if not found:
             return F.lit(0)
-        edges = F.array(*[F.lit(edge).cast(kind) for edge in found])
-        return F.coalesce(F.size(F.filter(edges, lambda edge: edge <= F.col(name))), F.lit(0))
+        edges = [F.lit(edge).cast(kind) for edge in found]
+        if len(edges) <= COMPARED_EDGES:  # comparisons stay in generated code
+            return reduce(lambda a, b: a + b, [F.when(edge <= F.col(name), 1).otherwise(0) for edge in edges])
+        return F.coalesce(F.size(F.filter(F.array(*edges), lambda edge: edge <= F.col(name))), F.lit(0))
 
     buckets = [bucket(name).cast("bigint") for name in columns]
     pieces = [
@@ -168,9 +175,9 @@ def _placed(df: DataFrame, z: Column, files: int, cell_bits: int) -> DataFrame:
     """
     spot = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     marked = df.withColumns({"_z": z, "_spot": spot})
-    cells = _running(marked.groupBy("_z").agg(F.count(F.lit(1)).alias("rows")), "_z")
+    cells, total = _running(marked.groupBy("_z").agg(F.count(F.lit(1)).alias("rows")), "_z")
+    total = max(1, total)
     cells = settle(cells.withColumn("_cube", F.shiftright("_z", max(0, cell_bits - math.ceil(math.log2(files))))), "z-cells")
-    total = max(1, cells.agg(F.coalesce(F.max("upto"), F.lit(0))).head()[0])
     cubes = cells.groupBy("_cube").agg(F.min("before").alias("_low"), F.max("upto").alias("_high"))
 
     def file_at(row: Column) -> Column:
