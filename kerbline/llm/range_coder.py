@@ -1,110 +1,117 @@
-"""Adaptive context-mixing range coder for token ids; many blocks move in step, one numpy lane each.
+"""Adaptive context-mixing range coder for token ids; the streams of many blocks move in step, one numpy lane each.
 
-Per block, two tables remember the id that last followed each id (order 1) and each pair of ids (order 2), the latter with
-how often it was right. An id is coded as one symbol: "what order 2 predicts", "what order 1 predicts", or the class of its
-length in bits, which raw bits follow. The symbol's distribution mixes an order-0 one with one of the context that the two
-predictions make (how sure order 2 is, whether they agree); the weight goes to whichever of the two said it better. All
-arithmetic is in integers, so that any machine decodes what another has coded. Every block starts from scratch.
+A block starts from scratch, is cut into streams of about `STREAM_IDS` ids that are coded side by side, and has one model
+that all its streams use and teach:
+
+    order 2, order 1   tables of the id that last followed each pair of ids and each id, with how often it was right
+    order 0            how often each id came; an id that has not come keeps a small share
+
+First comes which order's prediction holds: order 2's, order 1's, or neither; then, for neither, the id by order 0. The
+shares of the three mix two adaptive distributions: one by how sure orders 1 and 2 are and whether they agree, the other by
+what held for the last two ids; a weight per stream goes to whichever said it better. All arithmetic is in integers, so
+that any machine decodes what another has coded.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Symbols: two predictions, and classes of two bit lengths of id + 1 each, up to 18 bits.
-CLASSES = 9
-SYMBOLS = 2 + CLASSES
-MOST_ID = (1 << 2 * CLASSES) - 2
-#: Bits of a probability; slots of a table.
-PRECISION, SLOTS = 14, 512
-_TOTAL = 1 << PRECISION
-_CONTEXTS, _SURE = 12, 3
+MOST_ID = (1 << 18) - 2
+#: Ids of a stream, about. Streams of a block differ by one id at most.
+STREAM_IDS = 1024
+#: Bits of a share; slots of a block's tables; what one sighting of an id weighs against an id that has not come.
+PRECISION, SLOTS, SEEN = 14, 1 << 14, 32
+#: Order 0 takes in what came after 1, 2, 4, ... ids of a stream, then after as many as this each.
+STALE = 32
+_TOTAL, _LEAST = 1 << PRECISION, 16
+_SURE, _NEAR, _ALONE = 3, 32, 9
+#: Sightings of a distribution beyond which they are halved.
+_MOST_SEEN = 4096
 _U32, _U64 = np.uint32, np.uint64
 _LOW, _32, _PRE = _U64(0xFFFFFFFF), _U64(32), _U64(PRECISION)
-#: A distribution is a row of bounds: 0, the ends of all symbols, and the total again as filling up to 16.
-_WIDE = 16
-_PLACE = np.minimum(np.arange(_WIDE), SYMBOLS).astype(np.int32)
-#: Bounds that a symbol's rows move to once it was seen.
-_GOAL = np.where(np.arange(_WIDE) > np.arange(SYMBOLS)[:, None], _TOTAL, 0).astype(np.int32)
-
-#: By symbol, the raw bits that follow: class k spells ids + 1 of 2k - 1 and 2k bits.
-_RAW = np.array([0, 0, *(2 * k for k in range(1, CLASSES + 1))], np.uint64)
 
 
 class _Model:
-    """Predictions for all lanes; coder and decoder go through the same states."""
+    """Predictions for all streams; coder and decoder go through the same states. `block` is each stream's, `alphabets` each
+    block's number of ids."""
 
-    def __init__(self, lanes: int):
-        self.first = np.zeros(lanes * SLOTS, np.int32)  # id + 1
-        self.second = np.zeros(lanes * SLOTS, np.int32)  # (id + 1) * 4 + how sure
-        self.base = np.arange(lanes) * SLOTS
-        even = (_PLACE * (_TOTAL // SYMBOLS)).astype(np.int32)
-        even[SYMBOLS:] = _TOTAL
-        self.alone = np.tile(even, (lanes, 1))
-        self.within = np.tile(even, (lanes * _CONTEXTS, 1))
-        self.rows = np.arange(lanes) * _CONTEXTS
-        self.flat = np.arange(lanes) * _WIDE
-        self.weight = np.full(lanes, 128, np.int32)
-        self.one = np.zeros(lanes, np.int64)
-        self.two = np.zeros(lanes, np.int64)
+    def __init__(self, block: np.ndarray, alphabets: np.ndarray):
+        blocks = len(alphabets)
+        self.first = np.zeros(blocks * SLOTS, np.int32)  # (id + 1) * 4 + how sure
+        self.second = np.zeros(blocks * SLOTS, np.int32)
+        self.base = block * SLOTS
+        self.near_row, self.alone_row = block * _NEAR, block * _ALONE
+        self.near, self.alone = np.ones((blocks * _NEAR, 3), np.int64), np.ones((blocks * _ALONE, 3), np.int64)
+        self.weight = np.full(len(block), 128, np.int64)
+        self.past = np.full(len(block), 8, np.int64)
+        self.one, self.two = np.zeros(len(block), np.int64), np.zeros(len(block), np.int64)
+        edges = np.append(0, np.cumsum(alphabets))
+        self.from_, self.to = edges[:-1][block], edges[1:][block]
+        self.seen = np.ones(int(edges[-1]), np.int64)
+        self.sum = np.arange(int(edges[-1]) + 1)
+        self.news: list[np.ndarray] = []
+        self.step = 0
 
     def trim(self, lanes: int) -> None:
-        """Go on with the first lanes only."""
-        for name in ("base", "alone", "rows", "flat", "weight", "one", "two"):
+        """Go on with the first streams only."""
+        for name in ("base", "near_row", "alone_row", "weight", "past", "one", "two", "from_", "to"):
             setattr(self, name, getattr(self, name)[:lanes])
 
     def look(self) -> None:
-        """The predictions for the next id, and the bounds of all symbols."""
+        """The ids that orders 1 and 2 predict, and where the shares of the three symbols begin."""
         hashed = self.one * 0x9E3779B1
         self.at1 = (hashed >> 15 & SLOTS - 1) + self.base
         self.at2 = ((self.two * 0x85EBCA6B ^ hashed) >> 13 & SLOTS - 1) + self.base
-        self.guess1 = self.first.take(self.at1)
-        entry = self.second.take(self.at2)
-        self.guess2, self.sure = entry >> 2, entry & 3
-        known = self.guess1 > 0
-        self.context = self.sure * 3 + known + (known & (self.guess1 == self.guess2)) + self.rows
-        self.near = self.within.take(self.context, 0)
-        mixed = self.near - self.alone
-        mixed *= self.weight[:, None]
-        mixed >>= 8
-        mixed += self.alone
-        # Every symbol keeps a share: the bounds are drawn together by 16 units, and each symbol gets one back.
-        self.bounds = mixed - (mixed >> PRECISION - 4)
-        self.bounds += _PLACE
-
-    def ends(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of each lane's symbol."""
-        at, flat = self.flat + symbol, self.bounds.reshape(-1)
-        start = flat.take(at)
-        return start.astype(_U64), (flat.take(at + 1) - start).astype(_U64)
-
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The symbol whose bounds hold the value."""
-        below = np.bitwise_count((self.bounds <= value[:, None]).view(np.uint64))
-        return (below[:, 0] + below[:, 1]).astype(np.int64) - 1
+        self.entry1, self.entry2 = self.first.take(self.at1), self.second.take(self.at2)
+        self.guess1, self.guess2 = self.entry1 >> 2, self.entry2 >> 2
+        agree = self.guess1 == self.guess2
+        self.near_at = ((self.entry2 & 3) * 4 + (self.entry1 & 3)) * 2 + agree + self.near_row
+        self.alone_at = self.past + self.alone_row
+        self.near_share, self.alone_share = _shares(self.near), _shares(self.alone)
+        close, far = (s.take(at, 0) for s, at in ((self.near_share, self.near_at), (self.alone_share, self.alone_at)))
+        mixed = (((close - far) * self.weight[:, None]) >> 8) + far + _LEAST
+        self.end0 = mixed[:, 0]
+        self.end1 = self.end0 + mixed[:, 1]
+
+    def part(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of each stream's symbol."""
+        start = np.where(symbol == 0, 0, np.where(symbol == 1, self.end0, self.end1))
+        end = np.where(symbol == 0, self.end0, np.where(symbol == 1, self.end1, _TOTAL))
+        return start.astype(_U64), (end - start).astype(_U64)
 
     def learn(self, named: np.ndarray, symbol: np.ndarray) -> None:
-        """Take in the ids + 1 that came."""
-        at = self.flat + symbol
-        near, alone = self.near.reshape(-1), self.alone.reshape(-1)
-        better = near.take(at + 1) - near.take(at) > alone.take(at + 1) - alone.take(at)
-        self.weight += better * np.int32(8) - np.int32(4)
-        np.minimum(self.weight, 248, out=self.weight)
-        np.maximum(self.weight, 8, out=self.weight)
-        goal = _GOAL.take(symbol, 0)
-        step = goal - self.near
-        step >>= 5
-        step += self.near
-        self.within[self.context] = step
-        goal -= self.alone
-        goal >>= 6
-        self.alone += goal
+        """Take in the ids + 1 that came. Of streams that write to one slot in a step, the last one stays."""
+        near, alone = self.near_at * 3 + symbol, self.alone_at * 3 + symbol
+        better = self.near_share.reshape(-1).take(near) > self.alone_share.reshape(-1).take(alone)
+        self.weight += better * 8 - 4
+        np.clip(self.weight, 8, 248, out=self.weight)
+        for counts, at in ((self.near, near), (self.alone, alone)):
+            counts += 2 * np.bincount(at, minlength=counts.size).reshape(-1, 3)
+        self.past = self.past % 3 * 3 + symbol
         # A prediction that was right gets surer; a wrong one that was sure stays, less sure.
-        right = self.guess2 == named
-        sure = np.where(right, np.minimum(self.sure + 1, _SURE), self.sure - 2)
-        self.second[self.at2] = np.where(right | (sure >= 0), self.guess2 * 4 + sure, named * 4 + 1)
-        self.first[self.at1] = named
+        for table, at, entry, guess in (
+            (self.first, self.at1, self.entry1, self.guess1),
+            (self.second, self.at2, self.entry2, self.guess2),
+        ):
+            right, sure = guess == named, entry & 3
+            kept = guess * 4 + np.where(right, np.minimum(sure + 1, _SURE), sure - 2)
+            table[at] = np.where(right | (sure >= 2), kept, named * 4 + 1)
         self.two, self.one = self.one, named.astype(np.int64)
+        neither = np.flatnonzero(symbol == 2)
+        self.news.append(self.from_[neither] + named[neither] - 1)
+        self.step += 1
+        if self.step % STALE == 0 or self.step < STALE and not self.step & self.step - 1:
+            np.add.at(self.seen, np.concatenate(self.news), SEEN)
+            self.news.clear()
+            np.cumsum(self.seen, out=self.sum[1:])
+            for counts in (self.near, self.alone):
+                full = counts.sum(1) > _MOST_SEEN
+                counts[full] = counts[full] + 1 >> 1
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
+    """Counts as shares; together with _LEAST each they make _TOTAL at most."""
+    return counts * (_TOTAL - 3 * _LEAST) // counts.sum(1, keepdims=True)
 
 
 class _Span:
@@ -117,15 +124,6 @@ class _Span:
     def trim(self, lanes: int) -> None:
         self.low, self.size = self.low[:lanes], self.size[:lanes]
 
-    def narrow(self, start: np.ndarray, share: np.ndarray, unit: np.ndarray) -> None:
-        self.low += unit * start
-        self.size = unit * share
-
-    def halve(self, raw: np.ndarray, rest: np.ndarray) -> None:
-        """To the part `rest` of 2^raw equal ones."""
-        self.size >>= raw
-        self.low += self.size * rest
-
     def settled(self) -> np.ndarray:
         """Lanes that must move on by 32 bits. An interval astride a border of the upper half is cut at the border; after
         the move it has 2^32 or more again, so one move is enough."""
@@ -141,82 +139,138 @@ class _Span:
         self.size[lanes] <<= _32
 
 
-def _ordered(sizes: np.ndarray) -> np.ndarray:
-    """Blocks with the longest first, so that live lanes are always the first ones."""
-    return np.argsort(-sizes, kind="stable")
+class _Streams:
+    """How blocks of so many ids are cut into streams, the longest first, so that live ones are always the first ones."""
+
+    def __init__(self, sizes: np.ndarray):
+        sizes = np.asarray(sizes, np.int64)
+        self.counts = np.maximum(sizes // STREAM_IDS, 1)
+        block = np.repeat(np.arange(len(sizes)), self.counts)
+        number = np.arange(len(block)) - np.repeat(np.cumsum(self.counts) - self.counts, self.counts)
+        each, more = sizes // self.counts, sizes % self.counts
+        starts = np.repeat(np.cumsum(sizes) - sizes, self.counts) + number * each[block] + np.minimum(number, more[block])
+        lengths = each[block] + (number < more[block])
+        self.order = np.argsort(-lengths, kind="stable")
+        self.block, self.starts, self.lengths = block[self.order], starts[self.order], lengths[self.order]
+        self.steps = int(self.lengths[0]) if len(block) else 0
+
+    def live(self, step: int) -> int:
+        return int(np.searchsorted(-self.lengths, -step, "left"))
 
 
 def encode(ids: np.ndarray, edges: np.ndarray) -> list[bytes]:
-    """Each block ids[edges[k] : edges[k + 1]] coded by itself. Ids are at most MOST_ID."""
-    sizes = np.diff(edges)
-    order = _ordered(sizes)
-    starts, sizes = edges[:-1][order], sizes[order]
-    model, span = _Model(len(order)), _Span(len(order))
-    named = ids.astype(np.int32) + 1
-    kinds = np.frexp(named.astype(np.float64))[1].astype(np.int32) + 1 >> 1  # 1 for ids + 1 of 1 or 2 bits
-    lanes_out, words_out = [], []
-    last = np.zeros(len(order), _U64)
-    for step in range(int(sizes[0]) if len(sizes) else 0):
-        if sizes[len(starts) - 1] <= step:
-            live = int(np.searchsorted(-sizes, -step, "left"))
+    """Each block ids[edges[k] : edges[k + 1]] coded by itself: 32-bit words with the size of its alphabet, the number of
+    words of each stream, and the streams. Ids are at most MOST_ID."""
+    edges = np.asarray(edges, np.int64)
+    streams = _Streams(np.diff(edges))
+    lanes = len(streams.order)
+    alphabets = np.array([int(ids[a:b].max()) + 1 if b > a else 1 for a, b in zip(edges[:-1], edges[1:])], np.int64)
+    named = ids[edges[0] : edges[-1]].astype(np.int32) + 1
+    model, span, starts = _Model(streams.block, alphabets), _Span(lanes), streams.starts
+    lanes_out: list[np.ndarray] = []
+    words_out: list[np.ndarray] = []
+    last = np.zeros(lanes, _U64)
+
+    def move_on() -> None:
+        if len(some := span.settled()):
+            lanes_out.append(some)
+            words_out.append((span.low[some] >> _32).astype(_U32))
+            span.shift(some)
+
+    for step in range(streams.steps):
+        if (live := streams.live(step)) < len(starts):
             last[live : len(starts)] = span.low[live:]
             starts = starts[:live]
             model.trim(live)
             span.trim(live)
-        at = starts + step
-        now, kind = named.take(at), kinds.take(at)
+        now = named.take(starts + step)
         model.look()
-        symbol = np.where(model.guess2 == now, 0, np.where(model.guess1 == now, 1, 1 + kind)).astype(np.int64)
-        span.narrow(*model.ends(symbol), span.size >> _PRE)
-        span.halve(_RAW.take(symbol), np.where(symbol > 1, now, 0).astype(_U64))
-        if len(some := span.settled()):
-            lanes_out.append(some)
-            words_out.append((span.low[some] >> _32).astype(_U32))
-            span.shift(some)
+        symbol = np.where(model.guess2 == now, 0, np.where(model.guess1 == now, 1, 2))
+        start, share = model.part(symbol)
+        unit = span.size >> _PRE
+        span.low += unit * start
+        span.size = unit * share
+        move_on()
+        neither = np.flatnonzero(symbol == 2)
+        first, at = model.from_[neither], model.from_[neither] + now[neither] - 1
+        before, zero = model.sum[at], model.sum[first]
+        unit = span.size[neither] // (model.sum[model.to[neither]] - zero).astype(_U64)
+        span.low[neither] += unit * (before - zero).astype(_U64)
+        span.size[neither] = unit * (model.sum[at + 1] - before).astype(_U64)
+        move_on()
         model.learn(now, symbol)
     last[: len(span.low)] = span.low
-    every = np.arange(len(order))
-    lanes_out += [every, every]
-    words_out += [(last >> _32).astype(_U32), (last & _LOW).astype(_U32)]
-    lane, word = np.concatenate(lanes_out), np.concatenate(words_out)
+    every = np.arange(lanes)
+    lane = streams.order[np.concatenate([*lanes_out, every, every])]
+    word = np.concatenate([*words_out, (last >> _32).astype(_U32), (last & _LOW).astype(_U32)])
     word = word[np.argsort(lane, kind="stable")].astype("<u4")
-    ends = np.cumsum(np.bincount(lane, minlength=len(order)))
-    coded: list[bytes] = [b""] * len(order)
-    for k, (at, end) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
-        coded[order[k]] = word[at:end].tobytes()
+    counts = np.bincount(lane, minlength=lanes).astype("<u4")
+    ends = np.append(0, np.cumsum(counts, dtype=np.int64))
+    coded, at = [], 0
+    for alphabet, own in zip(alphabets.tolist(), streams.counts.tolist()):
+        head = np.array([alphabet], "<u4").tobytes() + counts[at : at + own].tobytes()
+        coded.append(head + word[ends[at] : ends[at + own]].tobytes())
+        at += own
     return coded
 
 
 def decode(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
-    """The ids of all blocks, one after another."""
-    order = _ordered(sizes)
-    words = np.frombuffer(b"".join(blocks[k] + b"\0" * 8 for k in order), "<u4").astype(_U64)
-    taken = np.cumsum([0, *(len(blocks[k]) // 4 + 2 for k in order)])[:-1]
-    ends = np.cumsum(sizes)
-    starts, sizes = (ends - sizes)[order], sizes[order]
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
-    model, span = _Model(len(order)), _Span(len(order))
-    code = (words[taken] << _32) | words[taken + 1] if len(order) else np.zeros(0, _U64)
+    """The ids of all blocks, one after another. Blocks whose heads do not fit their lengths raise ValueError."""
+    streams = _Streams(sizes)
+    alphabets, counts, words = [], [], []
+    for block, own in zip(blocks, streams.counts.tolist()):
+        whole = np.frombuffer(block, "<u4")
+        head, body = whole[: own + 1], whole[own + 1 :]
+        if len(head) <= own or not 0 < head[0] <= MOST_ID + 1 or int(head[1:].sum(dtype=np.int64)) != len(body):
+            raise ValueError("a block's head is damaged")
+        alphabets.append(int(head[0]))
+        counts.append(head[1:])
+        words.append(body)
+    lanes = len(streams.order)
+    out = np.zeros(int(np.sum(sizes)), np.int32)
+    if not lanes:
+        return out.astype(np.uint32)
+    # What a damaged stream reads beyond its end is its neighbour's or zero; the checksum tells.
+    word = np.concatenate([*words, np.zeros(2, "<u4")]).astype(_U64)
+    most = len(word) - 1
+    ends = np.cumsum(np.concatenate(counts).astype(np.int64))
+    taken = np.append(0, ends[:-1])[streams.order]
+    model, span, starts = _Model(streams.block, np.array(alphabets, np.int64)), _Span(lanes), streams.starts
+    code = word[np.minimum(taken, most)] << _32 | word[np.minimum(taken + 1, most)]
     taken = taken + 2
-    for step in range(int(sizes[0]) if len(sizes) else 0):
-        if sizes[len(starts) - 1] <= step:
-            live = int(np.searchsorted(-sizes, -step, "left"))
+
+    def move_on() -> None:
+        if len(some := span.settled()):
+            span.shift(some)
+            code[some] = code[some] << _32 | word[np.minimum(taken[some], most)]
+            taken[some] += 1
+
+    for step in range(streams.steps):
+        if (live := streams.live(step)) < len(starts):
             starts, code, taken = starts[:live], code[:live], taken[:live]
             model.trim(live)
             span.trim(live)
         model.look()
         unit = span.size >> _PRE
-        value = np.minimum((code - span.low) // unit, _U64(_TOTAL - 17 + SYMBOLS)).astype(np.int32)
-        symbol = model.find(value)
-        span.narrow(*model.ends(symbol), unit)
-        raw = _RAW.take(symbol)
-        rest = np.where(symbol > 1, (code - span.low) // (span.size >> raw), _U64(0))
-        span.halve(raw, rest)
-        now = np.where(symbol > 1, rest.astype(np.int32), np.where(symbol == 0, model.guess2, model.guess1))
+        value = np.minimum((code - span.low) // unit, _U64(_TOTAL - 1)).astype(np.int64)
+        symbol = (value >= model.end0).astype(np.int64) + (value >= model.end1)
+        start, share = model.part(symbol)
+        span.low += unit * start
+        span.size = unit * share
+        move_on()
+        now = np.where(symbol == 0, model.guess2, model.guess1)
+        neither = np.flatnonzero(symbol == 2)
+        first = model.from_[neither]
+        zero = model.sum[first]
+        total = (model.sum[model.to[neither]] - zero).astype(_U64)
+        unit = span.size[neither] // total
+        value = np.minimum((code[neither] - span.low[neither]) // unit, total - _U64(1)).astype(np.int64) + zero
+        at = np.searchsorted(model.sum, value, "right") - 1
+        before = model.sum[at]
+        span.low[neither] += unit * (before - zero).astype(_U64)
+        span.size[neither] = unit * (model.sum[at + 1] - before).astype(_U64)
+        now[neither] = at - first + 1
+        move_on()
         out[starts + step] = now
-        if len(some := span.settled()):
-            span.shift(some)
-            code[some] = (code[some] << _32) | words[taken[some]]
-            taken[some] += 1
         model.learn(now, symbol)
     return (out - 1).astype(np.uint32)
