@@ -24,7 +24,9 @@ PRECISION, SLOTS, SEEN = 14, 1 << 14, 32
 #: Order 0 takes in what came after 1, 2, 4, ... ids of a stream, then after as many as this each.
 STALE = 32
 _TOTAL, _LEAST = 1 << PRECISION, 16
-_SURE, _NEAR, _ALONE = 3, 32, 9
+_NEAR, _ALONE = 32, 16
+#: How sure a prediction is next, by how sure it was: four for wrong ones, where -1 gives way, and four for right ones.
+_NEXT = np.array([-1, -1, 0, 1, 1, 2, 3, 3], np.int32)
 #: Sightings of a distribution beyond which they are halved.
 _MOST_SEEN = 4096
 _U32, _U64 = np.uint32, np.uint64
@@ -41,9 +43,11 @@ class _Model:
         self.second = np.zeros(blocks * SLOTS, np.int32)
         self.base = block * SLOTS
         self.near_row, self.alone_row = block * _NEAR, block * _ALONE
-        self.near, self.alone = np.ones((blocks * _NEAR, 3), np.int64), np.ones((blocks * _ALONE, 3), np.int64)
+        self.near, self.alone = np.ones((3, blocks * _NEAR), np.int64), np.ones((3, blocks * _ALONE), np.int64)
+        self.lanes = np.arange(len(block))
+        self.ends = np.full((4, len(block)), _TOTAL)
         self.weight = np.full(len(block), 128, np.int64)
-        self.past = np.full(len(block), 8, np.int64)
+        self.past = np.full(len(block), 10, np.int64)
         self.one, self.two = np.zeros(len(block), np.int64), np.zeros(len(block), np.int64)
         edges = np.append(0, np.cumsum(alphabets))
         self.from_, self.to = edges[:-1][block], edges[1:][block]
@@ -56,6 +60,7 @@ class _Model:
         """Go on with the first streams only."""
         for name in ("base", "near_row", "alone_row", "weight", "past", "one", "two", "from_", "to"):
             setattr(self, name, getattr(self, name)[:lanes])
+        self.ends, self.lanes = np.ascontiguousarray(self.ends[:, :lanes]), self.lanes[:lanes]
 
     def look(self) -> None:
         """The ids that orders 1 and 2 predict, and where the shares of the three symbols begin."""
@@ -68,34 +73,41 @@ class _Model:
         self.near_at = ((self.entry2 & 3) * 4 + (self.entry1 & 3)) * 2 + agree + self.near_row
         self.alone_at = self.past + self.alone_row
         self.near_share, self.alone_share = _shares(self.near), _shares(self.alone)
-        close, far = (s.take(at, 0) for s, at in ((self.near_share, self.near_at), (self.alone_share, self.alone_at)))
-        mixed = (((close - far) * self.weight[:, None]) >> 8) + far + _LEAST
-        self.end0 = mixed[:, 0]
-        self.end1 = self.end0 + mixed[:, 1]
+        self.ends[0, :] = 0
+        for k in range(2):
+            close, far = self.near_share[k].take(self.near_at), self.alone_share[k].take(self.alone_at)
+            close -= far
+            close *= self.weight
+            close >>= 8
+            close += far
+            close += _LEAST
+            np.add(self.ends[k], close, out=self.ends[k + 1])
 
     def part(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of each stream's symbol."""
-        start = np.where(symbol == 0, 0, np.where(symbol == 1, self.end0, self.end1))
-        end = np.where(symbol == 0, self.end0, np.where(symbol == 1, self.end1, _TOTAL))
-        return start.astype(_U64), (end - start).astype(_U64)
+        ends = self.ends.reshape(-1)
+        at = symbol * len(symbol) + self.lanes
+        start = ends.take(at)
+        return start.view(_U64), (ends.take(at + len(symbol)) - start).view(_U64)
 
     def learn(self, named: np.ndarray, symbol: np.ndarray) -> None:
         """Take in the ids + 1 that came. Of streams that write to one slot in a step, the last one stays."""
-        near, alone = self.near_at * 3 + symbol, self.alone_at * 3 + symbol
+        near, alone = symbol * self.near.shape[1] + self.near_at, symbol * self.alone.shape[1] + self.alone_at
         better = self.near_share.reshape(-1).take(near) > self.alone_share.reshape(-1).take(alone)
         self.weight += better * 8 - 4
-        np.clip(self.weight, 8, 248, out=self.weight)
+        np.minimum(self.weight, 248, out=self.weight)
+        np.maximum(self.weight, 8, out=self.weight)
         for counts, at in ((self.near, near), (self.alone, alone)):
-            counts += 2 * np.bincount(at, minlength=counts.size).reshape(-1, 3)
-        self.past = self.past % 3 * 3 + symbol
-        # A prediction that was right gets surer; a wrong one that was sure stays, less sure.
+            counts += 2 * np.bincount(at, minlength=counts.size).reshape(3, -1)
+        self.past = (self.past & 3) * 4 + symbol
+        # A prediction that was right gets surer; a wrong one that was sure stays, less sure; else the id takes its place.
+        new = named * 4 + 1
         for table, at, entry, guess in (
             (self.first, self.at1, self.entry1, self.guess1),
             (self.second, self.at2, self.entry2, self.guess2),
         ):
-            right, sure = guess == named, entry & 3
-            kept = guess * 4 + np.where(right, np.minimum(sure + 1, _SURE), sure - 2)
-            table[at] = np.where(right | (sure >= 2), kept, named * 4 + 1)
+            sure = _NEXT.take((entry & 3) + (guess == named) * 4)
+            table[at] = np.where(sure >= 0, guess * 4 + sure, new)
         self.two, self.one = self.one, named.astype(np.int64)
         neither = np.flatnonzero(symbol == 2)
         self.news.append(self.from_[neither] + named[neither] - 1)
@@ -105,13 +117,22 @@ class _Model:
             self.news.clear()
             np.cumsum(self.seen, out=self.sum[1:])
             for counts in (self.near, self.alone):
-                full = counts.sum(1) > _MOST_SEEN
-                counts[full] = counts[full] + 1 >> 1
+                full = counts.sum(0) > _MOST_SEEN
+                counts[:, full] = counts[:, full] + 1 >> 1
 
 
 def _shares(counts: np.ndarray) -> np.ndarray:
     """Counts as shares; together with _LEAST each they make _TOTAL at most."""
-    return counts * (_TOTAL - 3 * _LEAST) // counts.sum(1, keepdims=True)
+    return counts * (_TOTAL - 3 * _LEAST) // counts.sum(0)
+
+
+def _found(sums: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The last place whose sum is at most the value; ascending values are found twice as fast."""
+    bits = len(values).bit_length()
+    keys = np.sort(values << bits | np.arange(len(values)))
+    at = np.empty(len(values), np.int64)
+    at[keys & (1 << bits) - 1] = np.searchsorted(sums, keys >> bits, "right") - 1
+    return at
 
 
 class _Span:
@@ -253,7 +274,7 @@ def decode(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
         model.look()
         unit = span.size >> _PRE
         value = np.minimum((code - span.low) // unit, _U64(_TOTAL - 1)).astype(np.int64)
-        symbol = (value >= model.end0).astype(np.int64) + (value >= model.end1)
+        symbol = (value >= model.ends[1]).astype(np.int64) + (value >= model.ends[2])
         start, share = model.part(symbol)
         span.low += unit * start
         span.size = unit * share
@@ -265,7 +286,7 @@ def decode(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
         total = (model.sum[model.to[neither]] - zero).astype(_U64)
         unit = span.size[neither] // total
         value = np.minimum((code[neither] - span.low[neither]) // unit, total - _U64(1)).astype(np.int64) + zero
-        at = np.searchsorted(model.sum, value, "right") - 1
+        at = _found(model.sum, value)
         before = model.sum[at]
         span.low[neither] += unit * (before - zero).astype(_U64)
         span.size[neither] = unit * (model.sum[at + 1] - before).astype(_U64)
