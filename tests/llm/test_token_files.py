@@ -38,6 +38,31 @@ def test_repetition_is_cheap_and_noise_is_not_dear():
     assert sum(map(len, encode(noise, edges))) * 8 < 20 * len(noise)
 
 
+def test_streams_of_a_block_share_its_model():
+    """A block of many streams learns from all of them, comes nearer to its ids' entropy than its streams would alone, and
+    says the same by itself as among others."""
+    rng = np.random.default_rng(5)
+    sizes = np.array([1 << 16, 70_001, 1, 2048, 1023])
+    shares = 1 / np.arange(3, 2003)
+    shares /= shares.sum()
+    ids = (rng.choice(2000, sizes.sum(), p=shares) * 25).astype(np.uint32)
+    edges = np.cumsum([0, *sizes])
+    blocks = encode(ids, edges)
+    assert (decode(blocks, sizes) == ids).all()
+    assert (decode(blocks[1:2], sizes[1:2]) == ids[edges[1] : edges[2]]).all()
+    entropy = -(shares * np.log2(shares)).sum()
+    alone = encode(ids[: sizes[0]], np.arange(0, sizes[0] + 1, 1024))
+    assert 8 * len(blocks[0]) < 1.1 * entropy * sizes[0] < 8 * sum(map(len, alone))
+
+
+def test_a_block_with_a_damaged_head_is_refused():
+    ids = np.arange(5000, dtype=np.uint32)
+    block = encode(ids, [0, 5000])[0]
+    for broken in (b"", block[:8], block[4:], block[:-4], b"\0\0\0\0" + block[4:], b"\xff\xff\xff\xff" + block[4:]):
+        with pytest.raises(ValueError):
+            decode([broken], np.array([5000]))
+
+
 def test_segment_holds_its_documents_and_finds_damage():
     ids = np.random.default_rng(1).integers(0, 5000, 5000).astype(np.uint32)
     doc_ids, sizes = [None, -5, 3, 3, 1 << 60], [1, 2000, 0, 2990, 9]
