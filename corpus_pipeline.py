@@ -11,16 +11,27 @@ from kerbline.llm.common import free_name, settle, table
 from kerbline.llm.tokens import tokenizer
 
 
+#: How far a document's best language has to be above an even share of all, as a part of what is left to 1.
+CLEAR_MARGIN = 1 / 8
+
+
+def least_score(languages: int) -> float:
+    """The pooled share that a document's best language must have: 0.34 of four languages, 1 of one."""
+    return 1 / languages + CLEAR_MARGIN * (1 - 1 / languages)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told. The network is trained on the labelled rows of `docs`; where lang is null,
-    the prediction is filled in, or stays null if no row can be learned from. Null text, and text without a letter, is
-    rejected, and nothing else."""
+    """Documents whose language can be told. The network is trained on the labelled rows of `docs` and reads every text.
+    Rejected are null text, text without a letter, and text of which the network's best language has a share below
+    `least_score`, hardly more than an even one. Where lang is null, the prediction is filled in. If no row can be learned
+    from, letters alone decide and lang stays as it is."""
     known, network = docs.filter(F.col("text").rlike(r"\p{L}")), language.fit(docs)
     if network is None:
         return known
     label, score = free_name(docs, "lang_pred"), free_name(docs, "score")
     judged = language.predict(spark, known, network, label=label, score=score)
-    return judged.withColumn("lang", F.coalesce("lang", label)).select(*(f"`{c}`" for c in docs.columns))
+    clear = judged.filter(F.col(score) >= least_score(len(network.languages)))
+    return clear.withColumn("lang", F.coalesce("lang", label)).select(*(f"`{c}`" for c in docs.columns))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
