@@ -44,7 +44,9 @@ def plain_shares(network, raw):
         end = min(len(raw), start + language.WINDOW)
         states = {}
         for way in "fb":
-            w, n, state = network.weights, 5, np.zeros(5)
+            w = network.weights
+            n = len(w[f"{way}_own"])
+            state = np.zeros(n)
             # The margins are read in both directions; outside the text there is nothing but the state's own pull.
             steps = range(start - language.MARGIN, end + language.MARGIN)
             for t in steps if way == "f" else reversed(steps):

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
 import corpus_pipeline
-from kerbline.llm import near_dedup
+from kerbline.llm import language, near_dedup
 from tests.llm.test_dedup import near_expected
+from tests.llm.test_language import plain_shares
 
 
 def test_stages_and_names():
@@ -83,3 +84,34 @@ def test_nothing_to_learn_from(spark, documents, prose, tmp_path, held_out):
 def test_a_language_of_the_name_of_undetermined_text(spark, documents, prose):
     docs = documents([(k, prose(k, 40)) for k in range(20)], lang="und").drop("kept", "group")
     assert corpus_pipeline.language_id(spark, docs, "").count() == 20
+
+
+def test_language_stage_rejects_by_score(spark, documents, monkeypatch):
+    """Three languages of six letters each. Texts in equal parts of all three go, labelled or not, under a threshold of two
+    thirds; the network's shares, position by position, say the same."""
+    monkeypatch.setattr(corpus_pipeline, "CLEAR_MARGIN", 0.5)
+    rng = np.random.default_rng(3)
+
+    def words(letters, count):
+        return " ".join("".join(rng.choice(list(letters), 4)) for _ in range(count))
+
+    alphabets = {"aa": "abcdef", "bb": "ghijkl", "cc": "mnopqr"}
+    rows = [(k, words(alphabets[lang], 30), lang) for k, lang in enumerate(sorted(alphabets) * 20)]
+    rows += [(100 + k, words(alphabets[lang], 30), None) for k, lang in enumerate(sorted(alphabets))]
+    held_out = [k for k in range(200, 300) if zlib.crc32(str(k).encode()) % 4 == 2][:2]
+    rows += [(k, " ".join(words(a, 20) for a in alphabets.values()), lang) for k, lang in zip(held_out, (None, "aa"))]
+    docs = documents([r[:2] for r in rows]).drop("kept", "group", "lang")
+    docs = docs.join(spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, lang string"), "doc_id")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    network = language.fit(docs)
+    least = corpus_pipeline.least_score(3)
+    scores = {k: plain_shares(network, text.encode()).max() for k, text, _ in rows}
+    assert all(abs(score - least) > 0.005 for score in scores.values()), sorted(scores.values())[:4]
+    assert set(kept) == {k for k, score in scores.items() if score >= least}
+    assert set(scores) - set(kept) == set(held_out), [scores[k] for k in held_out]
+    assert [kept[100 + k] for k in range(3)] == sorted(alphabets)
+
+
+def test_least_score():
+    assert corpus_pipeline.least_score(1) == 1
+    assert corpus_pipeline.least_score(4) == 0.34375
