@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import roles
 from kerbline.functions.expressions import blank, percent
-from kerbline.operators.lookup import BROADCAST_ROWS, fits_broadcast, heaviest, left_by_shuffle
+from kerbline.operators.lookup import BROADCAST_ROWS, fits_broadcast, heaviest, left_by_sieve
 from kerbline.session import settle
 from kerbline.sources.events import REQUIRED_FIELDS
 
@@ -166,8 +166,8 @@ def mark_duplicates(
     Counting the signatures combines on the map side, so a signature held by a large share of the rows costs one
     counter per task, where a window over the signature would gather all its rows in one task. The signatures that
     repeat are written to the shared folder when this is called, unless `repeated` has them already. If they are few,
-    they are broadcast and the rows are not shuffled at all; else they are joined by shuffle, the most frequent of them
-    apart. Incomplete signatures match nothing. `counted_on` are the same trips before anything was joined to them:
+    they are broadcast and the rows are not shuffled at all; else only rows that a sieve of them lets through are joined
+    by shuffle, the most frequent of them apart. Mark before anything is joined: rows are then read twice. Incomplete signatures match nothing. `counted_on` are the same trips before anything was joined to them:
     counting then carries no join.
     """
     keys = _signature(df)
@@ -179,7 +179,7 @@ def mark_duplicates(
     if fits_broadcast(repeated, max_broadcast_rows):
         marked = keyed.join(F.broadcast(repeated), list(keys), "left")
     else:
-        marked = left_by_shuffle(keyed, repeated, list(keys), heaviest(repeated, "_copies"))
+        marked = left_by_sieve(keyed, repeated, list(keys), heaviest(repeated, "_copies"))
     return marked.select(*df.columns, F.col("_copies").isNotNull().alias(f"dq_{DUPLICATE}"))
 
 
@@ -205,7 +205,8 @@ def flag(
     counted_on: DataFrame | None = None,
     repeated: DataFrame | None = None,
 ) -> DataFrame:
-    """Add a `dq_` column per rule, the names of the issues found, their count, and whether there is any."""
+    """Add a `dq_` column per rule, the names of the issues found, their count, and whether there is any. Without
+    `duplicates`, trips that `mark_duplicates` has marked keep their marks."""
     marked = mark_duplicates(df, counted_on=counted_on, repeated=repeated) if duplicates else df
     conditions = row_conditions(df.columns, limits)
     names = [name for name in conditions if name != FUTURE]

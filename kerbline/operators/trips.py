@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import roles
 from kerbline.functions.expressions import event_time, payment_label, percent, ratio
-from kerbline.operators.lookup import BROADCAST_ROWS, fits_broadcast, left_lookup
+from kerbline.operators.lookup import BROADCAST_PLACES, fits_broadcast, left_lookup
 
 NUMERIC = ("passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")
 PLACE_ATTRIBUTES = {"Borough": "borough", "Zone": "zone", "service_zone": "service_zone"}
@@ -51,7 +51,7 @@ def attach_zones(
     zones: DataFrame | None,
     *,
     ends: Sequence[str] = ("pickup", "dropoff"),
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int = BROADCAST_PLACES,
 ) -> DataFrame:
     """Place names of the wanted ends of a trip; places the dimension lacks are 'Unknown'.
 

@@ -14,13 +14,14 @@ from kerbline.sources import sinks, tables
 def build(raw: DataFrame, zones: DataFrame | None, limits: Limits = Limits()) -> dict[str, DataFrame]:
     """Every table the trips' columns allow, by name. Metrics see the trips of `limits.pickup_year`; quality sees all
     trips, also those without a pickup time. Trips are read three times: for the metrics, for the signatures (with the
-    quality summary), and for the issue rows."""
+    quality summary), and for the issue rows; once more where too many signatures repeat to be broadcast."""
     zones = settle(zones, "zones") if zones is not None else None
     outputs = trip_tables.all_tables(raw, zones, limits.pickup_year)
     prepared = trips.prepare(raw, keep_undated=True)
     # Rules know the pickup place only; signatures need no place at all.
     outputs["quality_summary"], repeated = quality.audit(trips.attach_zones(prepared, zones, ends=["pickup"]), limits)
-    flagged = quality.flag(trips.attach_zones(prepared, zones), limits, repeated=repeated)
+    marked = quality.mark_duplicates(prepared, repeated=repeated)
+    flagged = quality.flag(trips.attach_zones(marked, zones), limits, duplicates=False)
     outputs["quality_issue_rows"] = quality.issue_rows(flagged)
     return outputs
 

@@ -180,6 +180,36 @@ def test_duplicates_by_shuffle_equal_those_by_broadcast(spark, sf_dir, monkeypat
     assert near.exceptAll(far).count() == 0
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_only_rows_that_may_repeat_are_shuffled(spark, monkeypatch, bits):
+    """Of 5,000 trips 200 are copies, some by amounts of -0.0; a sieve of 64 bits lets about all through, a large one
+    few others. The marks are the broadcast's, and rows without a copy stay where they are."""
+    monkeypatch.setattr(lookup, "SIEVE_BITS", bits)
+    number = F.when(F.col("id") < 200, F.col("id") % 100).otherwise(F.col("id"))
+    zero = F.when(F.col("id") < 100, F.lit(-0.0)).otherwise(0.0)
+    raw = spark.range(5000).select(
+        F.when(F.col("id") % 10 != 9, 1).alias("VendorID"),
+        F.lit("2023-01-01 00:00:00").alias("tpep_pickup_datetime"),
+        F.lit("2023-01-01 00:10:00").alias("tpep_dropoff_datetime"),
+        number.alias("PULocationID"),
+        *[zero.alias(c) for c in ("passenger_count", "trip_distance", "fare_amount", "total_amount")],
+    )
+    prepared = trips.prepare(raw)
+    near, far = quality.mark_duplicates(prepared), quality.mark_duplicates(prepared, max_broadcast_rows=0)
+    assert far.columns == near.columns and far.count() == 5000
+    assert near.exceptAll(far).isEmpty() and far.where("dq_duplicate_taxi_record").count() == 180
+    shuffled = []
+    shuffle = lookup.left_by_shuffle
+
+    def seen(facts, *rest):
+        shuffled.append(facts.count())
+        return shuffle(facts, *rest)
+
+    monkeypatch.setattr(lookup, "left_by_shuffle", seen)
+    quality.mark_duplicates(prepared, max_broadcast_rows=0)
+    assert len(shuffled) == 1 and (180 <= shuffled[0] < 300 if bits > 64 else shuffled[0] > 2000)
+
+
 def test_nearly_equal_amounts_are_the_same_trip(spark):
     at = datetime(2023, 1, 1)
     rows = [(1, at, at, 1, 1, 1.0, 0.1 + 0.2, 5.0, 1.0, 6.0, 1), (1, at, at, 1, 1, 1.0, 0.3, 5.0, 1.0, 6.0, 1)]
