@@ -95,6 +95,21 @@ def test_partition_filters(spark, sf_dir, plan, capsys):
     assert dict(layout.read_layout(spark, paths["both"], rows.schema).dtypes) == dict(rows.dtypes)
 
 
+def test_extremes_of_text_per_file_need_no_sort_of_the_rows(spark, plan, capsys):
+    path = shared_dir(spark, "files")
+    rows = [("b", 3, b"x"), ("a", 1, b"y"), (None, None, None), ("c", 2, None)]
+    spark.createDataFrame(rows, "name string, size int, raw binary").repartitionByRange(2, "size").write.parquet(path)
+    ranges = layout.file_ranges(spark.read.parquet(path), ["name", "size", "raw"])
+    assert ranges.columns == ["path", "min_name", "max_name", "min_size", "max_size", "min_raw", "max_raw"]
+    text = plan(layout.files_touched(spark.read.parquet(path), {"name": "b", "size": 2}), capsys)
+    assert "ObjectHashAggregate" in text and "SortAggregate" not in text
+    # Dropping the set again must not bring the sort back.
+    text = plan(ranges, capsys)
+    assert "ObjectHashAggregate" in text and "SortAggregate" not in text
+    found = sorted((r.min_size, r.max_size, r.min_name, r.max_name) for r in ranges.collect())
+    assert found == [(1, 1, "a", "a"), (2, 3, "b", "c")]
+
+
 def test_no_python_in_the_core(spark, sf_dir, plan, capsys):
     from kerbline.plans.catalog import all_queries
 
