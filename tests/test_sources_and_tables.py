@@ -255,6 +255,31 @@ def test_zorder_splits_a_hot_value(spark):
     assert max(sizes) < 4000
 
 
+@pytest.mark.parametrize(("bound", "most"), [("FILE_VALUES", 2500), ("TARGET_FILE_BYTES", 4000)])
+def test_zorder_cuts_files_that_one_task_should_not_sort(spark, monkeypatch, bound, most):
+    """Of a table too large for the files asked for, a file still has a bounded number of rows, and no row is lost."""
+    k = F.col("id")
+    rows = spark.range(8000).select((k * 7919 % 8000).alias("number"), (k % 40).alias("day"), F.sha2(k.cast("string"), 256).alias("text"))
+    base = shared_dir(spark, "large")
+    versions.commit(rows, base)
+    monkeypatch.setattr(layout, bound, most)
+    assert layout.files_held(versions.as_of(spark, base), 2) >= 16
+    versions.cluster(spark, base, ["number", "day"], files=2)
+    table = versions.as_of(spark, base)
+    sizes = [r["rows"] for r in tables.file_profile(table).collect()]
+    assert len(sizes) >= 12
+    assert max(sizes) <= 1500
+    assert versions.reconcile(rows, table).head()["content_match"]
+
+
+def test_zorder_keeps_the_files_asked_for(spark):
+    base = shared_dir(spark, "small")
+    versions.commit(spark.range(100).withColumn("day", F.col("id") % 7), base)
+    assert layout.files_held(versions.as_of(spark, base), 8) == 8
+    versions.commit(spark.range(0).withColumn("day", F.col("id") % 7), base, mode="overwrite")
+    assert layout.files_held(versions.as_of(spark, base), 3) == 3
+
+
 def test_zorder_tells_long_common_starts_apart(spark):
     """Text that differs only after 20 bytes, dates as text and as times, and a number, each by itself and together."""
     base = shared_dir(spark, "text")
