@@ -24,6 +24,10 @@ SITE_RULES = (
 )
 
 
+#: Stretches that a worker remembers where ids are all that it makes: some 120 MB.
+MANY_STRETCHES = 600_000
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL."""
     rules = [url_rules.site_rule(*rule) for rule in SITE_RULES]
@@ -60,7 +64,7 @@ def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written to files of coded blocks and read back."""
-    ids = tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    ids = tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"), remembered=MANY_STRETCHES)
     path = shared_dir(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), ids, path, end_id=0)
     found = token_files.read(spark.read.parquet(path))

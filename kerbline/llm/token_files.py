@@ -25,11 +25,11 @@ from kerbline.llm.common import map_arrow, slices, utf8
 from kerbline.llm.range_coder import MOST_ID, decode, encode
 from kerbline.llm.tokens import SLICE_BYTES, Tokenizer
 
-#: Ids of a block, and of a segment: the 64 streams of each of 32 blocks move in step.
+#: Ids of a block, and of a segment: the 64 streams of each of 64 blocks move in step.
 BLOCK_IDS = 1 << 16
-SEGMENT_IDS = 32 * BLOCK_IDS
+SEGMENT_IDS = 64 * BLOCK_IDS
 _HEAD = struct.Struct("<4sHxxIQI")
-_MAGIC, _VERSION = b"KTOK", 2
+_MAGIC, _VERSION = b"KTOK", 3
 
 
 def _numbers(values: list[int]) -> bytes:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-#: Stretches that a worker remembers, about 200 bytes each; then it starts anew.
+#: Stretches that a worker remembers, about, at some 200 bytes each.
 REMEMBERED = 100_000
 SLICE_BYTES = 2 << 20
 #: Bytes of new stretches that the library gets as one text.
@@ -32,6 +33,9 @@ _KIND = np.full(256, _WIDE, np.uint8)
 _KIND[:128] = _OTHER
 _KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
 _KIND[65:91] = _KIND[97:123] = _LETTER
+#: ASCII white space of the pre-tokenizer, and with the four separators, which may be such.
+_BLANKS = b"\t\n\x0b\x0c\r "
+_ENDS = _BLANKS + b"\x1c\x1d\x1e\x1f"
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, joins: np.ndarray) -> np.ndarray:
@@ -64,18 +68,14 @@ def stretches(data: np.ndarray, offsets: np.ndarray, joins: np.ndarray) -> np.nd
 
 
 class StretchEncoder:
-    """Ids of texts by way of their distinct stretches. Those that come twice in a call are remembered, so that the many that
-    come once in a corpus take no memory. Subclasses say where texts are cut, and encode."""
+    """Ids of texts by way of their distinct stretches, which are remembered: new ones, and those met again, in `known`; when
+    that holds half of `remembered` (REMEMBERED, if 0), it takes the place of `before`, whose stretches are forgotten unless
+    met since. Subclasses say where texts are cut, and encode."""
 
-    def __init__(self) -> None:
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 12, np.int64)
-        self.sizes = np.zeros(1 << 12, np.int64)
-        self.used = 0
+    def __init__(self, remembered: int = 0) -> None:
+        self.remembered = remembered
+        self.known: dict[bytes, bytes] = {}  # a stretch's ids
+        self.before: dict[bytes, bytes] = {}
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where stretches begin; every text that is not empty begins one."""
@@ -85,34 +85,23 @@ class StretchEncoder:
         """The stretches in any order, all their ids in that order, and how many each has."""
         raise NotImplementedError
 
-    @staticmethod
-    def _room(array: np.ndarray, size: int) -> np.ndarray:
-        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
-
-    def _numbers(self, distinct: list[bytes], again: list[bool]) -> np.ndarray:
-        """Places of the stretches' ids. Places past the remembered ones hold for this call."""
-        new = [(s, more) for s, more in zip(distinct, again) if s not in self.known]
-        kept = [s for s, more in new if more]
-        if len(self.known) + len(kept) > REMEMBERED and self.known:
-            self._forget()
-            return self._numbers(distinct, again)
-        self.known |= self._placed(kept, len(self.known), self.used)
-        self.used = int(self.starts[len(self.known) - 1] + self.sizes[len(self.known) - 1]) if self.known else 0
-        passing = self._placed([s for s, more in new if not more], len(self.known), self.used)
-        known = self.known
-        return np.fromiter((known[s] if s in known else passing[s] for s in distinct), np.int64, len(distinct))
-
-    def _placed(self, new: list[bytes], first: int, used: int) -> dict[bytes, int]:
-        """Encode, and put the ids behind those that are there."""
-        if not new:
-            return {}
-        new, ids, sizes = self.encoded(new)
-        ends = used + np.cumsum(sizes)
-        self.flat = self._room(self.flat, int(ends[-1]))
-        self.flat[used : ends[-1]] = ids
-        self.starts, self.sizes = self._room(self.starts, first + len(new)), self._room(self.sizes, first + len(new))
-        self.starts[first : first + len(new)], self.sizes[first : first + len(new)] = ends - sizes, sizes
-        return dict(zip(new, range(first, first + len(new))))
+    def _ids_of(self, distinct: list[bytes]) -> list[bytes]:
+        """The ids of each, as bytes."""
+        known, before = self.known, self.before
+        found = list(map(known.get, distinct))
+        if None in found:
+            lacking = [s for s, ids in zip(distinct, found) if ids is None]
+            known.update((s, before[s]) for s in lacking if s in before)
+            if new := [s for s in lacking if s not in before]:
+                new, ids, sizes = self.encoded(new)
+                raw, ends = ids.astype(np.uint32, copy=False).tobytes(), (4 * np.cumsum(sizes)).tolist()
+                known.update(zip(new, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            found = [known[s] if ids is None else ids for s, ids in zip(distinct, found)]
+        most = self.remembered or REMEMBERED
+        if 2 * len(known) > most:
+            # One call's stretches may be more than all that is to be remembered.
+            self.known, self.before = {}, known if len(known) <= most else {}
+        return found
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin and end."""
@@ -124,24 +113,23 @@ class StretchEncoder:
         parts = pa.Array.from_buffers(
             pa.large_binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        indices = parts.indices.to_numpy()
-        again = (np.bincount(indices, minlength=len(parts.dictionary)) > 1).tolist()
-        which = self._numbers(parts.dictionary.to_pylist(), again)[indices]
-        sizes = self.sizes[which]
-        ends = np.cumsum(sizes)
-        source = np.repeat(self.starts[which] - (ends - sizes), sizes)
-        source += np.arange(len(source))
-        return self.flat[source], np.concatenate([[0], ends])[np.searchsorted(cuts, offsets)]
+        _, places, raw = parts.dictionary.buffers()
+        raw, places = raw.to_pybytes(), np.frombuffer(places, np.int64)[: len(parts.dictionary) + 1].tolist()
+        found = pa.array(self._ids_of([raw[a:b] for a, b in zip(places, places[1:])]), pa.large_binary())
+        _, ends, ids = found.take(parts.indices).buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(cuts) + 1] >> 2
+        flat = np.frombuffer(ids, np.uint32, ends[-1]) if ends[-1] else np.zeros(0, np.uint32)
+        return flat, ends[np.searchsorted(cuts, offsets)]
 
 
 class Encoder(StretchEncoder):
     """Ids by the `tokenizers` library; one per worker and tokenizer."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, remembered: int = 0):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        super().__init__()
+        super().__init__(remembered)
         # Spark gives a task its share of the cores; threads of the library would take others' and 100 MB.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer)
@@ -168,15 +156,13 @@ class Encoder(StretchEncoder):
         found = []
         for at in range(0, len(texts), RUNS):
             for one in self.tokenizer.encode_batch_fast(texts[at : at + RUNS], add_special_tokens=False):
-                found.append(np.array(one.ids, np.uint32))
+                found.append(np.frombuffer(array("I", one.ids), np.uint32))
         return found
 
     def encoded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The stretches in another order, all their ids, and how many each has."""
-        texts = [s.decode() for s in new]
         # White space at an end would meet that of the next stretch.
-        fits = [t[0].isspace() and t[0] < "\x1c" or t[0] == " " for t in texts]
-        fits = [ok and not t[-1].isspace() for ok, t in zip(fits, texts)]
+        fits = [s[0] in _BLANKS and (s[-1] not in _ENDS if s[-1] < 0x80 else not s.decode()[-1].isspace()) for s in new]
         joined = [s for s, ok in zip(new, fits) if ok]
         single = [s for s, ok in zip(new, fits) if not ok]
         ids = self._ids([s.decode() for s in single])
@@ -201,16 +187,18 @@ class Tokenizer:
 
     content: Broadcast
     name: str
+    remembered: int = 0
 
     def encoder(self) -> Encoder:
-        if self.name not in _encoders:
-            _encoders[self.name] = Encoder(self.content.value)
-        return _encoders[self.name]
+        if (key := (self.name, self.remembered)) not in _encoders:
+            _encoders[key] = Encoder(self.content.value, self.remembered)
+        return _encoders[key]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def tokenizer(spark: SparkSession, path: str) -> Tokenizer:
+def tokenizer(spark: SparkSession, path: str, *, remembered: int = 0) -> Tokenizer:
+    """`remembered` stretches a worker keeps in mind (REMEMBERED, if 0), at about 200 bytes each."""
     content = Path(path).read_text("utf-8")
-    return Tokenizer(spark.sparkContext.broadcast(content), hashlib.sha256(content.encode()).hexdigest())
+    return Tokenizer(spark.sparkContext.broadcast(content), hashlib.sha256(content.encode()).hexdigest(), remembered)

@@ -34,6 +34,23 @@ def test_ids_are_the_library_s(library):
             assert ids[edges[k] : edges[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_stretches_met_once_a_call_are_encoded_once(library):
+    encoder, asked = Encoder(library.to_str(), remembered=40), []
+    encode = encoder.encoded
+    encoder.encoded = lambda new: asked.extend(new) or encode(new)
+    text = np.frombuffer(b"each of these words comes only once here", np.uint8)
+    edges = np.array([0, len(text)])
+    first = encoder(text, edges)[0].tolist()
+    assert first == library.encode(bytes(text).decode()).ids == encoder(text, edges)[0].tolist()
+    assert len(asked) == len(set(asked)) == 8
+    for k in range(30):  # what is met again stays, what is not is forgotten
+        for words in (b"each of these", b"other words %d and %d" % (k, 100 + k)):
+            data = np.frombuffer(words, np.uint8)
+            assert encoder(data, np.array([0, len(data)]))[0].tolist() == library.encode(words.decode()).ids
+        assert len(encoder.known) + len(encoder.before) <= 60
+    assert asked.count(b" these") == 1
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr("kerbline.llm.tokens.REMEMBERED", 10)
     encoder = Encoder(open(PATH, encoding="utf-8").read())

@@ -63,6 +63,22 @@ def test_a_block_with_a_damaged_head_is_refused():
             decode([broken], np.array([5000]))
 
 
+def test_a_block_too_long_for_its_shares_is_refused():
+    with pytest.raises(ValueError):
+        encode(np.zeros(1 << 18, np.uint32), [0, 1 << 18])
+    with pytest.raises(ValueError):
+        decode([np.array([1, *[1] * 256, *[0] * 256], "<u4").tobytes()], np.array([1 << 18]))
+
+
+def test_order_0_is_looked_up_without_a_search(monkeypatch):
+    """The model's sums are searched once for all blocks when it learns, never for the ids of a step."""
+    ids = np.random.default_rng(8).integers(0, 50_257, 1 << 14).astype(np.uint32)
+    blocks, wanted, search = encode(ids, [0, len(ids)]), [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **b: wanted.append(0) or search(*a, **b))
+    assert (decode(blocks, np.array([len(ids)])) == ids).all()
+    assert len(wanted) < 100  # the steps are 1024
+
+
 def test_segment_holds_its_documents_and_finds_damage():
     ids = np.random.default_rng(1).integers(0, 5000, 5000).astype(np.uint32)
     doc_ids, sizes = [None, -5, 3, 3, 1 << 60], [1, 2000, 0, 2990, 9]
